@@ -1,0 +1,9 @@
+"""Streaming.
+
+The observation pipeline this package rebuilds is batch-only: no stream
+source or sink, watermark, stream window or stateful operator. Nothing is
+built here for parity. The batch operators are plain DataFrame transforms;
+the stateless ones (typing, imputation with fixed means, scoring with a
+fitted PipelineModel, rain advice) can be applied to a streaming DataFrame
+unchanged, while the order-dependent ones (lag/lead, split) need a batch.
+"""
