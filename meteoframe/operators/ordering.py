@@ -108,3 +108,30 @@ def shift_columns(df: DataFrame, shifts: Sequence[tuple[str, int, str]], order_c
     if index_col:
         return out.withColumnRenamed(idx, index_col)
     return out.drop(idx)
+
+
+def with_running_total(df: DataFrame, order_cols: Sequence[str], weight_col: str, out_col: str = "cum",
+                       num_partitions: int | None = None) -> DataFrame:
+    """Add ``out_col`` = sum of ``weight_col`` over all rows up to and including this one.
+
+    Same plan shape as ``with_row_index``: range partitions (balanced by
+    sampling), a running sum inside each range (a window whose partition is
+    one range), and a broadcast table of per-range totals (one row per range).
+    """
+    n = num_partitions or _default_partitions(df)
+    ranged = (
+        df.repartitionByRange(n, *order_cols)
+        .withColumn("_part", F.spark_partition_id())
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    _PERSISTED.append(ranged)
+    within = Window.partitionBy("_part").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.withColumn("_local", F.sum(weight_col).over(within))
+    totals = ranged.groupBy("_part").agg(F.sum(weight_col).alias("_tot"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_part", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_offset"))
+    return (
+        local.join(F.broadcast(offsets), "_part")
+        .withColumn(out_col, F.col("_offset") + F.col("_local"))
+        .drop("_part", "_local", "_offset")
+    )

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meteoframe.operators import impute as imp
+from meteoframe.operators import profile as prof
 from meteoframe.operators import series as ser
 from meteoframe.plans import oracle as sql
 from meteoframe.sources import ingest
@@ -201,3 +202,126 @@ def q_context_window(spark, sf_dir):
             "(select *, row_number() over (partition by obs_date order by station, obs_id) as rn from obs) where rn = 1")
 def q_one_row_per_date(spark, sf_dir):
     return ser.one_row_per_date(observations(spark, sf_dir))
+
+
+# ----------------------------------------------------------------- profile
+
+def _long_sql(src: str = "obs") -> str:
+    return "long as (" + " union all ".join(
+        f"select '{m}' as measure, {m} as value from {src} where {m} is not null" for m in MEASURES) + ")"
+
+
+@register("table_shape", sql.with_obs() + "select cast(count(*) as bigint) as n_rows, cast(6 as bigint) as n_cols from obs")
+def q_table_shape(spark, sf_dir):
+    return prof.table_shape(observations(spark, sf_dir))
+
+
+@register("describe_measures", sql.with_obs(_long_sql())
+          + "select measure, cast(count(value) as bigint) as count, avg(value) as mean, round(stddev_samp(value), 6) as stddev, "
+            "min(value) as min, max(value) as max from long group by measure")
+def q_describe_measures(spark, sf_dir):
+    return prof.describe_measures(observations(spark, sf_dir), MEASURES)
+
+
+@register("exact_quantiles", sql.with_obs(_long_sql()) + " union all ".join(
+    f"select measure, cast({p} as double) as p, quantile_cont(value, {p}) as quantile from long group by measure"
+    for p in (0.25, 0.5, 0.75)))
+def q_exact_quantiles(spark, sf_dir):
+    return prof.exact_quantiles(observations(spark, sf_dir), MEASURES)
+
+
+@register("approx_quantiles")
+def q_approx_quantiles(spark, sf_dir):
+    return prof.approx_quantiles(observations(spark, sf_dir), MEASURES, relative_error=0.01)
+
+
+@register("advanced_statistics", sql.with_obs(_long_sql())
+          + "select measure, cast(count(value) as bigint) as count, round(avg(value), 2) as mean, "
+            "round(stddev_samp(value), 2) as stddev, round(var_samp(value), 2) as var, round(min(value), 2) as min, "
+            "round(quantile_cont(value, 0.25), 2) as q1, round(quantile_cont(value, 0.5), 2) as median, "
+            "round(quantile_cont(value, 0.75), 2) as q3, round(max(value), 2) as max, "
+            "round(quantile_cont(value, 0.75) - quantile_cont(value, 0.25), 2) as iqr from long group by measure")
+def q_advanced_statistics(spark, sf_dir):
+    return prof.advanced_statistics(observations(spark, sf_dir), MEASURES, digits=2)
+
+
+_BOX_CTES = [
+    _long_sql(),
+    "q as (select measure, quantile_cont(value, 0.25) as q1, quantile_cont(value, 0.5) as median, "
+    "quantile_cont(value, 0.75) as q3 from long group by measure)",
+    "f as (select measure, q1, median, q3, q3 - q1 as iqr, q1 - 1.5 * (q3 - q1) as lower_fence, "
+    "q3 + 1.5 * (q3 - q1) as upper_fence from q)",
+]
+
+
+@register("boxplot_stats", sql.with_obs(*_BOX_CTES)
+          + "select f.*, min(case when value between lower_fence and upper_fence then value end) as whisker_low, "
+            "max(case when value between lower_fence and upper_fence then value end) as whisker_high, "
+            "cast(sum(case when value between lower_fence and upper_fence then 0 else 1 end) as bigint) as n_outliers "
+            "from f join long using (measure) group by all")
+def q_boxplot_stats(spark, sf_dir):
+    return prof.boxplot_stats(observations(spark, sf_dir), MEASURES)
+
+
+def _long_keyed_sql() -> str:
+    return "longk as (" + " union all ".join(
+        f"select obs_id, station, obs_date, '{m}' as measure, {m} as value from obs where {m} is not null"
+        for m in MEASURES) + ")"
+
+
+@register("outlier_rows", sql.with_obs(*_BOX_CTES, _long_keyed_sql())
+          + "select l.measure, l.obs_id, l.station, l.obs_date, l.value, f.lower_fence, f.upper_fence "
+            "from longk l join f using (measure) where l.value < f.lower_fence or l.value > f.upper_fence")
+def q_outlier_rows(spark, sf_dir):
+    return prof.outlier_rows(observations(spark, sf_dir), MEASURES, keep=("obs_id", "station", "obs_date"))
+
+
+@register("histogram30", sql.with_obs(
+    _long_sql(),
+    "rng as (select measure, min(value) as lo, max(value) as hi from long group by measure)",
+    f"cnt as (select l.measure, cast(case when hi = lo then 0 else least(floor((value - lo) / ((hi - lo) / {float(HIST_BINS)})), {HIST_BINS - 1}) end as bigint) as bin, "
+    "count(*) as c from long l join rng using (measure) group by all)",
+    f"grid as (select measure, lo, hi, cast(b.range as bigint) as bin from rng, range({HIST_BINS}) b)")
+    + f"select g.measure, g.bin, g.lo + g.bin * ((g.hi - g.lo) / {float(HIST_BINS)}) as bin_lo, "
+      f"g.lo + (g.bin + 1) * ((g.hi - g.lo) / {float(HIST_BINS)}) as bin_hi, cast(coalesce(c, 0) as bigint) as count, "
+      "round(log10(c), 6) as log10_count from grid g left join cnt using (measure, bin)")
+def q_histogram30(spark, sf_dir):
+    return prof.histogram(observations(spark, sf_dir), MEASURES, HIST_BINS)
+
+
+@register("kde_curve", sql.with_obs(
+    _long_sql(),
+    "vc as (select measure, value, count(*) as w from long group by all)",
+    "st as (select measure, count(*) as n, min(value) as lo, max(value) as hi, stddev_samp(value) as sd from long group by measure)",
+    f"st2 as (select *, sd * pow(cast(n as double), -0.2) as bw, (hi - lo) / {float(KDE_POINTS - 1)} as step from st)",
+    f"g as (select measure, cast(range as bigint) as point from st2, range({KDE_POINTS}))")
+    + "select g.measure, g.point, s.lo + g.point * s.step as x, "
+      "round(sum(v.w * exp(-0.5 * ((s.lo + g.point * s.step - v.value) / s.bw) * ((s.lo + g.point * s.step - v.value) / s.bw))) "
+      "/ (s.n * s.bw * sqrt(2 * pi())), 6) as density "
+      "from g join st2 s using (measure) join vc v using (measure) group by g.measure, g.point, s.lo, s.step, s.n, s.bw")
+def q_kde_curve(spark, sf_dir):
+    return prof.kde_curve(observations(spark, sf_dir), MEASURES, KDE_POINTS)
+
+
+@register("correlation_matrix", sql.with_obs() + " union all ".join(
+    f"select '{a}' as var_a, '{b}' as var_b, round(corr({a}, {b}), 6) as corr from obs" for a in MEASURES for b in MEASURES))
+def q_correlation_matrix(spark, sf_dir):
+    return prof.correlation_matrix(observations(spark, sf_dir), MEASURES)
+
+
+# Descriptions of the typed observation columns.
+OBS_DESCRIPTIONS = {
+    "obs_id": "Observation key",
+    "station": "Observing station",
+    "obs_date": "Observation date",
+    "min_temp": "Lowest temperature of the day (deg C)",
+    "max_temp": "Highest temperature of the day (deg C)",
+    "rainfall": "Rain over the day (mm)",
+}
+DEFAULT_DESCRIPTION = "Other averaged measure"
+
+
+@register("data_dictionary")
+def q_data_dictionary(spark, sf_dir):
+    typed = ingest.typed_observations(raw_text_observations(spark, sf_dir), ("obs_date",), MEASURES)
+    return prof.data_dictionary(typed, OBS_DESCRIPTIONS, DEFAULT_DESCRIPTION)
