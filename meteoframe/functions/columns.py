@@ -95,5 +95,5 @@ def poisson1_weight(u: Column, k_max: int = 12) -> Column:
 
 def poisson1_weight_sql(u_sql: str, k_max: int = 12) -> str:
     """The same draw as SQL text (for the DuckDB oracle)."""
-    arms = " ".join(f"when {u_sql} < {cdf!r} then {k}" for k, cdf in enumerate(poisson1_cdf(k_max)))
+    arms = " ".join(f"when {u_sql} < cast({cdf!r} as double) then {k}" for k, cdf in enumerate(poisson1_cdf(k_max)))
     return f"(case {arms} else {k_max + 1} end)"

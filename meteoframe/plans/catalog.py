@@ -12,8 +12,14 @@ from pyspark.sql import functions as F
 
 from meteoframe.operators import impute as imp
 from meteoframe.operators import profile as prof
+from meteoframe.operators import evaluate as ev
+from meteoframe.operators import features as feat
+from meteoframe.operators import models as mdl
+from meteoframe.operators import score as sc
+from meteoframe.functions import columns as cols
 from meteoframe.operators import series as ser
 from meteoframe.plans import oracle as sql
+from meteoframe.plans.stages import materialize
 from meteoframe.sources import ingest
 from meteoframe.sources.observations import MEASURES, observations, raw_text_observations
 from meteoframe.spec import REFERENCE_SPEC
@@ -49,8 +55,20 @@ def features(spark: SparkSession, sf_dir: str, spec=REFERENCE_SPEC) -> DataFrame
     return ser.lag_lead_features(imp.impute_mixed(observations(spark, sf_dir)), spec)
 
 
+_STAGES: dict[tuple, DataFrame] = {}
+
+
 def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ser.chronological_split(features(spark, sf_dir), TRAIN_RATIO)
+    """Feature table with ``row_idx`` and the train/test tag, written once per input.
+
+    Everything downstream (profiles of features, scaling, models, scoring,
+    evaluation) reads this stage instead of re-deriving it.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, "split")
+    if key not in _STAGES:
+        split = ser.chronological_split(features(spark, sf_dir), TRAIN_RATIO)
+        _STAGES[key] = materialize(split, "split")
+    return _STAGES[key]
 
 
 def boundary_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,3 +343,242 @@ DEFAULT_DESCRIPTION = "Other averaged measure"
 def q_data_dictionary(spark, sf_dir):
     typed = ingest.typed_observations(raw_text_observations(spark, sf_dir), ("obs_date",), MEASURES)
     return prof.data_dictionary(typed, OBS_DESCRIPTIONS, DEFAULT_DESCRIPTION)
+
+
+# ----------------------------------------------------------------- features and scaling
+
+SPEC = REFERENCE_SPEC
+FEATURES = SPEC.feature_cols
+TARGETS = SPEC.target_cols
+DAY1 = [SPEC.target_col(m, 1) for m in SPEC.measures]
+# Display names of the day-1 predictions on the context chart.
+PRED_NAMES = {SPEC.target_col("min_temp", 1): "Pred_Min", SPEC.target_col("max_temp", 1): "Pred_Max",
+              SPEC.target_col("rainfall", 1): "Pred_Rain"}
+
+
+def _train_test(spark, sf_dir):
+    s = split_table(spark, sf_dir)
+    return s, s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
+
+
+@register("standardized_features", sql.with_obs(*sql.split_ctes(TRAIN_RATIO),
+          "mom as (select " + ", ".join(f"avg({c}) as m_{c}, stddev_samp({c}) as s_{c}" for c in FEATURES)
+          + " from split where split = 'train')")
+          + "select obs_id, split, " + ", ".join(f"round(({c} - m_{c}) / s_{c}, 6) as {c}_z" for c in FEATURES)
+          + " from split, mom")
+def q_standardized_features(spark, sf_dir):
+    s, train, _ = _train_test(spark, sf_dir)
+    scaling = feat.fit_scaling(train, FEATURES)
+    scaled = scaling.transform(s.select("obs_id", "split", *FEATURES))
+    return feat.scaled_columns(scaled, FEATURES, digits=6).drop(*FEATURES)
+
+
+_EFFECT = [FEATURES[0], FEATURES[2]]
+
+
+@register("scaling_effect", sql.with_obs(*sql.split_ctes(TRAIN_RATIO),
+          "mom as (select " + ", ".join(f"avg({c}) as m_{c}, stddev_samp({c}) as s_{c}" for c in _EFFECT)
+          + " from split where split = 'train')",
+          "z as (select " + ", ".join(f"{c}, round(({c} - m_{c}) / s_{c}, 6) as {c}_z" for c in _EFFECT) + " from split, mom)",
+          "long as (" + " union all ".join(f"select '{c}' as measure, {c} as value from z" for c in _EFFECT + [f"{c}_z" for c in _EFFECT]) + ")",
+          "q as (select measure, quantile_cont(value, 0.25) as q1, quantile_cont(value, 0.5) as median, "
+          "quantile_cont(value, 0.75) as q3 from long group by measure)",
+          "f as (select measure, q1, median, q3, q3 - q1 as iqr, q1 - 1.5 * (q3 - q1) as lower_fence, "
+          "q3 + 1.5 * (q3 - q1) as upper_fence from q)",
+          "b as (select f.*, min(case when value between lower_fence and upper_fence then value end) as whisker_low, "
+          "max(case when value between lower_fence and upper_fence then value end) as whisker_high, "
+          "cast(sum(case when value between lower_fence and upper_fence then 0 else 1 end) as bigint) as n_outliers "
+          "from f join long using (measure) group by all)")
+          + "select measure, " + ", ".join(f"round({c}, 6) as {c}" for c in
+                                          ("q1", "median", "q3", "iqr", "lower_fence", "upper_fence", "whisker_low", "whisker_high"))
+          + ", n_outliers, case when measure like '%\\_z' escape '\\' then 'scaled' else 'raw' end as kind from b")
+def q_scaling_effect(spark, sf_dir):
+    s, train, _ = _train_test(spark, sf_dir)
+    z = feat.standardize_columns(s.select(*_EFFECT), _EFFECT, fit_on=train.select(*_EFFECT), digits=6)
+    eff = feat.scaling_effect(z, _EFFECT, [f"{c}_z" for c in _EFFECT])
+    r = ("q1", "median", "q3", "iqr", "lower_fence", "upper_fence", "whisker_low", "whisker_high")
+    return eff.select("measure", *[F.round(c, 6).alias(c) for c in r], "n_outliers", "kind")
+
+
+@register("ridge_one_lag", sql.with_obs(*sql.split_ctes(TRAIN_RATIO),
+          "st as (select count(*) as n, avg(min_temp) as mx, avg(Target_min_temp_D1) as my, stddev_pop(min_temp) as sx, "
+          "stddev_pop(Target_min_temp_D1) as sy, corr(min_temp, Target_min_temp_D1) as r from split where split = 'train')")
+          + "select cast(n as bigint) as n, round(r / (1.0 + 0.1 / sy) * sy / sx, 6) as slope, "
+            "round(my - (r / (1.0 + 0.1 / sy) * sy / sx) * mx, 6) as intercept from st")
+def q_ridge_one_lag(spark, sf_dir):
+    _, train, _ = _train_test(spark, sf_dir)
+    fit = mdl.ridge_one_lag_closed_form(train, "min_temp", SPEC.target_col("min_temp", 1), 0.1)
+    return fit.select("n", F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))
+
+
+# ----------------------------------------------------------------- evaluation on the persistence predictor
+
+def _last_test(spark, sf_dir):
+    _, _, test = _train_test(spark, sf_dir)
+    return ev.persistence_predictions(test, SPEC)
+
+
+def _sq(t: str, m: str) -> str:
+    return f"({m} - {t}) * ({m} - {t})"
+
+
+def _target_measure(t: str) -> str:
+    return t[len("Target_"):t.rindex("_D")]
+
+
+@register("rmse_by_target", sql.with_obs(*sql.split_ctes(TRAIN_RATIO)) + " union all ".join(
+    f"select 'LAST' as algo, '{t}' as target, round(sqrt(avg({_sq(t, _target_measure(t))})), 6) as rmse "
+    f"from split where split = 'test'" for t in TARGETS))
+def q_rmse_by_target(spark, sf_dir):
+    return ev.rmse_table(_last_test(spark, sf_dir), ["LAST"], TARGETS)
+
+
+@register("persistence_rmse", sql.with_obs(*sql.split_ctes(TRAIN_RATIO)) + " union all ".join(
+    f"select split, '{t}' as target, round(sqrt(avg({_sq(t, _target_measure(t))})), 6) as rmse "
+    f"from split group by split" for t in TARGETS))
+def q_persistence_rmse(spark, sf_dir):
+    s = ev.persistence_predictions(split_table(spark, sf_dir), SPEC)
+    aggs = [F.round(F.sqrt(F.avg((F.col(t) - F.col(_target_measure(t))) ** 2)), 6).alias(t) for t in TARGETS]
+    return s.groupBy("split").agg(*aggs).unpivot(["split"], TARGETS, "target", "rmse")
+
+
+def _boot_sql_cte(runs: int = BOOTSTRAP_RUNS) -> str:
+    w = sql.bootstrap_weight_sql("obs_id", "(42 + r.range)")
+    sums = ", ".join(f"sum(w * {_sq(t, _target_measure(t))}) as s_{i}" for i, t in enumerate(TARGETS))
+    return (f"bw as (select cast(r.range as bigint) as run, t.*, {w} as w "
+            f"from (select * from split where split = 'test') t, range(1, {runs + 1}) r), "
+            f"bs as (select run, sum(w) as sw, {sums} from bw group by run), "
+            "boot as (" + " union all ".join(
+                f"select run, 'LAST' as algo, '{t}' as target, sqrt(s_{i} / sw) as rmse from bs"
+                for i, t in enumerate(TARGETS)) + ")")
+
+
+@register("bootstrap_rmse", sql.with_obs(*sql.split_ctes(TRAIN_RATIO), _boot_sql_cte())
+          + "select run, algo, target, round(rmse, 6) as rmse from boot")
+def q_bootstrap_rmse(spark, sf_dir):
+    return ev.bootstrap_rmse(_last_test(spark, sf_dir), ["LAST"], TARGETS, BOOTSTRAP_RUNS)
+
+
+@register("rmse_by_horizon", sql.with_obs(*sql.split_ctes(TRAIN_RATIO), _boot_sql_cte())
+          + "select run, algo, 'D' || substr(target, length(target)) as horizon, round(avg(round(rmse, 6)), 6) as avg_rmse "
+            "from boot group by all")
+def q_rmse_by_horizon(spark, sf_dir):
+    return ev.rmse_by_horizon(ev.bootstrap_rmse(_last_test(spark, sf_dir), ["LAST"], TARGETS, BOOTSTRAP_RUNS))
+
+
+def _report_sql() -> str:
+    avg_cols = [f"LAST_Avg_Day{d}" for d in (1, 2)]
+    rmse_cols = [f"RMSE_LAST_{t}" for t in TARGETS]
+    per_run = ("wide as (select run, "
+               + ", ".join(f"avg(case when target like '%D{d}' then rmse end) as LAST_Avg_Day{d}" for d in (1, 2)) + ", "
+               + ", ".join(f"max(case when target = '{t}' then rmse end) as RMSE_LAST_{t}" for t in TARGETS)
+               + " from (select run, algo, target, round(rmse, 6) as rmse from boot) group by run)")
+    cols = avg_cols + rmse_cols
+    return (sql.with_obs(*sql.split_ctes(TRAIN_RATIO), _boot_sql_cte(), per_run)
+            + "select case when grouping(run) = 1 then 'FINAL_AVERAGE' else cast(run as varchar) end as Run_ID, "
+            + ", ".join(f"round(avg({c}), 6) as {c}" for c in cols)
+            + " from wide group by grouping sets ((run), ())")
+
+
+@register("bootstrap_report", _report_sql())
+def q_bootstrap_report(spark, sf_dir):
+    boot = ev.bootstrap_rmse(_last_test(spark, sf_dir), ["LAST"], TARGETS, BOOTSTRAP_RUNS)
+    return ev.bootstrap_report(boot, ["LAST"], TARGETS, SPEC.leads)
+
+
+@register("prediction_delta", sql.with_obs(*sql.split_ctes(TRAIN_RATIO)) + " union all ".join(
+    f"select obs_id, obs_date, 'LAST' as algo, '{t}' as target, {_target_measure(t)} as prediction, {t} as actual, "
+    f"{_target_measure(t)} - {t} as delta from split where split = 'test'" for t in TARGETS))
+def q_prediction_delta(spark, sf_dir):
+    return ev.prediction_delta(_last_test(spark, sf_dir), ["LAST"], TARGETS)
+
+
+@register("rain_advice", sql.with_obs(*sql.split_ctes(TRAIN_RATIO))
+          + "select obs_id, obs_date, rainfall as prediction, case when rainfall > 5.0 then 'heavy' "
+            "when rainfall > 0.5 then 'light' when rainfall is not null then 'dry' end as advice "
+            "from split where split = 'test'")
+def q_rain_advice(spark, sf_dir):
+    last = _last_test(spark, sf_dir)
+    p = F.col(ev.pred_col("LAST", SPEC.target_col("rainfall", 1)))
+    return last.select("obs_id", "obs_date", p.alias("prediction"), cols.rain_advice(p).alias("advice"))
+
+
+def _context_rows(spark, sf_dir):
+    """Test rows within +-CONTEXT_DAYS of the picked day, one representative per date."""
+    _, _, test = _train_test(spark, sf_dir)
+    ctx = ser.context_window(test.drop("split", "row_idx"), PICKED_DATE, CONTEXT_DAYS)
+    return ser.one_row_per_date(ctx)
+
+
+@register("actual_vs_predicted", sql.with_obs(*sql.split_ctes(TRAIN_RATIO))
+          + "select obs_date, Target_rainfall_D1, Target_max_temp_D1, Target_min_temp_D1, "
+            "min_temp as Pred_Min, max_temp as Pred_Max, rainfall as Pred_Rain from ("
+            "select *, row_number() over (partition by obs_date order by station, obs_id) as rn from split "
+            f"where split = 'test' and obs_date between date '{PICKED_DATE}' - interval {CONTEXT_DAYS} day "
+            f"and date '{PICKED_DATE}' + interval {CONTEXT_DAYS} day) where rn = 1")
+def q_actual_vs_predicted(spark, sf_dir):
+    scored = ev.persistence_predictions(_context_rows(spark, sf_dir), SPEC)
+    return sc.actual_vs_predicted(scored, "LAST", DAY1, PRED_NAMES)
+
+
+# ----------------------------------------------------------------- models (rows-only checks)
+
+_MODEL_CACHE: dict[tuple, dict] = {}
+
+
+def trained_models(spark, sf_dir, algos=mdl.ALGOS):
+    """Fit (once per session and input) the per-target regressors on the training rows."""
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(algos))
+    if key not in _MODEL_CACHE:
+        _, train, _ = _train_test(spark, sf_dir)
+        _MODEL_CACHE[key] = mdl.train_models(train, FEATURES, TARGETS, algos)
+    return _MODEL_CACHE[key]
+
+
+@register("train_lr")
+def q_train_lr(spark, sf_dir):
+    return mdl.model_summary(spark, trained_models(spark, sf_dir, ("LR",)), FEATURES)
+
+
+@register("train_rf")
+def q_train_rf(spark, sf_dir):
+    return mdl.model_summary(spark, trained_models(spark, sf_dir, ("RF",)), FEATURES)
+
+
+@register("score_table")
+def q_score_table(spark, sf_dir):
+    _, _, test = _train_test(spark, sf_dir)
+    return sc.score_all(test, trained_models(spark, sf_dir))
+
+
+@register("forecast_card")
+def q_forecast_card(spark, sf_dir):
+    _, _, test = _train_test(spark, sf_dir)
+    day = ser.one_row_per_date(ser.observation_on_date(test.drop("split", "row_idx"), PICKED_DATE))
+    scored = sc.score_all(day, trained_models(spark, sf_dir))
+    ctx = [SPEC.lag_col(m, 1) for m in SPEC.measures]
+    return sc.forecast_card(scored, mdl.ALGOS, TARGETS, context_cols=ctx)
+
+
+@register("forecast_context")
+def q_forecast_context(spark, sf_dir):
+    models = {k: v for k, v in trained_models(spark, sf_dir).items() if k.startswith("RF_")}
+    scored = sc.score_all(_context_rows(spark, sf_dir), models)
+    return sc.actual_vs_predicted(scored, "RF", DAY1, PRED_NAMES)
+
+
+@register("boundary_forecast")
+def q_boundary_forecast(spark, sf_dir):
+    models = trained_models(spark, sf_dir)
+    pos = ser.slice_positions(boundary_slice(spark, sf_dir))
+    scored = sc.score_all(pos, models)
+    return scored.select("pos", "obs_date", cols.day_label("obs_date").alias("label"), "Type", *TARGETS,
+                         *[ev.pred_col(a, t) for a in mdl.ALGOS for t in TARGETS])
+
+
+@register("model_bootstrap_report")
+def q_model_bootstrap_report(spark, sf_dir):
+    _, _, test = _train_test(spark, sf_dir)
+    scored = sc.score_all(test, trained_models(spark, sf_dir))
+    boot = ev.bootstrap_rmse(scored, mdl.ALGOS, TARGETS, BOOTSTRAP_RUNS)
+    return ev.bootstrap_report(boot, mdl.ALGOS, TARGETS, SPEC.leads)

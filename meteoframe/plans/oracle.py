@@ -76,5 +76,6 @@ def boundary_ctes(n: int = 100) -> list[str]:
 
 
 def bootstrap_weight_sql(id_sql: str, run_sql: str) -> str:
-    u = f"(cast(('0x' || substr(md5(cast({id_sql} as varchar) || '-' || cast({run_sql} as varchar)), 1, 8)) as bigint) / 4294967296.0)"
+    u = (f"(cast(cast(('0x' || substr(md5(cast({id_sql} as varchar) || '-' || cast({run_sql} as varchar)), 1, 8)) as bigint) as double)"
+         " / cast(4294967296 as double))")
     return poisson1_weight_sql(u)
