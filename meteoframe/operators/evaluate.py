@@ -70,6 +70,15 @@ def bootstrap_rmse(scored: DataFrame, algos: Sequence[str], targets: Sequence[st
     return wide.select(F.inline(F.array(*cols)))
 
 
+def reference_resample(df: DataFrame, run: int, seed: int = 42) -> DataFrame:
+    """The original resampling, ``sample(with replacement, 1.0, seed + run)``.
+
+    Its rows depend on the physical partitioning of ``df``; ``bootstrap_rmse``
+    is the layout-independent form used by the reports.
+    """
+    return df.sample(withReplacement=True, fraction=1.0, seed=seed + run)
+
+
 def horizon_of(target_col: str = "target"):
     """horizon label ('D1', 'D2', ...) parsed from the target name."""
     return F.concat(F.lit("D"), F.regexp_extract(F.col(target_col), r"_D(\d+)$", 1))
@@ -92,12 +101,14 @@ def bootstrap_report(rmse_long: DataFrame, algos: Sequence[str], targets: Sequen
     """
     avg_cols = [f"{a}_Avg_Day{d}" for d in range(1, leads + 1) for a in algos]
     rmse_cols = [f"RMSE_{a}_{t}" for t in targets for a in algos]
-    run_rmse = rmse_long.withColumn("col", F.concat(F.lit("RMSE_"), "algo", F.lit("_"), "target"))
-    per_run_models = run_rmse.groupBy("run").pivot("col", rmse_cols).agg(F.first("rmse"))
-    day = F.regexp_extract(F.col("target"), r"_D(\d+)$", 1)
-    hz = rmse_long.withColumn("col", F.concat(F.col("algo"), F.lit("_Avg_Day"), day))
-    per_run_avg = hz.groupBy("run").pivot("col", avg_cols).agg(F.avg("rmse"))
-    wide = per_run_models.join(per_run_avg, "run")
+    day = F.regexp_extract(F.col("target"), r"_D(\d+)$", 1).cast("int")
+    # One conditional aggregate per run gives every report column: the
+    # bootstrap pass underneath runs once.
+    per_run = [F.avg(F.when((F.col("algo") == a) & (day == d), F.col("rmse"))).alias(f"{a}_Avg_Day{d}")
+               for d in range(1, leads + 1) for a in algos]
+    per_run += [F.max(F.when((F.col("algo") == a) & (F.col("target") == t), F.col("rmse"))).alias(f"RMSE_{a}_{t}")
+                for t in targets for a in algos]
+    wide = rmse_long.groupBy("run").agg(*per_run)
     rolled = wide.rollup("run").agg(
         F.grouping("run").alias("_g"), *[F.avg(c).alias(c) for c in avg_cols + rmse_cols])
     run_id = F.when(F.col("_g") == 1, F.lit(FINAL_ROW)).otherwise(F.col("run").cast("string"))

@@ -194,3 +194,15 @@ def axis_ticks(boundary: DataFrame, ticks: int = 10, index_col: str = "row_idx",
     # The slice is at most 2n rows (a limit that is the feature), so this join is small on both sides.
     return wanted.join(with_pos.select("pos", date_col), "pos").select(
         "tick", "pos", date_col, day_label(date_col).alias("label"))
+
+
+# --------------------------------------------------------------------------- display helpers
+
+def first_rows(df: DataFrame, n: int = 5, order_cols: Sequence[str] = ("obs_date", "obs_id")) -> DataFrame:
+    """The first ``n`` rows in a total order (top-k; the limit is the feature)."""
+    return df.orderBy(*order_cols).limit(n)
+
+
+def sorted_for_output(df: DataFrame, order_cols: Sequence[str] = ("obs_date",)) -> DataFrame:
+    """Order rows only where they leave the engine (report, chart, file)."""
+    return df.orderBy(*order_cols)

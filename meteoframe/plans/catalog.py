@@ -527,12 +527,18 @@ _MODEL_CACHE: dict[tuple, dict] = {}
 
 
 def trained_models(spark, sf_dir, algos=mdl.ALGOS):
-    """Fit (once per session and input) the per-target regressors on the training rows."""
-    key = (spark.sparkContext.applicationId, sf_dir, tuple(algos))
-    if key not in _MODEL_CACHE:
+    """Fit (once per session, input and algorithm) the per-target regressors on the training rows."""
+    app = spark.sparkContext.applicationId
+    todo = [a for a in algos if (app, sf_dir, a) not in _MODEL_CACHE]
+    if todo:
         _, train, _ = _train_test(spark, sf_dir)
-        _MODEL_CACHE[key] = mdl.train_models(train, FEATURES, TARGETS, algos)
-    return _MODEL_CACHE[key]
+        fitted = mdl.train_models(train, FEATURES, TARGETS, todo)
+        for a in todo:
+            _MODEL_CACHE[(app, sf_dir, a)] = {k: m for k, m in fitted.items() if k.startswith(f"{a}_")}
+    out = {}
+    for a in algos:
+        out.update(_MODEL_CACHE[(app, sf_dir, a)])
+    return out
 
 
 @register("train_lr")
