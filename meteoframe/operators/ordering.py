@@ -31,7 +31,12 @@ _PERSISTED: list[DataFrame] = []
 
 
 def release_cached() -> None:
-    """Unpersist the range-sorted intermediates of earlier row-index plans."""
+    """Unpersist the range-sorted intermediates of earlier row-index plans.
+
+    Only for a caller that no longer uses any DataFrame built before the call
+    (end of a pipeline, between benchmark queries): a plan whose intermediate
+    is released would draw fresh range bounds in each of its two branches.
+    """
     while _PERSISTED:
         _PERSISTED.pop().unpersist()
 

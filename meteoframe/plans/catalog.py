@@ -339,7 +339,24 @@ OBS_DESCRIPTIONS = {
 DEFAULT_DESCRIPTION = "Other averaged measure"
 
 
-@register("data_dictionary")
+# DuckDB type names -> Spark simpleString names.
+_SPARK_TYPE_NAMES = {"BIGINT": "bigint", "VARCHAR": "string", "DATE": "date", "DOUBLE": "double"}
+
+
+def _dictionary_sql() -> str:
+    raw = ("raw as (select cast(obs_id as varchar) as obs_id, station, strftime(obs_date, '%Y-%m-%d') as obs_date, "
+           + ", ".join(f"coalesce(cast({m} as varchar), 'NA') as {m}" for m in MEASURES) + " from obs)")
+    typed = ("typed as (select obs_id, station, try_cast(obs_date as date) as obs_date, "
+             + ", ".join(f"try_cast({m} as double) as {m}" for m in MEASURES) + " from raw)")
+    names = " ".join(f"when '{k}' then '{v}'" for k, v in _SPARK_TYPE_NAMES.items())
+    descr = ", ".join(f"('{k}', '{v}')" for k, v in OBS_DESCRIPTIONS.items())
+    return (sql.with_obs(raw, typed)
+            + f"select column_name, case column_type {names} end as data_type, "
+              f"coalesce(d.descr, '{DEFAULT_DESCRIPTION}') as description "
+              f"from (describe select * from typed) left join (values {descr}) d(column_name, descr) using (column_name)")
+
+
+@register("data_dictionary", _dictionary_sql())
 def q_data_dictionary(spark, sf_dir):
     typed = ingest.typed_observations(raw_text_observations(spark, sf_dir), ("obs_date",), MEASURES)
     return prof.data_dictionary(typed, OBS_DESCRIPTIONS, DEFAULT_DESCRIPTION)

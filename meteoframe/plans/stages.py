@@ -14,7 +14,6 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from meteoframe.operators.ordering import release_cached
 from meteoframe.session import ensure_checkpoint_dir
 
 
@@ -24,5 +23,4 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/stages/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    release_cached()
     return spark.read.parquet(path)
