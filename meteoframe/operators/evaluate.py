@@ -49,25 +49,25 @@ def bootstrap_rmse(scored: DataFrame, algos: Sequence[str], targets: Sequence[st
     """(run, algo, target, rmse) over ``runs`` bootstrap resamples.
 
     Run r weights each row by a Poisson(1) draw from ``md5(key-(seed+r))``;
-    RMSE_r = sqrt(sum w*(y-p)^2 / sum w). All runs and pairs in one pass.
+    RMSE_r = sqrt(sum w*(y-p)^2 / sum w). Each row is repeated once per run
+    inside the map task and folded straight into a partial aggregate keyed by
+    run (a few sums per model), so the shuffle carries runs x tasks rows and
+    the aggregate stays inside whole-stage codegen.
     """
-    weights = [poisson1_weight(unit_hash(F.col(key_col), F.lit(seed + r))).alias(f"w{r}") for r in range(1, runs + 1)]
-    base = scored.select(*[F.col(c) for c in scored.columns], *weights)
-    aggs = []
-    for r in range(1, runs + 1):
-        aggs.append(F.sum(f"w{r}").alias(f"W{r}"))
-        for a in algos:
-            for t in targets:
-                aggs.append(F.sum(F.col(f"w{r}") * _sq_err(a, t)).alias(f"S{r}|{a}|{t}"))
-    wide = base.agg(*aggs)
+    per_run = scored.select(
+        *[F.col(c) for c in {key_col, *targets, *[pred_col(a, t) for a in algos for t in targets]}],
+        F.explode(F.sequence(F.lit(1), F.lit(runs))).alias("run"))
+    per_run = per_run.withColumn("w", poisson1_weight(unit_hash(F.col(key_col), F.col("run") + F.lit(seed))))
+    aggs = [F.sum("w").alias("W")]
+    aggs += [F.sum(F.col("w") * _sq_err(a, t)).alias(f"S|{a}|{t}") for a in algos for t in targets]
+    wide = per_run.groupBy("run").agg(*aggs)
     cols = []
-    for r in range(1, runs + 1):
-        for a in algos:
-            for t in targets:
-                v = F.sqrt(F.col(f"`S{r}|{a}|{t}`") / F.col(f"W{r}"))
-                cols.append(F.struct(F.lit(r).cast("bigint").alias("run"), F.lit(a).alias("algo"), F.lit(t).alias("target"),
-                                     (F.round(v, digits) if digits is not None else v).alias("rmse")))
-    return wide.select(F.inline(F.array(*cols)))
+    for a in algos:
+        for t in targets:
+            v = F.sqrt(F.col(f"`S|{a}|{t}`") / F.col("W"))
+            cols.append(F.struct(F.lit(a).alias("algo"), F.lit(t).alias("target"),
+                                 (F.round(v, digits) if digits is not None else v).alias("rmse")))
+    return wide.select(F.col("run").cast("bigint").alias("run"), F.inline(F.array(*cols)))
 
 
 def reference_resample(df: DataFrame, run: int, seed: int = 42) -> DataFrame:
