@@ -9,7 +9,8 @@ per range partition (its size is bounded by the partition count, not by the
 data) gives the offset of every range, and is broadcast back.
 
 ``shift_columns`` computes lag/lead columns along that order. Rows are cut
-into buckets of ``bucket_rows`` consecutive positions; the last ``max_lag``
+into buckets of consecutive positions (about one range partition each, never
+more than ``bucket_rows``); the last ``max_lag``
 rows of a bucket are copied into the next bucket and the first ``max_lead``
 rows into the previous one ("halo"), so a window partitioned by bucket sees
 every neighbour it needs. Each window task holds at most
@@ -45,13 +46,8 @@ def _default_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def with_row_index(df: DataFrame, order_cols: Sequence[str | Column], index_col: str = "row_idx",
-                   num_partitions: int | None = None) -> DataFrame:
-    """Add ``index_col`` (bigint, 1-based) = position of the row in ``order_cols``.
-
-    ``order_cols`` must form a total order (end with a unique key); otherwise
-    positions of tied rows are arbitrary, exactly like ``row_number``.
-    """
+def _indexed(df: DataFrame, order_cols: Sequence[str | Column], index_col: str,
+             num_partitions: int | None) -> tuple[DataFrame, DataFrame]:
     n = num_partitions or _default_partitions(df)
     # Persisted so that the size branch and the numbering branch read the same
     # RDD: range bounds come from a random sample drawn per exchange, and the
@@ -71,16 +67,28 @@ def with_row_index(df: DataFrame, order_cols: Sequence[str | Column], index_col:
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     local = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    return (
+    indexed = (
         ordered.join(F.broadcast(offsets), "_part")
         .withColumn(index_col, (F.col("_offset") + local + F.lit(1)).cast("bigint"))
         .drop("_mid", "_part", "_offset")
     )
+    return indexed, sizes
+
+
+def with_row_index(df: DataFrame, order_cols: Sequence[str | Column], index_col: str = "row_idx",
+                   num_partitions: int | None = None) -> DataFrame:
+    """Add ``index_col`` (bigint, 1-based) = position of the row in ``order_cols``.
+
+    ``order_cols`` must form a total order (end with a unique key); otherwise
+    positions of tied rows are arbitrary, exactly like ``row_number``.
+    """
+    return _indexed(df, order_cols, index_col, num_partitions)[0]
 
 
 def shift_columns(df: DataFrame, shifts: Sequence[tuple[str, int, str]], order_cols: Sequence[str],
                   partition_by: Sequence[str] = (), bucket_rows: int = 1 << 20,
-                  index_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
+                  index_col: str | None = None, num_partitions: int | None = None,
+                  min_bucket_rows: int = 1024) -> DataFrame:
     """Add lag/lead columns along a total order, optionally per ``partition_by`` key.
 
     ``shifts`` holds ``(source column, offset, output name)``; a positive
@@ -90,19 +98,25 @@ def shift_columns(df: DataFrame, shifts: Sequence[tuple[str, int, str]], order_c
     """
     max_lag = max([k for _, k, _ in shifts if k > 0], default=0)
     max_lead = max([-k for _, k, _ in shifts if k < 0], default=0)
-    size = max(bucket_rows, max_lag, max_lead, 1)
     idx = "_idx"
-    indexed = with_row_index(df, list(partition_by) + list(order_cols), idx, num_partitions)
+    parts = num_partitions or _default_partitions(df)
+    indexed, sizes = _indexed(df, list(partition_by) + list(order_cols), idx, parts)
+    # Bucket length: about one range partition of rows, at least min_bucket_rows
+    # (keeps the halo share small), at most bucket_rows (bounds every window task).
+    total = sizes.agg(F.sum("_rows")).scalar()
+    floor_rows = max(min(min_bucket_rows, bucket_rows), max_lag, max_lead, 1)
+    cap_rows = max(bucket_rows, floor_rows)
+    size = F.least(F.lit(cap_rows), F.greatest(F.lit(floor_rows), F.ceil(total / F.lit(parts)))).cast("bigint")
 
     pos = F.col(idx) - 1
     bucket = F.floor(pos / size).cast("bigint")
     offset_in_bucket = pos % size
     copies = F.array(
         F.struct(bucket.alias("b"), F.lit(False).alias("halo")),
-        F.when(offset_in_bucket >= size - max_lag, F.struct((bucket + 1).alias("b"), F.lit(True).alias("halo"))),
+        F.when(offset_in_bucket >= size - F.lit(max_lag), F.struct((bucket + 1).alias("b"), F.lit(True).alias("halo"))),
         F.when((offset_in_bucket < max_lead) & (bucket > 0), F.struct((bucket - 1).alias("b"), F.lit(True).alias("halo"))),
     )
-    spread = indexed.withColumn("_copy", F.explode(F.filter(copies, lambda c: c.isNotNull())))
+    spread = indexed.withColumn("_copy", F.explode(copies)).filter(F.col("_copy").isNotNull())
     spread = spread.withColumn("_bucket", F.col("_copy.b")).withColumn("_halo", F.col("_copy.halo")).drop("_copy")
 
     w = Window.partitionBy("_bucket", *partition_by).orderBy(idx)
