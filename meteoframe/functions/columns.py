@@ -97,3 +97,18 @@ def poisson1_weight_sql(u_sql: str, k_max: int = 12) -> str:
     """The same draw as SQL text (for the DuckDB oracle)."""
     arms = " ".join(f"when {u_sql} < cast({cdf!r} as double) then {k}" for k, cdf in enumerate(poisson1_cdf(k_max)))
     return f"(case {arms} else {k_max + 1} end)"
+
+
+def pearson(a: str | Column, b: str | Column) -> Column:
+    """Pearson correlation over rows where both are present; null for a constant input.
+
+    Spark's ``corr`` divides by zero (an error under ANSI) when either side
+    is constant, so the ratio is formed with ``try_divide``. The standard
+    deviations are taken over the same pairwise-complete rows as the
+    covariance.
+    """
+    x, y = without_nan(a), without_nan(b)
+    both = x.isNotNull() & y.isNotNull()
+    sx = F.stddev_samp(F.when(both, x))
+    sy = F.stddev_samp(F.when(both, y))
+    return F.try_divide(F.covar_samp(x, y), sx * sy)

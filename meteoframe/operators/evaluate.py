@@ -64,7 +64,7 @@ def bootstrap_rmse(scored: DataFrame, algos: Sequence[str], targets: Sequence[st
     cols = []
     for a in algos:
         for t in targets:
-            v = F.sqrt(F.col(f"`S|{a}|{t}`") / F.col("W"))
+            v = F.sqrt(F.try_divide(F.col(f"`S|{a}|{t}`"), F.col("W")))
             cols.append(F.struct(F.lit(a).alias("algo"), F.lit(t).alias("target"),
                                  (F.round(v, digits) if digits is not None else v).alias("rmse")))
     return wide.select(F.col("run").cast("bigint").alias("run"), F.inline(F.array(*cols)))

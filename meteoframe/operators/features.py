@@ -51,7 +51,9 @@ def standardize_columns(df: DataFrame, feature_cols: Sequence[str], fit_on: Data
                        *[F.stddev_samp(c).alias(f"s_{c}") for c in feature_cols])
     out = []
     for c in feature_cols:
-        z = (F.col(c) - moments.select(f"m_{c}").scalar()) / moments.select(f"s_{c}").scalar()
+        sd = moments.select(f"s_{c}").scalar()
+        # A constant feature scales to 0.0, as the MLlib scaler does.
+        z = F.when(sd == 0, F.lit(0.0)).otherwise(F.try_divide(F.col(c) - moments.select(f"m_{c}").scalar(), sd))
         out.append((F.round(z, digits) if digits is not None else z).alias(f"{c}{suffix}"))
     return df.select("*", *out)
 

@@ -19,6 +19,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meteoframe.functions.columns import pearson
 from meteoframe.operators.features import VECTOR, fit_scaling
 
 # Hyper-parameters of the two regressors.
@@ -127,8 +128,9 @@ def ridge_one_lag_closed_form(df: DataFrame, x: str, y: str, reg_param: float =
     b = r / (1 + lambda / sd_y) * sd_y / sd_x and a = mean_y - b * mean_x.
     """
     st = df.agg(F.avg(x).alias("mx"), F.avg(y).alias("my"), F.stddev_pop(x).alias("sx"),
-                F.stddev_pop(y).alias("sy"), F.corr(x, y).alias("r"), F.count(F.lit(1)).alias("n"))
-    slope = F.col("r") / (F.lit(1.0) + F.lit(reg_param) / F.col("sy")) * F.col("sy") / F.col("sx")
+                F.stddev_pop(y).alias("sy"), pearson(x, y).alias("r"), F.count(F.lit(1)).alias("n"))
+    shrink = F.lit(1.0) + F.try_divide(F.lit(reg_param), F.col("sy"))
+    slope = F.try_divide(F.col("r") * F.col("sy"), shrink * F.col("sx"))
     return st.select("n", slope.alias("slope"), (F.col("my") - slope * F.col("mx")).alias("intercept"))
 
 

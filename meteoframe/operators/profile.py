@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meteoframe.functions.columns import without_nan
+from meteoframe.functions.columns import pearson, without_nan
 from meteoframe.operators.ordering import with_running_total
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -40,16 +40,26 @@ def table_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)).cast("bigint"))
 
 
+def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(measure, count, mean, stddev, var, min, max): one aggregate over all measures.
+
+    A measure with no values keeps its row (count 0, the rest null).
+    """
+    aggs = []
+    for c in cols:
+        v = without_nan(F.col(c).cast("double"))
+        aggs += [F.count(v).alias(f"{c}|count"), F.avg(v).alias(f"{c}|mean"), F.stddev_samp(v).alias(f"{c}|stddev"),
+                 F.var_samp(v).alias(f"{c}|var"), F.min(v).alias(f"{c}|min"), F.max(v).alias(f"{c}|max")]
+    wide = df.agg(*aggs)
+    stats = ("count", "mean", "stddev", "var", "min", "max")
+    rows = [F.struct(F.lit(c).alias("measure"), *[F.col(f"`{c}|{s}`").alias(s) for s in stats]) for c in cols]
+    return wide.select(F.inline(F.array(*rows)))
+
+
 def describe_measures(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """A2: typed describe — count, mean, stddev (sample), min, max per measure."""
-    long = _long_values(df, cols)
-    return long.groupBy("measure").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.round(F.stddev_samp("value"), digits).alias("stddev"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    m = moments(df, cols)
+    return m.select("measure", "count", "mean", F.round("stddev", digits).alias("stddev"), "min", "max")
 
 
 # --------------------------------------------------------------------------- quantiles
@@ -115,19 +125,14 @@ def _quartiles_wide(df: DataFrame, cols: Sequence[str], exact: bool, counts: Dat
 def advanced_statistics(df: DataFrame, cols: Sequence[str], digits: int = 2, exact: bool = True) -> DataFrame:
     """A3: count, mean, stddev, var, min, Q1, median, Q3, max, IQR per measure, rounded.
 
-    Moments come from the compacted value counts (sum of w, w*v, w*v^2 is
-    one partial aggregate); ``exact=False`` takes the quartiles from the
-    sketch as the original report did.
+    Moments of all measures are one aggregate; quartiles come from the
+    compacted value counts; ``exact=False`` takes them from the sketch as the
+    original report did. A measure without values keeps a row of nulls.
     """
     vc = value_counts(df, cols)
-    long = _long_values(df, cols)
-    moments = long.groupBy("measure").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("stddev"), F.var_samp("value").alias("var"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
     quart = _quartiles_wide(df, cols, exact, vc)
     r = lambda c: F.round(F.col(c), digits).alias(c)
-    return moments.join(quart, "measure").select(
+    return moments(df, cols).join(quart, "measure", "left").select(
         "measure", "count", r("mean"), r("stddev"), r("var"), r("min"), r("q1"), r("median"), r("q3"), r("max"),
         F.round(F.col("q3") - F.col("q1"), digits).alias("iqr"))
 
@@ -212,13 +217,13 @@ def kde_curve(df: DataFrame, cols: Sequence[str], points: int = 200, digits: int
         "measure", "value", "w", "n", "bw", "lo", step.alias("step"),
         F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
     x = F.col("lo") + F.col("point") * F.col("step")
-    z = (x - F.col("value")) / F.col("bw")
+    z = F.try_divide(x - F.col("value"), F.col("bw"))
     contrib = F.col("w") * F.exp(F.lit(-0.5) * z * z)
     dens = spread.groupBy("measure", "point").agg(
         F.first(x).alias("x"), F.sum(contrib).alias("s"), F.first("n").alias("n"), F.first("bw").alias("bw"))
     norm = F.col("n") * F.col("bw") * F.lit((2 * 3.141592653589793) ** 0.5)
     return dens.select("measure", F.col("point").cast("bigint").alias("point"), "x",
-                       F.round(F.col("s") / norm, digits).alias("density"))
+                       F.round(F.try_divide(F.col("s"), norm), digits).alias("density"))
 
 
 # --------------------------------------------------------------------------- correlation
@@ -226,7 +231,7 @@ def kde_curve(df: DataFrame, cols: Sequence[str], points: int = 200, digits: int
 def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """Pearson correlation of every ordered pair (pairwise-complete rows), one aggregate."""
     pairs = [(a, b) for a in cols for b in cols]
-    wide = df.agg(*[F.corr(without_nan(a), without_nan(b)).alias(f"{a}__{b}") for a, b in pairs])
+    wide = df.agg(*[pearson(a, b).alias(f"{a}__{b}") for a, b in pairs])
     long = wide.unpivot([], [f"{a}__{b}" for a, b in pairs], "pair", "corr")
     parts = F.split(F.col("pair"), "__")
     return long.select(parts.getItem(0).alias("var_a"), parts.getItem(1).alias("var_b"),
