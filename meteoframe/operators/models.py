@@ -43,16 +43,19 @@ def model_key(algo: str, target: str) -> str:
 
 def train_models(train: DataFrame, feature_cols: Sequence[str], targets: Sequence[str],
                  algos: Sequence[str] = ALGOS, parallelism: int = 6, key_cols: Sequence[str] = ("obs_id",),
-                 num_partitions: int | None = None) -> dict[str, PipelineModel]:
+                 num_partitions: int | None = None, rows_per_partition: int = 1 << 16) -> dict[str, PipelineModel]:
     """M9: fit the scaling once and every (algo, target) regressor on the scaled rows.
 
     The scaled rows are hash-partitioned on ``key_cols`` and sorted inside
     each partition before they are persisted: forest bagging draws per
     partition and row position, so a fixed layout makes the forests
-    repeatable for the same input whatever its upstream partitioning.
+    repeatable for the same input whatever its upstream partitioning. The
+    partition count follows the row count (``rows_per_partition``), capped
+    by ``spark.sql.shuffle.partitions``.
     """
     scaling = fit_scaling(train, feature_cols)
-    n = num_partitions or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cap = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or max(1, min(cap, -(-train.count() // rows_per_partition)))
     keys = [k for k in key_cols if k in train.columns]
     cols = [VECTOR, *targets]
     vectors = scaling.transform(train).select(*keys, *cols)

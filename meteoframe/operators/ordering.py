@@ -42,27 +42,30 @@ def release_cached() -> None:
         _PERSISTED.pop().unpersist()
 
 
-def _default_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _by_range(df: DataFrame, order_cols: Sequence[str | Column], num_partitions: int | None) -> DataFrame:
+    """Range partitions on the order; without an explicit count AQE may merge
+    neighbouring small ranges (they stay contiguous, so order is kept)."""
+    if num_partitions:
+        return df.repartitionByRange(num_partitions, *order_cols)
+    return df.repartitionByRange(*order_cols)
 
 
 def _indexed(df: DataFrame, order_cols: Sequence[str | Column], index_col: str,
              num_partitions: int | None) -> tuple[DataFrame, DataFrame]:
-    n = num_partitions or _default_partitions(df)
     # Persisted so that the size branch and the numbering branch read the same
     # RDD: range bounds come from a random sample drawn per exchange, and the
     # two branches would otherwise get differently pruned exchanges with
     # different bounds. A lost block is recomputed through the same shuffle
     # dependency (same bounds, same total order), so positions stay stable.
     ordered = (
-        df.repartitionByRange(n, *order_cols)
+        _by_range(df, order_cols, num_partitions)
         .sortWithinPartitions(*order_cols)
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright(F.col("_mid"), _LOCAL_BITS))
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     _PERSISTED.append(ordered)
-    # One row per range partition: bounded by n, safe to broadcast.
+    # One row per range partition: bounded by the partition count, safe to broadcast.
     sizes = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
@@ -99,14 +102,15 @@ def shift_columns(df: DataFrame, shifts: Sequence[tuple[str, int, str]], order_c
     max_lag = max([k for _, k, _ in shifts if k > 0], default=0)
     max_lead = max([-k for _, k, _ in shifts if k < 0], default=0)
     idx = "_idx"
-    parts = num_partitions or _default_partitions(df)
-    indexed, sizes = _indexed(df, list(partition_by) + list(order_cols), idx, parts)
+    indexed, sizes = _indexed(df, list(partition_by) + list(order_cols), idx, num_partitions)
     # Bucket length: about one range partition of rows, at least min_bucket_rows
     # (keeps the halo share small), at most bucket_rows (bounds every window task).
     total = sizes.agg(F.sum("_rows")).scalar()
+    ranges = sizes.agg(F.count(F.lit(1))).scalar()
     floor_rows = max(min(min_bucket_rows, bucket_rows), max_lag, max_lead, 1)
     cap_rows = max(bucket_rows, floor_rows)
-    size = F.least(F.lit(cap_rows), F.greatest(F.lit(floor_rows), F.ceil(total / F.lit(parts)))).cast("bigint")
+    per_range = F.ceil(F.try_divide(total, ranges))
+    size = F.least(F.lit(cap_rows), F.greatest(F.lit(floor_rows), per_range)).cast("bigint")
 
     pos = F.col(idx) - 1
     bucket = F.floor(pos / size).cast("bigint")
@@ -137,9 +141,8 @@ def with_running_total(df: DataFrame, order_cols: Sequence[str], weight_col: str
     sampling), a running sum inside each range (a window whose partition is
     one range), and a broadcast table of per-range totals (one row per range).
     """
-    n = num_partitions or _default_partitions(df)
     ranged = (
-        df.repartitionByRange(n, *order_cols)
+        _by_range(df, order_cols, num_partitions)
         .withColumn("_part", F.spark_partition_id())
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
