@@ -43,7 +43,7 @@ def model_key(algo: str, target: str) -> str:
 
 def train_models(train: DataFrame, feature_cols: Sequence[str], targets: Sequence[str],
                  algos: Sequence[str] = ALGOS, parallelism: int = 6, key_cols: Sequence[str] = ("obs_id",),
-                 num_partitions: int | None = None, rows_per_partition: int = 1 << 16) -> dict[str, PipelineModel]:
+                 num_partitions: int | None = None, rows_per_partition: int = 1 << 14) -> dict[str, PipelineModel]:
     """M9: fit the scaling once and every (algo, target) regressor on the scaled rows.
 
     The scaled rows are hash-partitioned on ``key_cols`` and sorted inside
