@@ -1,0 +1,44 @@
+"""End-to-end run over a small raw CSV in the original file layout."""
+
+import datetime as dt
+import math
+
+from meteoframe.operators import models as mdl
+from meteoframe.plans.pipeline import RAW_MEASURES, raw_spec, run_reference_pipeline
+
+
+def _write_csv(path):
+    lines = ["Date,Location,MinTemp,MaxTemp,Rainfall,Evaporation,Sunshine,WindGustDir,RainToday"]
+    start = dt.date(2010, 1, 1)
+    for s, station in enumerate(["Albury", "Cairns", "Hobart"]):
+        for d in range(80):
+            day = start + dt.timedelta(days=d)
+            lo = 5 + s * 4 + 6 * math.sin(d / 9.0)
+            hi = lo + 9 + (d % 5)
+            rain = "NA" if d % 13 == 0 else ("0" if d % 3 else f"{(d * 7 % 23) / 2:.1f}")
+            mn = "NA" if d % 17 == 0 else f"{lo:.1f}"
+            mx = "" if d % 19 == 0 else f"{hi:.1f}"
+            lines.append(f"{day.isoformat()},{station},{mn},{mx},{rain},NA,7.5,W,No")
+    lines.append("not-a-date,Albury,1,2,0,NA,NA,W,No")
+    path.write_text("\n".join(lines) + "\n")
+
+
+def test_reference_pipeline_end_to_end(spark, tmp_path):
+    csv = tmp_path / "weather.csv"
+    _write_csv(csv)
+    res = run_reference_pipeline(spark, str(csv), str(tmp_path / "out"), runs=3)
+    assert res.statistics.count() == 3
+    audit = {(r.phase, r.column_name): r.null_count for r in res.null_audit.collect()}
+    assert audit[("after", "MinTemp")] == 0 and audit[("before", "Rainfall")] > 0
+    split = {r.split: r["count"] for r in res.split.groupBy("split").count().collect()}
+    n = sum(split.values())
+    assert split["train"] == int(n * 0.8)
+    assert "MinTemp_L1" in res.split.columns and "Target_Rainfall_D2" in res.split.columns
+    assert spark.read.parquet(res.test_path).count() == split["test"]
+    report = res.report
+    assert report.columns[:5] == ["Run_ID", "LR_Avg_Day1", "RF_Avg_Day1", "LR_Avg_Day2", "RF_Avg_Day2"]
+    assert report.count() == 4
+    loaded, missing = mdl.load_models(spark, res.model_dir, raw_spec().target_cols)
+    assert not missing and len(loaded) == 12
+    assert spark.read.option("header", True).csv(res.report_path).count() == 4
+    assert set(RAW_MEASURES) <= set(spark.read.option("header", True).csv(str(tmp_path / "out" / "advanced_statistics")).columns)
