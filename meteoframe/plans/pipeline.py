@@ -57,8 +57,12 @@ def read_raw(spark: SparkSession, csv_path: str) -> DataFrame:
 
 
 def run_reference_pipeline(spark: SparkSession, csv_path: str, out_dir: str, per_station: bool = True,
-                           train_ratio: float = 0.8, runs: int = 10, algos=mdl.ALGOS) -> PipelineResult:
-    spec = raw_spec(per_station)
+                           train_ratio: float = 0.8, runs: int = 10, algos=mdl.ALGOS,
+                           national: bool = False) -> PipelineResult:
+    """``national=True`` first averages the filled measures over all stations per
+    date (one national series, one row per date); otherwise one series per
+    ``Location`` (or the global order with ``per_station=False``)."""
+    spec = raw_spec(per_station or national)
     out = out_dir.rstrip("/")
     typed = read_raw(spark, csv_path)
 
@@ -71,6 +75,9 @@ def run_reference_pipeline(spark: SparkSession, csv_path: str, out_dir: str, per
     obs = typed.select(DATE_COL, STATION_COL, *RAW_MEASURES).dropna(subset=[DATE_COL, STATION_COL])
     clean = imp.impute_mixed(obs, RAW_MEASURES[:2], RAW_MEASURES[2:])
     audit = imp.null_audit(obs, clean, RAW_MEASURES)
+    if national:
+        daily = ser.national_daily(clean, RAW_MEASURES, DATE_COL).drop("n_obs")
+        clean = daily.withColumn(STATION_COL, F.lit("national"))
 
     feats = ser.lag_lead_features(clean, spec)
     # Bootstrap weights hash a stable row key derived from the row itself.

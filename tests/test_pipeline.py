@@ -42,3 +42,12 @@ def test_reference_pipeline_end_to_end(spark, tmp_path):
     assert not missing and len(loaded) == 12
     assert spark.read.option("header", True).csv(res.report_path).count() == 4
     assert set(RAW_MEASURES) <= set(spark.read.option("header", True).csv(str(tmp_path / "out" / "advanced_statistics")).columns)
+
+
+def test_national_series(spark, tmp_path):
+    csv = tmp_path / "weather.csv"
+    _write_csv(csv)
+    res = run_reference_pipeline(spark, str(csv), str(tmp_path / "out"), runs=2, algos=("LR",), national=True)
+    rows = res.split.count()
+    assert rows == res.split.select("Date").distinct().count()     # one row per date
+    assert rows == 80 - 7                                            # 5 lags + 2 leads lost at the ends
