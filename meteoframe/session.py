@@ -47,7 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        # Local test sessions only: a cluster names a shared folder itself.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS, object store) "
+                               "that every executor and the driver can reach")
+        # Local sessions (tests, one machine) only: a scratch folder is shared by construction.
         current = tempfile.mkdtemp(prefix="meteoframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
