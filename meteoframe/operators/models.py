@@ -26,6 +26,9 @@ from meteoframe.operators.features import VECTOR, fit_scaling
 LR_PARAMS = dict(regParam=0.1, elasticNetParam=0.0, maxIter=100, tol=1e-6, standardization=True)
 RF_PARAMS = dict(numTrees=100, maxDepth=5, maxBins=32, seed=42, featureSubsetStrategy="auto",
                  subsamplingRate=1.0, minInstancesPerNode=1)
+# Execution-only setting (same trees): keep each row's current node per tree
+# instead of re-walking every tree from the root at each level.
+RF_EXECUTION = dict(cacheNodeIds=True)
 ALGOS = ("LR", "RF")
 
 
@@ -33,7 +36,8 @@ def make_regressor(algo: str, label: str, prediction_col: str = "prediction"):
     if algo == "LR":
         return LinearRegression(featuresCol=VECTOR, labelCol=label, predictionCol=prediction_col, **LR_PARAMS)
     if algo == "RF":
-        return RandomForestRegressor(featuresCol=VECTOR, labelCol=label, predictionCol=prediction_col, **RF_PARAMS)
+        return RandomForestRegressor(featuresCol=VECTOR, labelCol=label, predictionCol=prediction_col,
+                                     **RF_PARAMS, **RF_EXECUTION)
     raise ValueError(f"unknown algorithm {algo!r}")
 
 
