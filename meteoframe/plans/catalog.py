@@ -343,15 +343,19 @@ DEFAULT_DESCRIPTION = "Other averaged measure"
 _SPARK_TYPE_NAMES = {"BIGINT": "bigint", "VARCHAR": "string", "DATE": "date", "DOUBLE": "double"}
 
 
+def _spark_type_sql(col: str = "column_type") -> str:
+    arms = " ".join(f"when '{k}' then '{v}'" for k, v in _SPARK_TYPE_NAMES.items())
+    return f"case {col} {arms} end"
+
+
 def _dictionary_sql() -> str:
     raw = ("raw as (select cast(obs_id as varchar) as obs_id, station, strftime(obs_date, '%Y-%m-%d') as obs_date, "
            + ", ".join(f"coalesce(cast({m} as varchar), 'NA') as {m}" for m in MEASURES) + " from obs)")
     typed = ("typed as (select obs_id, station, try_cast(obs_date as date) as obs_date, "
              + ", ".join(f"try_cast({m} as double) as {m}" for m in MEASURES) + " from raw)")
-    names = " ".join(f"when '{k}' then '{v}'" for k, v in _SPARK_TYPE_NAMES.items())
     descr = ", ".join(f"('{k}', '{v}')" for k, v in OBS_DESCRIPTIONS.items())
     return (sql.with_obs(raw, typed)
-            + f"select column_name, case column_type {names} end as data_type, "
+            + f"select column_name, {_spark_type_sql()} as data_type, "
               f"coalesce(d.descr, '{DEFAULT_DESCRIPTION}') as description "
               f"from (describe select * from typed) left join (values {descr}) d(column_name, descr) using (column_name)")
 
@@ -605,3 +609,40 @@ def q_model_bootstrap_report(spark, sf_dir):
     scored = sc.score_all(test, trained_models(spark, sf_dir))
     boot = ev.bootstrap_rmse(scored, mdl.ALGOS, TARGETS, BOOTSTRAP_RUNS)
     return ev.bootstrap_report(boot, mdl.ALGOS, TARGETS, SPEC.leads)
+
+
+# ----------------------------------------------------------------- display and report layouts
+
+FIRST_ROWS = 5
+
+
+@register("first_feature_rows", sql.with_obs(*sql.features_ctes())
+          + f"select * from feat order by obs_date, obs_id limit {FIRST_ROWS}")
+def q_first_feature_rows(spark, sf_dir):
+    return ser.first_rows(features(spark, sf_dir), FIRST_ROWS, ("obs_date", "obs_id"))
+
+
+def _statistics_report_sql() -> str:
+    stats = ("stats as (select measure, cast(count(value) as double) as count, round(avg(value), 2) as mean, "
+             "round(stddev_samp(value), 2) as stddev, round(var_samp(value), 2) as var, round(min(value), 2) as min, "
+             "round(quantile_cont(value, 0.25), 2) as q1, round(quantile_cont(value, 0.5), 2) as median, "
+             "round(quantile_cont(value, 0.75), 2) as q3, round(max(value), 2) as max, "
+             "round(quantile_cont(value, 0.75) - quantile_cont(value, 0.25), 2) as iqr from long group by measure)")
+    rows = " union all ".join(
+        f"select '{s}' as statistic, " + ", ".join(
+            f"max(case when measure = '{m}' then {s} end) as {m}" for m in MEASURES) + " from stats"
+        for s in prof.STAT_ROWS)
+    return sql.with_obs(_long_sql(), stats) + rows
+
+
+@register("statistics_report", _statistics_report_sql())
+def q_statistics_report(spark, sf_dir):
+    stats = prof.advanced_statistics(observations(spark, sf_dir), MEASURES, digits=2)
+    return prof.statistics_by_row(stats, MEASURES)
+
+
+@register("schema_rows", sql.with_obs()
+          + f"select column_name, {_spark_type_sql()} as data_type, "
+            "\"null\" = 'YES' as nullable from (describe select * from obs)")
+def q_schema_rows(spark, sf_dir):
+    return ingest.schema_rows(observations(spark, sf_dir))
