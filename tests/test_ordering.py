@@ -60,3 +60,19 @@ def test_lag_plan_has_no_single_partition_window(spark):
     # The per-range offset table uses one partition (one row per range); the
     # row-level window is partitioned by (bucket, station).
     assert "hashpartitioning(_bucket" in plan
+
+
+def test_hot_station_window_tasks_are_bounded(spark):
+    """One station with a third of all rows: every (bucket, station) window group stays <= bucket + halo."""
+    obs = observations(spark, SF_SMALL).withColumn(
+        "station", F.when(F.col("obs_id") % 3 == 0, F.lit("hot")).otherwise(F.col("station")))
+    bucket = 50
+    shifts = [("min_temp", 5, "l5"), ("rainfall", -2, "d2")]
+    got = shift_columns(obs, shifts, ["obs_date", "obs_id"], ["station"], bucket_rows=bucket, num_partitions=4,
+                        index_col="gidx")
+    w = Window.partitionBy("station").orderBy("obs_date", "obs_id")
+    ref = obs.select("obs_id", F.lag("min_temp", 5).over(w).alias("r5"), F.lead("rainfall", 2).over(w).alias("rd2"))
+    bad = got.join(ref, "obs_id").filter(~F.col("l5").eqNullSafe(F.col("r5")) | ~F.col("d2").eqNullSafe(F.col("rd2")))
+    assert bad.count() == 0
+    groups = got.groupBy(F.floor((F.col("gidx") - 1) / bucket).alias("b"), "station").count()
+    assert groups.agg(F.max("count")).collect()[0][0] <= bucket
