@@ -34,11 +34,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(spark, required=False)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession, required: bool = True) -> str | None:
     """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only if unset.
 
     On a cluster the setting names a shared folder (HDFS/S3/ABFS) and is left
@@ -48,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
         if not sc.master.startswith("local"):
+            if not required:
+                return None
             raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS, object store) "
                                "that every executor and the driver can reach")
         # Local sessions (tests, one machine) only: a scratch folder is shared by construction.
