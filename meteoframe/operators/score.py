@@ -18,23 +18,41 @@ from meteoframe.operators.evaluate import pred_col
 from meteoframe.operators.features import RAW_VECTOR, VECTOR
 
 
+def _prep_key(pm: PipelineModel) -> tuple:
+    """Identity of a pipeline's fitted preparation (assembler inputs, scaler mean and sd)."""
+    key = []
+    for st in pm.stages[:-1]:
+        if hasattr(st, "getInputCols"):
+            key.append(("in", tuple(st.getInputCols())))
+        if hasattr(st, "mean") and hasattr(st, "std"):
+            key.append(("scale", tuple(st.mean.toArray()), tuple(st.std.toArray())))
+    return tuple(key)
+
+
 def score_all(df: DataFrame, models: Mapping[str, PipelineModel], keep_vectors: bool = False) -> DataFrame:
-    """Add ``pred_{algo}__{target}`` for every model in one pass.
+    """Add ``pred_{algo}__{target}`` for every model, in one map stage.
 
-    All pipelines must share their first stages (as ``train_models`` builds
-    them); those run once, then each regressor writes its own column.
+    Models that share a fitted preparation (as ``train_models`` builds them)
+    assemble and scale once; each regressor then writes its own column.
+    Pipelines loaded from elsewhere with a different preparation get their
+    own (still no join, no extra pass: every step is a projection).
     """
     if not models:
         return df
-    first = next(iter(models.values()))
-    prep = PipelineModel(stages=first.stages[:-1])
-    out = prep.transform(df)
+    groups: dict[tuple, list[tuple[str, PipelineModel]]] = {}
     for key, pm in models.items():
-        algo, target = key.split("_", 1)
-        reg = pm.stages[-1].copy()
-        reg.setPredictionCol(pred_col(algo, target))
-        out = reg.transform(out)
-    return out if keep_vectors else out.drop(VECTOR, RAW_VECTOR)
+        groups.setdefault(_prep_key(pm), []).append((key, pm))
+    out = df
+    for members in groups.values():
+        out = PipelineModel(stages=members[0][1].stages[:-1]).transform(out)
+        for key, pm in members:
+            algo, target = key.split("_", 1)
+            reg = pm.stages[-1].copy()
+            reg.setPredictionCol(pred_col(algo, target))
+            out = reg.transform(out)
+        if not keep_vectors or len(groups) > 1:
+            out = out.drop(VECTOR, RAW_VECTOR)
+    return out
 
 
 def with_missing_predictions(df: DataFrame, missing: Sequence[str], default: float | None = None) -> DataFrame:

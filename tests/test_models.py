@@ -51,3 +51,15 @@ def test_rain_advice_bands(spark):
     df = spark.createDataFrame([(6.0,), (5.0,), (0.6,), (0.5,), (None,)], "p double")
     got = [r.a for r in df.select(rain_advice(F.col("p")).alias("a")).collect()]
     assert got == ["heavy", "light", "light", "dry", None]
+
+
+def test_score_all_respects_each_preparation(spark, lr_models):
+    """A model fitted with another scaler is scored with its own preparation."""
+    s = catalog.split_table(spark, SF_SMALL)
+    train, test = s.filter("split = 'train'"), s.filter("split = 'test'")
+    t = catalog.TARGETS[0]
+    other = mdl.train_models(train.filter("obs_date < date'1999-01-01'"), catalog.FEATURES, [t], ("RF",), parallelism=1)
+    both = {**{k: v for k, v in lr_models.items() if k.endswith(t)}, **other}
+    got = sc.score_all(test, both).select("obs_id", ev.pred_col("RF", t))
+    alone = other[f"RF_{t}"].transform(test).select("obs_id", F.col("prediction").alias(ev.pred_col("RF", t)))
+    assert got.exceptAll(alone).count() == 0
