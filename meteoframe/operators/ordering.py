@@ -19,7 +19,8 @@ every neighbour it needs. Each window task holds at most
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
@@ -42,6 +43,23 @@ def release_cached() -> None:
         _PERSISTED.pop().unpersist()
 
 
+@contextmanager
+def cache_scope() -> Iterator[None]:
+    """Release, on exit, the intermediates persisted by plans built inside the block.
+
+    Use around a unit of work whose DataFrames are not used after the block::
+
+        with cache_scope():
+            features(...).write.parquet(...)
+    """
+    start = len(_PERSISTED)
+    try:
+        yield
+    finally:
+        while len(_PERSISTED) > start:
+            _PERSISTED.pop().unpersist()
+
+
 def _by_range(df: DataFrame, order_cols: Sequence[str | Column], num_partitions: int | None) -> DataFrame:
     """Range partitions on the order; without an explicit count AQE may merge
     neighbouring small ranges (they stay contiguous, so order is kept)."""

@@ -76,3 +76,25 @@ def test_hot_station_window_tasks_are_bounded(spark):
     assert bad.count() == 0
     groups = got.groupBy(F.floor((F.col("gidx") - 1) / bucket).alias("b"), "station").count()
     assert groups.agg(F.max("count")).collect()[0][0] <= bucket
+
+
+def test_cache_scope_releases_only_its_frames(spark):
+    from meteoframe.operators import ordering
+
+    outside = with_row_index(observations(spark, SF_SMALL), ["obs_date", "obs_id"], "i")
+    before = len(ordering._PERSISTED)
+    with ordering.cache_scope():
+        inside = with_row_index(observations(spark, SF_SMALL), ["obs_id"], "j")
+        assert inside.count() > 0
+        assert len(ordering._PERSISTED) == before + 1
+    assert len(ordering._PERSISTED) == before
+    assert outside.filter("i = 1").count() == 1
+
+
+def test_drop_stages(spark, tmp_path):
+    from meteoframe.plans import stages
+
+    df = stages.materialize(spark.range(10), "drop-me")
+    assert df.count() == 10
+    assert stages.drop_stages(spark, {"drop-me"}) == 1
+    assert all(label != "drop-me" for label, _ in stages._WRITTEN)
