@@ -46,7 +46,7 @@ def model_key(algo: str, target: str) -> str:
 
 
 def train_models(train: DataFrame, feature_cols: Sequence[str], targets: Sequence[str],
-                 algos: Sequence[str] = ALGOS, parallelism: int = 6, key_cols: Sequence[str] = ("obs_id",),
+                 algos: Sequence[str] = ALGOS, parallelism: int | None = None, key_cols: Sequence[str] = ("obs_id",),
                  num_partitions: int | None = None, rows_per_partition: int = 1 << 14) -> dict[str, PipelineModel]:
     """M9: fit the scaling once and every (algo, target) regressor on the scaled rows.
 
@@ -73,7 +73,8 @@ def train_models(train: DataFrame, feature_cols: Sequence[str], targets: Sequenc
             a, t = job
             return model_key(a, t), make_regressor(a, t).fit(vectors)
 
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        workers = parallelism or min(len(jobs), 12)  # one thread per fit: Spark interleaves their tasks
+        with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
             fitted = dict(pool.map(fit, jobs))
     finally:
         vectors.unpersist()
