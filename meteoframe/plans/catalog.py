@@ -646,3 +646,25 @@ def q_statistics_report(spark, sf_dir):
             "\"null\" = 'YES' as nullable from (describe select * from obs)")
 def q_schema_rows(spark, sf_dir):
     return ingest.schema_rows(observations(spark, sf_dir))
+
+
+# ----------------------------------------------------------------- national series (S5 + W3)
+
+NATIONAL_SPEC = REFERENCE_SPEC.with_(partition_by=(), order_by=("obs_date",), tie_break=())
+
+
+def _national_sql() -> str:
+    w = "over (order by obs_date)"
+    lags = [f"lag({m}, {i}) {w} as {m}_L{i}" for i in range(1, 6) for m in MEASURES]
+    leads = [f"lead({m}, {d}) {w} as Target_{m}_D{d}" for d in (1, 2) for m in MEASURES]
+    names = [f"{m}_L{i}" for i in range(1, 6) for m in MEASURES] + [f"Target_{m}_D{d}" for d in (1, 2) for m in MEASURES]
+    cond = " and ".join(f"{c} is not null" for c in ["obs_date", *MEASURES, *names])
+    return (sql.with_obs("nat as (select obs_date, avg(min_temp) as min_temp, avg(max_temp) as max_temp, "
+                         "avg(rainfall) as rainfall from obs group by obs_date)")
+            + f"select * from (select obs_date, {', '.join(MEASURES)}, {', '.join(lags + leads)} from nat) where {cond}")
+
+
+@register("national_lag_features", _national_sql())
+def q_national_lag_features(spark, sf_dir):
+    daily = ser.national_daily(observations(spark, sf_dir)).drop("n_obs")
+    return ser.lag_lead_features(daily, NATIONAL_SPEC)
