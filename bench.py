@@ -48,6 +48,8 @@ def main() -> None:
     warm_dir = warm_dir if os.path.isdir(warm_dir) else sf_dir
     for name in HEADLINE:
         run(catalog.QUERIES[name](spark, warm_dir))
+    _, warm_train, _ = catalog._train_test(spark, warm_dir)
+    mdl.train_models(warm_train, catalog.FEATURES, catalog.TARGETS[:1], mdl.ALGOS)
 
     timings: dict[str, float] = {}
     for name in HEADLINE:
