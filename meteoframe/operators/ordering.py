@@ -19,7 +19,7 @@ every neighbour it needs. Each window task holds at most
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -109,18 +109,24 @@ def with_row_index(df: DataFrame, order_cols: Sequence[str | Column], index_col:
 def shift_columns(df: DataFrame, shifts: Sequence[tuple[str, int, str]], order_cols: Sequence[str],
                   partition_by: Sequence[str] = (), bucket_rows: int = 1 << 20,
                   index_col: str | None = None, num_partitions: int | None = None,
-                  min_bucket_rows: int = 1024) -> DataFrame:
+                  min_bucket_rows: int = 1024,
+                  prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Add lag/lead columns along a total order, optionally per ``partition_by`` key.
 
     ``shifts`` holds ``(source column, offset, output name)``; a positive
     offset looks back (lag), a negative one looks ahead (lead). Equivalent to
     ``F.lag/F.lead(...).over(Window.partitionBy(*partition_by).orderBy(*order_cols))``.
     If ``index_col`` is given the global position is kept under that name.
+    ``prepare`` (a row-wise transform keeping the columns, e.g. gap filling)
+    runs on the persisted sorted rows, so aggregates it needs (column means)
+    read that cache instead of scanning the source again.
     """
     max_lag = max([k for _, k, _ in shifts if k > 0], default=0)
     max_lead = max([-k for _, k, _ in shifts if k < 0], default=0)
     idx = "_idx"
     indexed, sizes = _indexed(df, list(partition_by) + list(order_cols), idx, num_partitions)
+    if prepare is not None:
+        indexed = prepare(indexed)
     # Bucket length: about one range partition of rows, at least min_bucket_rows
     # (keeps the halo share small), at most bucket_rows (bounds every window task).
     total = sizes.agg(F.sum("_rows")).scalar()

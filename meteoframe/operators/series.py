@@ -84,17 +84,20 @@ def one_row_per_date(df: DataFrame, date_col: str = "obs_date",
 # --------------------------------------------------------------------------- lag/lead features
 
 def lag_lead_features(df: DataFrame, spec: FeatureSpec = REFERENCE_SPEC, bucket_rows: int = 1 << 20,
-                      index_col: str | None = None, drop_incomplete: bool = True) -> DataFrame:
+                      index_col: str | None = None, drop_incomplete: bool = True,
+                      prepare=None) -> DataFrame:
     """Lags 1..spec.lags and leads 1..spec.leads of every measure.
 
     Per ``spec.partition_by`` (one series per station) or, with an empty
     ``partition_by``, along one global order (the reference's mode). Incomplete
     rows are dropped on all created columns, or only on the model columns when
-    ``spec.drop_on_all_created`` is false.
+    ``spec.drop_on_all_created`` is false. ``prepare`` (e.g. gap filling) is
+    applied to the sorted, persisted rows before the window.
     """
     shifts = [(m, i, spec.lag_col(m, i)) for i in range(1, spec.lags + 1) for m in spec.measures]
     shifts += [(m, -d, spec.target_col(m, d)) for d in range(1, spec.leads + 1) for m in spec.measures]
-    out = shift_columns(df, shifts, spec.order_cols, spec.partition_by, bucket_rows, index_col=index_col)
+    out = shift_columns(df, shifts, spec.order_cols, spec.partition_by, bucket_rows, index_col=index_col,
+                        prepare=prepare)
     if not drop_incomplete:
         return out
     if spec.drop_on_all_created:
@@ -105,7 +108,7 @@ def lag_lead_features(df: DataFrame, spec: FeatureSpec = REFERENCE_SPEC, bucket_
 
 
 def forward_window_features(df: DataFrame, spec: FeatureSpec = REFERENCE_SPEC, window: int = 5,
-                            targets: int = 2, bucket_rows: int = 1 << 20) -> DataFrame:
+                            targets: int = 2, bucket_rows: int = 1 << 20, prepare=None) -> DataFrame:
     """Forward-shift table anchored at the oldest day of the window.
 
     ``{m}_{i}`` = value i rows ahead (i = 1..window-1), ``{m}_target_{j}`` =
@@ -113,7 +116,7 @@ def forward_window_features(df: DataFrame, spec: FeatureSpec = REFERENCE_SPEC, w
     """
     shifts = [(m, -i, f"{m}_{i}") for i in range(1, window) for m in spec.measures]
     shifts += [(m, -(window + j), f"{m}_target_{j}") for j in range(targets) for m in spec.measures]
-    out = shift_columns(df, shifts, spec.order_cols, spec.partition_by, bucket_rows)
+    out = shift_columns(df, shifts, spec.order_cols, spec.partition_by, bucket_rows, prepare=prepare)
     return complete_cases(out)
 
 

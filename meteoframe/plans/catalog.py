@@ -51,8 +51,12 @@ def register(name: str, oracle_sql: str | None = None):
 # ----------------------------------------------------------------- shared stages
 
 def features(spark: SparkSession, sf_dir: str, spec=REFERENCE_SPEC) -> DataFrame:
-    """obs -> M2 (mean temperatures, zero rain) -> per-station lag/lead -> complete rows."""
-    return ser.lag_lead_features(imp.impute_mixed(observations(spark, sf_dir)), spec)
+    """obs -> M2 (mean temperatures, zero rain) -> per-station lag/lead -> complete rows.
+
+    The gap filling runs on the sorted, persisted rows: its means come from
+    that cache, so the source is scanned twice (range sample + one pass), not three times.
+    """
+    return ser.lag_lead_features(observations(spark, sf_dir), spec, prepare=imp.impute_mixed)
 
 
 _STAGES: dict[tuple, DataFrame] = {}
@@ -134,7 +138,7 @@ def q_lag_lead_features(spark, sf_dir):
     + "select * from feat")
 def q_lag_lead_global(spark, sf_dir):
     spec = REFERENCE_SPEC.with_(partition_by=())
-    return ser.lag_lead_features(imp.impute_mixed(observations(spark, sf_dir)), spec)
+    return ser.lag_lead_features(observations(spark, sf_dir), spec, prepare=imp.impute_mixed)
 
 
 def _forward_sql() -> str:
@@ -149,7 +153,8 @@ def _forward_sql() -> str:
 
 @register("forward_window_features", _forward_sql())
 def q_forward_window_features(spark, sf_dir):
-    return ser.forward_window_features(imp.impute_mean(observations(spark, sf_dir), MEASURES))
+    return ser.forward_window_features(observations(spark, sf_dir),
+                                       prepare=lambda d: imp.impute_mean(d, MEASURES))
 
 
 @register("complete_cases", sql.with_obs()
