@@ -33,7 +33,7 @@ ROW_KEY = "row_key"
 
 
 @dataclass
-class PipelineResult:
+class BatchJobResult:
     statistics: DataFrame
     dictionary: DataFrame
     null_audit: DataFrame
@@ -56,9 +56,9 @@ def read_raw(spark: SparkSession, csv_path: str) -> DataFrame:
     return ingest.typed_observations(text, (DATE_COL,), ingest.RAW_NUMERIC)
 
 
-def run_reference_pipeline(spark: SparkSession, csv_path: str, out_dir: str, per_station: bool = True,
+def run_batch_job(spark: SparkSession, csv_path: str, out_dir: str, per_station: bool = True,
                            train_ratio: float = 0.8, runs: int = 10, algos=mdl.ALGOS,
-                           national: bool = False) -> PipelineResult:
+                           national: bool = False) -> BatchJobResult:
     """``national=True`` first averages the filled measures over all stations per
     date (one national series, one row per date); otherwise one series per
     ``Location`` (or the global order with ``per_station=False``)."""
@@ -82,7 +82,7 @@ def run_reference_pipeline(spark: SparkSession, csv_path: str, out_dir: str, per
     feats = ser.lag_lead_features(clean, spec)
     # Bootstrap weights hash a stable row key derived from the row itself.
     feats = feats.withColumn(ROW_KEY, F.xxhash64(STATION_COL, DATE_COL))
-    split = materialize(ser.chronological_split(feats, train_ratio, order_cols=spec.order_cols), "pipeline-split")
+    split = materialize(ser.chronological_split(feats, train_ratio, order_cols=spec.order_cols), "batch-split")
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
     test_path = f"{out}/test_data.parquet"
@@ -97,4 +97,4 @@ def run_reference_pipeline(spark: SparkSession, csv_path: str, out_dir: str, per
     report = ev.bootstrap_report(boot, algos, spec.target_cols, spec.leads)
     report_path = f"{out}/bootstrap_evaluation"
     ingest.write_report_csv(report, report_path)
-    return PipelineResult(stats, dictionary, audit, split, models, report, test_path, model_dir, report_path)
+    return BatchJobResult(stats, dictionary, audit, split, models, report, test_path, model_dir, report_path)

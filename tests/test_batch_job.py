@@ -4,7 +4,7 @@ import datetime as dt
 import math
 
 from meteoframe.operators import models as mdl
-from meteoframe.plans.pipeline import RAW_MEASURES, raw_spec, run_reference_pipeline
+from meteoframe.plans.batch_job import RAW_MEASURES, raw_spec, run_batch_job
 
 
 def _write_csv(path):
@@ -26,7 +26,7 @@ def _write_csv(path):
 def test_reference_pipeline_end_to_end(spark, tmp_path):
     csv = tmp_path / "weather.csv"
     _write_csv(csv)
-    res = run_reference_pipeline(spark, str(csv), str(tmp_path / "out"), runs=3)
+    res = run_batch_job(spark, str(csv), str(tmp_path / "out"), runs=3)
     assert res.statistics.count() == 3
     audit = {(r.phase, r.column_name): r.null_count for r in res.null_audit.collect()}
     assert audit[("after", "MinTemp")] == 0 and audit[("before", "Rainfall")] > 0
@@ -47,7 +47,7 @@ def test_reference_pipeline_end_to_end(spark, tmp_path):
 def test_national_series(spark, tmp_path):
     csv = tmp_path / "weather.csv"
     _write_csv(csv)
-    res = run_reference_pipeline(spark, str(csv), str(tmp_path / "out"), runs=2, algos=("LR",), national=True)
+    res = run_batch_job(spark, str(csv), str(tmp_path / "out"), runs=2, algos=("LR",), national=True)
     rows = res.split.count()
     assert rows == res.split.select("Date").distinct().count()     # one row per date
     assert rows == 80 - 7                                            # 5 lags + 2 leads lost at the ends
