@@ -98,3 +98,28 @@ def run_batch_job(spark: SparkSession, csv_path: str, out_dir: str, per_station:
     report_path = f"{out}/bootstrap_evaluation"
     ingest.write_report_csv(report, report_path)
     return BatchJobResult(stats, dictionary, audit, split, models, report, test_path, model_dir, report_path)
+
+
+def main(argv=None) -> None:
+    """``python -m meteoframe.plans.batch_job weather.csv out_dir [--global | --national]``."""
+    import argparse
+
+    from meteoframe.session import get_session
+
+    ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
+    ap.add_argument("csv_path")
+    ap.add_argument("out_dir")
+    mode = ap.add_mutually_exclusive_group()
+    mode.add_argument("--global", dest="global_order", action="store_true", help="one global order, no station key")
+    mode.add_argument("--national", action="store_true", help="one national series (daily mean over stations)")
+    ap.add_argument("--train-ratio", type=float, default=0.8)
+    ap.add_argument("--runs", type=int, default=10)
+    args = ap.parse_args(argv)
+    spark = get_session()
+    res = run_batch_job(spark, args.csv_path, args.out_dir, per_station=not args.global_order,
+                        train_ratio=args.train_ratio, runs=args.runs, national=args.national)
+    res.report.orderBy("Run_ID").show(truncate=False)
+
+
+if __name__ == "__main__":
+    main()
