@@ -63,3 +63,16 @@ def test_score_all_respects_each_preparation(spark, lr_models):
     got = sc.score_all(test, both).select("obs_id", ev.pred_col("RF", t))
     alone = other[f"RF_{t}"].transform(test).select("obs_id", F.col("prediction").alias(ev.pred_col("RF", t)))
     assert got.exceptAll(alone).count() == 0
+
+
+def test_missing_model_gives_typed_null_and_flag(spark, lr_models):
+    test = catalog.split_table(spark, SF_SMALL).filter("split = 'test'").limit(20)
+    t = catalog.TARGETS[0]
+    scored = sc.score_all(test, lr_models)
+    scored = sc.with_missing_predictions(scored, [f"RF_{t}"])
+    card = sc.forecast_card(scored, ("LR", "RF"), [t]).collect()
+    rf = [r for r in card if r.algo == "RF"]
+    lr = [r for r in card if r.algo == "LR"]
+    assert rf and all(r.prediction is None and r.delta is None and not r.model_found for r in rf)
+    assert lr and all(r.model_found for r in lr)
+    assert dict(scored.dtypes)[ev.pred_col("RF", t)] == "double"
