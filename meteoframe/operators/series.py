@@ -11,11 +11,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meteoframe.functions.columns import day_label
-from meteoframe.operators.ordering import shift_columns, with_row_index
+from meteoframe.operators.ordering import shift_columns, with_row_index, with_running_total
 from meteoframe.spec import REFERENCE_SPEC, FeatureSpec
 
 
@@ -128,69 +128,84 @@ def global_row_index(df: DataFrame, order_cols: Sequence[str] = ("obs_date", "ob
     return with_row_index(df, list(order_cols), index_col)
 
 
-def chronological_split(df: DataFrame, train_ratio: float = 0.8,
-                        order_cols: Sequence[str] = ("obs_date", "obs_id"), gap: int = 0,
-                        index_col: str = "row_idx", split_col: str = "split") -> DataFrame:
-    """First ``int(n * train_ratio)`` rows in date order are 'train', the rest 'test'.
+def key_at_rank(df: DataFrame, rank: int, date_col: str = "obs_date", id_col: str = "obs_id"):
+    """Key (date, id) of the ``rank``-th row (1-based) in (date, id) order, without sorting the table.
 
-    ``gap`` rows after the cut are tagged 'gap' so that labels of the last
-    training rows (which look ``leads`` rows ahead) do not overlap the test
-    rows. ``n`` is a scalar subquery; the cut is a filter on the row index.
+    A per-date histogram (partial aggregate, one row per date) and its running
+    total find the date that holds the rank; only that date's rows are then
+    ranked by id (range-partitioned, so even a crowded date is spread out).
+    Returns a Row(date, id) — two small actions, no rows pass through the driver.
     """
-    indexed = with_row_index(df, list(order_cols), index_col)
-    cut = train_cut(indexed, train_ratio)
-    tag = (
-        F.when(F.col(index_col) <= cut, F.lit("train"))
-        .when(F.col(index_col) <= cut + F.lit(gap), F.lit("gap"))
-        .otherwise(F.lit("test"))
-    )
-    return indexed.withColumn(split_col, tag)
-
-
-def train_cut(df: DataFrame, train_ratio: float = 0.8):
-    """Scalar column ``int(count * ratio)`` (truncation, as in the reference)."""
-    n = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return F.floor(n * F.lit(float(train_ratio))).cast("bigint")
+    hist = df.groupBy(date_col).agg(F.count(F.lit(1)).alias("_cnt"))
+    cum = with_running_total(hist, [date_col], "_cnt", "_cum")
+    hit = cum.filter(F.col("_cum") >= F.lit(rank)).orderBy(date_col).limit(1).collect()[0]
+    need = rank - (hit["_cum"] - hit["_cnt"])
+    day = df.filter(F.col(date_col) == F.lit(hit[date_col])).select(id_col)
+    ranked = with_row_index(day, [id_col], "_r")
+    key = ranked.filter(F.col("_r") == F.lit(need)).select(id_col).collect()[0][0]
+    return hit[date_col], key
+
+
+def _up_to(key, date_col: str, id_col: str):
+    d, i = key
+    return (F.col(date_col) < F.lit(d)) | ((F.col(date_col) == F.lit(d)) & (F.col(id_col) <= F.lit(i)))
+
+
+def chronological_split(df: DataFrame, train_ratio: float = 0.8, date_col: str = "obs_date",
+                        id_col: str = "obs_id", gap: int = 0, split_col: str = "split") -> DataFrame:
+    """The first ``int(n * train_ratio)`` rows in (date, id) order are 'train', the rest 'test'.
+
+    The cut is found from a per-date histogram and a rank inside the one cut
+    date (``key_at_rank``), then applied as a plain comparison with literals
+    (pushed down to Parquet where the input is a file), so the table is
+    scanned, not sorted. ``gap`` rows after the cut are tagged 'gap' so that
+    labels of the last training rows (which look ``leads`` rows ahead) do not
+    overlap the test rows. Eager: counts and two small lookups run here.
+    """
+    n = df.count()
+    k = int(n * train_ratio)  # truncation, as in the reference
+    train = _up_to(key_at_rank(df, k, date_col, id_col), date_col, id_col) if k > 0 else F.lit(False)
+    k_gap = min(n, k + gap)
+    in_gap = _up_to(key_at_rank(df, k_gap, date_col, id_col), date_col, id_col) if gap and k_gap > k else F.lit(False)
+    tag = F.when(train, F.lit("train")).when(in_gap, F.lit("gap")).otherwise(F.lit("test"))
+    return df.withColumn(split_col, tag)
 
 
-def split_boundary_slice(split_df: DataFrame, n: int = 100, index_col: str = "row_idx",
+def split_boundary_slice(split_df: DataFrame, n: int = 100, order_cols: Sequence[str] = ("obs_date", "obs_id"),
                          split_col: str = "split") -> DataFrame:
     """T2 + U1: last ``n`` training rows and first ``n`` test rows, tagged Train/Test.
 
-    Both ends are ranges of the row index, so this is a filter, not a sort.
+    Two top-k selections (each task keeps n rows; the limit is the feature).
+    """
+    desc = [F.col(c).desc() for c in order_cols]
+    tail = split_df.filter(F.col(split_col) == "train").orderBy(*desc).limit(n)
+    head = split_df.filter(F.col(split_col) == "test").orderBy(*order_cols).limit(n)
+    return tail.withColumn("Type", F.lit("Train")).unionByName(head.withColumn("Type", F.lit("Test")))
+
+
+def slice_positions(boundary: DataFrame, order_cols: Sequence[str] = ("obs_date", "obs_id"),
+                    pos_col: str = "pos") -> DataFrame:
+    """0-based position of each row inside the boundary slice.
+
+    The slice holds at most 2n rows (n is the display size), so one window
+    partition is bounded by the parameter, not by the data.
     """
-    last_train = split_df.filter(F.col(split_col) == "train").agg(F.max(index_col)).scalar()
-    first_test = split_df.filter(F.col(split_col) == "test").agg(F.min(index_col)).scalar()
-    tail = split_df.filter((F.col(split_col) == "train") & (F.col(index_col) > last_train - F.lit(n)))
-    head = split_df.filter((F.col(split_col) == "test") & (F.col(index_col) < first_test + F.lit(n)))
-    tagged = tail.withColumn("Type", F.lit("Train")).unionByName(head.withColumn("Type", F.lit("Test")))
-    return tagged
-
-
-def slice_positions(boundary: DataFrame, index_col: str = "row_idx", pos_col: str = "pos") -> DataFrame:
-    """0-based position of each row inside the boundary slice (bounded, <= 2n rows)."""
-    first = boundary.agg(F.min(index_col)).scalar()
-    train_rows = boundary.filter(F.col("Type") == "Train")
-    # Train tail and test head are contiguous ranges; a gap between them is skipped.
-    n_train = train_rows.agg(F.count(F.lit(1))).scalar()
-    first_test = boundary.filter(F.col("Type") == "Test").agg(F.min(index_col)).scalar()
-    pos = F.when(F.col("Type") == "Train", F.col(index_col) - first).otherwise(n_train + F.col(index_col) - first_test)
-    return boundary.withColumn(pos_col, pos.cast("bigint"))
-
-
-def split_position(boundary: DataFrame, index_col: str = "row_idx") -> DataFrame:
+    w = Window.orderBy(*order_cols)
+    return boundary.withColumn(pos_col, (F.row_number().over(w) - 1).cast("bigint"))
+
+
+def split_position(boundary: DataFrame) -> DataFrame:
     """Position of the first test row in the slice, and the slice length."""
-    with_pos = slice_positions(boundary, index_col)
+    with_pos = slice_positions(boundary)
     return with_pos.agg(
         F.min(F.when(F.col("Type") == "Test", F.col("pos"))).alias("split_pos"),
         F.count(F.lit(1)).alias("n_rows"),
     )
 
 
-def axis_ticks(boundary: DataFrame, ticks: int = 10, index_col: str = "row_idx",
-               date_col: str = "obs_date") -> DataFrame:
+def axis_ticks(boundary: DataFrame, ticks: int = 10, date_col: str = "obs_date") -> DataFrame:
     """``ticks`` evenly spaced positions floor(k*(m-1)/(ticks-1)) of the slice, labelled."""
-    with_pos = slice_positions(boundary, index_col)
+    with_pos = slice_positions(boundary)
     m = with_pos.agg(F.count(F.lit(1))).scalar()
     ks = with_pos.sparkSession.range(ticks).withColumnRenamed("id", "tick")
     wanted = ks.select("tick", F.floor(F.col("tick") * (m - 1) / F.lit(ticks - 1)).cast("bigint").alias("pos"))

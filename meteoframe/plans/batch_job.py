@@ -82,7 +82,8 @@ def run_batch_job(spark: SparkSession, csv_path: str, out_dir: str, per_station:
     feats = ser.lag_lead_features(clean, spec)
     # Bootstrap weights hash a stable row key derived from the row itself.
     feats = feats.withColumn(ROW_KEY, F.xxhash64(STATION_COL, DATE_COL))
-    split = materialize(ser.chronological_split(feats, train_ratio, order_cols=spec.order_cols), "batch-split")
+    feats = materialize(feats, "batch-features")
+    split = ser.chronological_split(feats, train_ratio, date_col=DATE_COL, id_col=STATION_COL)
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
     test_path = f"{out}/test_data.parquet"

@@ -63,15 +63,17 @@ _STAGES: dict[tuple, DataFrame] = {}
 
 
 def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature table with ``row_idx`` and the train/test tag, written once per input.
+    """Feature table with the train/test tag.
 
-    Everything downstream (profiles of features, scaling, models, scoring,
-    evaluation) reads this stage instead of re-deriving it.
+    The feature table is written once per input; the split is a projection
+    over it with the cut key as literals (found by a date histogram, no sort).
+    Everything downstream (scaling, models, scoring, evaluation) reads this
+    stage instead of re-deriving it.
     """
     key = (spark.sparkContext.applicationId, sf_dir, "split")
     if key not in _STAGES:
-        split = ser.chronological_split(features(spark, sf_dir), TRAIN_RATIO)
-        _STAGES[key] = materialize(split, "split")
+        feats = materialize(features(spark, sf_dir), "features")
+        _STAGES[key] = ser.chronological_split(feats, TRAIN_RATIO)
     return _STAGES[key]
 
 
@@ -532,7 +534,7 @@ def q_rain_advice(spark, sf_dir):
 def _context_rows(spark, sf_dir):
     """Test rows within +-CONTEXT_DAYS of the picked day, one representative per date."""
     _, _, test = _train_test(spark, sf_dir)
-    ctx = ser.context_window(test.drop("split", "row_idx"), PICKED_DATE, CONTEXT_DAYS)
+    ctx = ser.context_window(test.drop("split"), PICKED_DATE, CONTEXT_DAYS)
     return ser.one_row_per_date(ctx)
 
 
@@ -586,7 +588,7 @@ def q_score_table(spark, sf_dir):
 @register("forecast_card")
 def q_forecast_card(spark, sf_dir):
     _, _, test = _train_test(spark, sf_dir)
-    day = ser.one_row_per_date(ser.observation_on_date(test.drop("split", "row_idx"), PICKED_DATE))
+    day = ser.one_row_per_date(ser.observation_on_date(test.drop("split"), PICKED_DATE))
     scored = sc.score_all(day, trained_models(spark, sf_dir))
     ctx = [SPEC.lag_col(m, 1) for m in SPEC.measures]
     return sc.forecast_card(scored, mdl.ALGOS, TARGETS, context_cols=ctx)

@@ -56,22 +56,21 @@ def features_ctes(spec: FeatureSpec = REFERENCE_SPEC) -> list[str]:
 
 
 def split_ctes(ratio: float = 0.8) -> list[str]:
-    """``feat`` with a global row index and a train/test tag, as CTE ``split``."""
+    """``feat`` with a train/test tag (first int(n*ratio) rows by date, id), as CTE ``split``."""
     return features_ctes() + [
-        "idx as (select *, cast(row_number() over (order by obs_date, obs_id) as bigint) as row_idx from feat)",
+        "idx as (select *, row_number() over (order by obs_date, obs_id) as _rn from feat)",
         f"cut as (select cast(floor(count(*) * cast({ratio!r} as double)) as bigint) as c from feat)",
-        "split as (select idx.*, case when row_idx <= cut.c then 'train' else 'test' end as split from idx, cut)",
+        "split as (select idx.* exclude (_rn), case when _rn <= cut.c then 'train' else 'test' end as split from idx, cut)",
     ]
 
 
 def boundary_ctes(n: int = 100) -> list[str]:
     """Last n train rows + first n test rows of ``split`` as ``boundary`` (with Type)."""
     return split_ctes() + [
-        "bounds as (select max(case when split='train' then row_idx end) as lt, "
-        "min(case when split='test' then row_idx end) as ft from split)",
-        f"boundary as (select split.*, 'Train' as Type from split, bounds where split='train' and row_idx > lt - {n} "
-        f"union all select split.*, 'Test' as Type from split, bounds where split='test' and row_idx < ft + {n})",
-        "bpos as (select boundary.*, cast(row_number() over (order by row_idx) - 1 as bigint) as pos from boundary)",
+        f"boundary as ((select *, 'Train' as Type from split where split = 'train' "
+        f"order by obs_date desc, obs_id desc limit {n}) union all "
+        f"(select *, 'Test' as Type from split where split = 'test' order by obs_date, obs_id limit {n}))",
+        "bpos as (select boundary.*, cast(row_number() over (order by obs_date, obs_id) - 1 as bigint) as pos from boundary)",
     ]
 
 
