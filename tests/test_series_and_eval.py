@@ -65,3 +65,18 @@ def test_report_layout(spark):
     assert rep.columns[:3] == ["Run_ID", "LAST_Avg_Day1", "LAST_Avg_Day2"]
     ids = [r.Run_ID for r in rep.collect()]
     assert sorted(ids) == sorted([str(i) for i in range(1, 11)] + ["FINAL_AVERAGE"])
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_key_at_rank_equals_row_number(spark, hot):
+    from pyspark.sql import Window
+
+    obs = observations(spark, SF_SMALL)
+    if hot:  # half of the rows on one date
+        obs = obs.withColumn("obs_date", F.when(F.col("obs_id") % 2 == 0, F.lit("1998-01-01").cast("date"))
+                             .otherwise(F.col("obs_date")))
+    ref = obs.withColumn("rn", F.row_number().over(Window.orderBy("obs_date", "obs_id")))
+    n = obs.count()
+    for rank in (1, 2, n // 3, n // 2, n - 1, n):
+        want = ref.filter(F.col("rn") == rank).select("obs_date", "obs_id").collect()[0]
+        assert ser.key_at_rank(obs, rank) == (want.obs_date, want.obs_id)
