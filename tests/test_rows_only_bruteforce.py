@@ -86,3 +86,11 @@ def test_boundary_forecast_positions(spark, models):
     assert sorted(r.pos for r in rows) == list(range(len(rows)))
     first_test = min(r.pos for r in rows if r.Type == "Test")
     assert all(r.Type == "Train" for r in rows if r.pos < first_test)
+
+
+def test_sketch_statistics_use_approx_quantile(spark):
+    obs = observations(spark, SF_SMALL)
+    got = {r.measure: r for r in catalog.QUERIES["advanced_statistics_sketch"](spark, SF_SMALL).collect()}
+    for m in MEASURES:
+        q1, med, q3 = obs.filter(F.col(m).isNotNull()).approxQuantile(m, [0.25, 0.5, 0.75], 0.01)
+        assert (got[m].q1, got[m].median, got[m].q3) == (round(q1, 2), round(med, 2), round(q3, 2))
