@@ -65,12 +65,12 @@ def with_missing_predictions(df: DataFrame, missing: Sequence[str], default: flo
 
 
 def forecast_card(scored: DataFrame, algos: Sequence[str], targets: Sequence[str], rain_measure: str = "rainfall",
-                  context_cols: Sequence[str] = ()) -> DataFrame:
+                  context_cols: Sequence[str] = (), keys: Sequence[str] = ("obs_id", "station", "obs_date")) -> DataFrame:
     """Per (date row, algo, target): prediction, actual, delta, rain advice, lag-1 context."""
     parts = [F.struct(F.lit(a).alias("algo"), F.lit(t).alias("target"),
                       F.col(pred_col(a, t)).alias("prediction"), F.col(t).alias("actual"))
              for a in algos for t in targets if pred_col(a, t) in scored.columns]
-    long = scored.select("obs_id", "station", "obs_date", *context_cols, F.inline(F.array(*parts)))
+    long = scored.select(*keys, *context_cols, F.inline(F.array(*parts)))
     is_rain = F.col("target").contains(f"_{rain_measure}_")
     return long.select(
         "*", (F.col("prediction") - F.col("actual")).alias("delta"),

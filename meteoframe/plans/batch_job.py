@@ -101,6 +101,56 @@ def run_batch_job(spark: SparkSession, csv_path: str, out_dir: str, per_station:
     return BatchJobResult(stats, dictionary, audit, split, models, report, test_path, model_dir, report_path)
 
 
+@dataclass
+class ScreenViews:
+    dates: DataFrame
+    day: object
+    card: DataFrame
+    context: DataFrame
+    missing_models: list[str]
+
+
+# Display names of the day-1 predictions on the context chart.
+_PRED_NAMES = {"Target_MinTemp_D1": "Pred_Min", "Target_MaxTemp_D1": "Pred_Max", "Target_Rainfall_D1": "Pred_Rain"}
+
+
+def scoring_screen(spark: SparkSession, out_dir: str, day=None, algo: str = "RF", days: int = 30,
+                   n_dates: int = 50) -> ScreenViews:
+    """The data behind the scoring screen, from the outputs of ``run_batch_job``.
+
+    Latest ``n_dates`` dates of the test table; for the chosen day (default:
+    the latest) one representative row per date scored by every saved model
+    (prediction, actual, delta, rain advice, lag-1 context); and +-``days``
+    of day-1 predictions against actual values. Missing models give null
+    predictions and ``model_found = false``.
+    """
+    out = out_dir.rstrip("/")
+    spec = raw_spec()
+    test = ingest.load_table(spark, f"{out}/test_data.parquet")
+    if test is None:
+        raise FileNotFoundError(f"{out}/test_data.parquet")
+    dates = ser.recent_dates(test, n_dates, DATE_COL)
+    if day is None:
+        day = dates.first()[DATE_COL]
+    models, missing = mdl.load_models(spark, f"{out}/saved_models", spec.target_cols)
+    mine = {k: m for k, m in models.items() if k.startswith(f"{algo}_")}
+    lost = [k for k in missing if k.startswith(f"{algo}_")]
+
+    row = ser.one_row_per_date(ser.observation_on_date(test, day, DATE_COL), DATE_COL, (STATION_COL,))
+    scored = sc.with_missing_predictions(sc.score_all(row, mine), lost)
+    context = [spec.lag_col(m, 1) for m in RAW_MEASURES]
+    card = sc.forecast_card(scored, (algo,), spec.target_cols, rain_measure="Rainfall",
+                            context_cols=context, keys=(STATION_COL, DATE_COL))
+
+    around = ser.one_row_per_date(ser.context_window(test, day, days, DATE_COL), DATE_COL, (STATION_COL,))
+    day1 = [spec.target_col(m, 1) for m in RAW_MEASURES]
+    day1_models = {k: m for k, m in mine.items() if k.split("_", 1)[1] in day1}
+    lost1 = [f"{algo}_{t}" for t in day1 if f"{algo}_{t}" not in day1_models]
+    chart = sc.with_missing_predictions(sc.score_all(around, day1_models), lost1)
+    chart = sc.actual_vs_predicted(chart, algo, day1, _PRED_NAMES, date_col=DATE_COL)
+    return ScreenViews(dates, day, card, chart, missing)
+
+
 def main(argv=None) -> None:
     """``python -m meteoframe.plans.batch_job weather.csv out_dir [--global | --national]``."""
     import argparse

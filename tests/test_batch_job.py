@@ -51,3 +51,27 @@ def test_national_series(spark, tmp_path):
     rows = res.split.count()
     assert rows == res.split.select("Date").distinct().count()     # one row per date
     assert rows == 80 - 7                                            # 5 lags + 2 leads lost at the ends
+
+
+def test_scoring_screen(spark, tmp_path):
+    import shutil
+
+    from meteoframe.plans.batch_job import scoring_screen
+
+    csv = tmp_path / "weather.csv"
+    _write_csv(csv)
+    out = tmp_path / "out"
+    run_batch_job(spark, str(csv), str(out), runs=2)
+    views = scoring_screen(spark, str(out))
+    test_dates = spark.read.parquet(str(out / "test_data.parquet")).select("Date").distinct().count()
+    assert views.dates.count() == min(50, test_dates) and not views.missing_models
+    card = views.card.collect()
+    assert len(card) == 6 and all(r.model_found for r in card)
+    assert {r.advice for r in card if "Rainfall" in r.target} <= {"heavy", "light", "dry"}
+    assert views.context.columns[:4] == ["Date", "Target_Rainfall_D1", "Target_MaxTemp_D1", "Target_MinTemp_D1"]
+    assert views.context.count() == test_dates   # all test dates lie within +-30 days of the last one
+    shutil.rmtree(out / "saved_models" / "RF_Target_MinTemp_D2")           # a model that no longer loads
+    views = scoring_screen(spark, str(out))
+    assert views.missing_models == ["RF_Target_MinTemp_D2"]
+    gone = [r for r in views.card.collect() if r.target == "Target_MinTemp_D2"]
+    assert gone and gone[0].prediction is None and not gone[0].model_found
