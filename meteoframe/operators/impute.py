@@ -15,31 +15,32 @@ def column_means(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.agg(*[F.avg(without_nan(c)).alias(c) for c in cols])
 
 
-def impute(df: DataFrame, policy: Mapping[str, object], fit_on: DataFrame | None = None) -> DataFrame:
-    """Fill null and NaN per column: ``"mean"``, ``"zero"`` or a constant.
-
-    Means are scalar subqueries over ``fit_on`` (default ``df``): one partial
-    aggregate, folded into the plan as literals, so the row side is never
-    joined or shuffled. ``fit_on=train_rows`` avoids the look-ahead of
-    computing means on all rows.
-    """
+def _fill_exprs(df: DataFrame, policy: Mapping[str, object], fit_on: DataFrame | None = None) -> dict:
     base = fit_on if fit_on is not None else df
     mean_cols = [c for c, how in policy.items() if how == "mean"]
     means = column_means(base, mean_cols) if mean_cols else None
-    out = []
-    for c in df.columns:
-        how = policy.get(c)
-        if how is None:
-            out.append(F.col(c))
-            continue
+    out = {}
+    for c, how in policy.items():
         if how == "mean":
             fill = means.select(c).scalar()
         elif how == "zero":
             fill = F.lit(0.0)
         else:
             fill = F.lit(float(how))
-        out.append(F.coalesce(without_nan(c), fill).alias(c))
-    return df.select(*out)
+        out[c] = F.coalesce(without_nan(c), fill)
+    return out
+
+
+def impute(df: DataFrame, policy: Mapping[str, object], fit_on: DataFrame | None = None) -> DataFrame:
+    """Fill null and NaN per column: ``"mean"``, ``"zero"`` or a constant.
+
+    Means are scalar subqueries over ``fit_on`` (default ``df``): one partial
+    aggregate, folded into the plan as literals, so the row side is never
+    joined or shuffled. ``fit_on=train_rows`` avoids the look-ahead of
+    computing means on all rows.
+    """
+    filled = _fill_exprs(df, policy, fit_on)
+    return df.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
 
 def impute_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -68,3 +69,17 @@ def null_audit(before: DataFrame, after: DataFrame, cols: Sequence[str]) -> Data
         .unionByName(null_counts(after, cols).withColumn("phase", F.lit("after")))
         .select("phase", "column_name", "null_count")
     )
+
+
+def null_audit_filled(df: DataFrame, policy: Mapping[str, object]) -> DataFrame:
+    """M3 in one pass: null counts of each column as read and after filling with ``policy``."""
+    filled = _fill_exprs(df, policy)
+    aggs = []
+    for c in policy:
+        aggs.append(F.count(F.when(F.col(c).isNull(), 1)).alias(f"before|{c}"))
+        aggs.append(F.count(F.when(filled[c].isNull(), 1)).alias(f"after|{c}"))
+    wide = df.agg(*aggs)
+    rows = [F.struct(F.lit(phase).alias("phase"), F.lit(c).alias("column_name"),
+                     F.col(f"`{phase}|{c}`").alias("null_count"))
+            for phase in ("before", "after") for c in policy]
+    return wide.select(F.inline(F.array(*rows)))

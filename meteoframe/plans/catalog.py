@@ -124,8 +124,8 @@ def q_null_counts(spark, sf_dir):
     f"select '{phase}' as phase, '{m}' as column_name, cast(count(*) filter (where {m} is null) as bigint) as null_count from {src}"
     for phase, src in (("before", "obs"), ("after", "clean")) for m in MEASURES))
 def q_null_audit(spark, sf_dir):
-    obs = observations(spark, sf_dir)
-    return imp.null_audit(obs, imp.impute_mixed(obs), MEASURES)
+    policy = {"min_temp": "mean", "max_temp": "mean", "rainfall": "zero"}
+    return imp.null_audit_filled(observations(spark, sf_dir), policy)
 
 
 # ----------------------------------------------------------------- series
