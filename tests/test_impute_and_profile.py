@@ -60,3 +60,11 @@ def test_statistics_layout(spark):
     wide = prof.statistics_by_row(stats, MEASURES)
     assert sorted(r.statistic for r in wide.collect()) == sorted(prof.STAT_ROWS)
     assert wide.columns == ["statistic", *MEASURES]
+
+
+def test_one_pass_audit_equals_two_pass(spark):
+    obs = observations(spark, SF_SMALL)
+    policy = {"min_temp": "mean", "max_temp": "mean", "rainfall": "zero"}
+    one = imp.null_audit_filled(obs, policy)
+    two = imp.null_audit(obs, imp.impute(obs, policy), MEASURES)
+    assert sorted(one.collect()) == sorted(two.collect())
