@@ -90,17 +90,16 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] =
         "measure", "value", (F.col("cum") - F.col("base") - F.col("w")).alias("first_rank"),
         (F.col("cum") - F.col("base")).alias("end_rank"))
 
-    def value_at(rank_col: str, alias: str) -> DataFrame:
-        t = wanted.select(F.col("measure").alias("t_measure"), "p", F.col(rank_col).alias("rank"))
-        cond = ((F.col("measure") == F.col("t_measure")) & (F.col("first_rank") <= F.col("rank"))
-                & (F.col("rank") < F.col("end_rank")))
-        return ranked.join(F.broadcast(t), cond).select("measure", "p", F.col("value").alias(alias))
-
-    lo, hi = value_at("r_lo", "v_lo"), value_at("r_hi", "v_hi")
-    return (
-        wanted.join(lo, ["measure", "p"]).join(hi, ["measure", "p"])
-        .select("measure", "p", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("quantile"))
-    )
+    # One lookup for both neighbouring ranks: broadcast the rank table (measures
+    # x probabilities), match each value whose rank span holds either rank.
+    t = wanted.select(F.col("measure").alias("t_measure"), "p", "r_lo", "r_hi", "frac")
+    holds = lambda r: (F.col("first_rank") <= F.col(r)) & (F.col(r) < F.col("end_rank"))
+    hit = ranked.join(F.broadcast(t), (F.col("measure") == F.col("t_measure")) & (holds("r_lo") | holds("r_hi")))
+    picked = hit.groupBy("measure", "p").agg(
+        F.max(F.when(holds("r_lo"), F.col("value"))).alias("v_lo"),
+        F.max(F.when(holds("r_hi"), F.col("value"))).alias("v_hi"),
+        F.first("frac").alias("frac"))
+    return picked.select("measure", "p", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("quantile"))
 
 
 def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = QUARTILES,
