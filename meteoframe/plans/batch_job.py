@@ -73,13 +73,14 @@ def run_batch_job(spark: SparkSession, csv_path: str, out_dir: str, per_station:
 
     # Rows without a date or station cannot be placed in a series.
     obs = typed.select(DATE_COL, STATION_COL, *RAW_MEASURES).dropna(subset=[DATE_COL, STATION_COL])
-    clean = imp.impute_mixed(obs, RAW_MEASURES[:2], RAW_MEASURES[2:])
-    audit = imp.null_audit(obs, clean, RAW_MEASURES)
+    policy = {RAW_MEASURES[0]: "mean", RAW_MEASURES[1]: "mean", RAW_MEASURES[2]: "zero"}
+    audit = imp.null_audit_filled(obs, policy)
     if national:
-        daily = ser.national_daily(clean, RAW_MEASURES, DATE_COL).drop("n_obs")
-        clean = daily.withColumn(STATION_COL, F.lit("national"))
-
-    feats = ser.lag_lead_features(clean, spec)
+        daily = ser.national_daily(imp.impute(obs, policy), RAW_MEASURES, DATE_COL).drop("n_obs")
+        feats = ser.lag_lead_features(daily.withColumn(STATION_COL, F.lit("national")), spec)
+    else:
+        # Gap filling runs on the sorted, persisted rows (no extra scan of the file).
+        feats = ser.lag_lead_features(obs, spec, prepare=lambda d: imp.impute(d, policy))
     # Bootstrap weights hash a stable row key derived from the row itself.
     feats = feats.withColumn(ROW_KEY, F.xxhash64(STATION_COL, DATE_COL))
     feats = materialize(feats, "batch-features")
