@@ -55,7 +55,7 @@ def bootstrap_rmse(scored: DataFrame, algos: Sequence[str], targets: Sequence[st
     the aggregate stays inside whole-stage codegen.
     """
     per_run = scored.select(
-        *[F.col(c) for c in {key_col, *targets, *[pred_col(a, t) for a in algos for t in targets]}],
+        *[F.col(c) for c in dict.fromkeys([key_col, *targets, *[pred_col(a, t) for a in algos for t in targets]])],
         F.explode(F.sequence(F.lit(1), F.lit(runs))).alias("run"))
     per_run = per_run.withColumn("w", poisson1_weight(unit_hash(F.col(key_col), F.col("run") + F.lit(seed))))
     aggs = [F.sum("w").alias("W")]
