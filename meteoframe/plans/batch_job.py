@@ -67,7 +67,7 @@ def run_batch_job(spark: SparkSession, csv_path: str, out_dir: str, per_station:
     typed = read_raw(spark, csv_path)
 
     stats = prof.advanced_statistics(typed, RAW_MEASURES)
-    dictionary = prof.data_dictionary(typed, {}, "Other averaged measure")
+    dictionary = prof.data_dictionary(typed, ingest.RAW_DESCRIPTIONS, "Other measure")
     ingest.write_report_csv(prof.statistics_by_row(stats, RAW_MEASURES), f"{out}/advanced_statistics")
     ingest.write_report_csv(dictionary, f"{out}/data_dictionary")
 

@@ -30,6 +30,33 @@ RAW_COLUMNS = [
 ]
 RAW_NUMERIC = [n for n, t in RAW_COLUMNS if t == "double"]
 
+# Plain descriptions of the raw columns (used by the data dictionary).
+RAW_DESCRIPTIONS = {
+    "Date": "Observation date",
+    "Location": "Observing station",
+    "MinTemp": "Lowest temperature of the day (deg C)",
+    "MaxTemp": "Highest temperature of the day (deg C)",
+    "Rainfall": "Rain over the day (mm)",
+    "Evaporation": "Evaporation over the day (mm)",
+    "Sunshine": "Hours of bright sunshine",
+    "WindGustDir": "Direction of the strongest gust",
+    "WindGustSpeed": "Speed of the strongest gust (km/h)",
+    "WindDir9am": "Wind direction at 9am",
+    "WindDir3pm": "Wind direction at 3pm",
+    "WindSpeed9am": "Wind speed at 9am (km/h)",
+    "WindSpeed3pm": "Wind speed at 3pm (km/h)",
+    "Humidity9am": "Relative humidity at 9am (%)",
+    "Humidity3pm": "Relative humidity at 3pm (%)",
+    "Pressure9am": "Air pressure at 9am (hPa)",
+    "Pressure3pm": "Air pressure at 3pm (hPa)",
+    "Cloud9am": "Cloud cover at 9am (oktas)",
+    "Cloud3pm": "Cloud cover at 3pm (oktas)",
+    "Temp9am": "Temperature at 9am (deg C)",
+    "Temp3pm": "Temperature at 3pm (deg C)",
+    "RainToday": "Rain today? (Yes/No)",
+    "RainTomorrow": "Rain tomorrow? (Yes/No)",
+}
+
 
 def raw_text_schema(columns: Sequence[tuple[str, str]] = RAW_COLUMNS) -> T.StructType:
     """Every field as text: the file is typed afterwards by ``typed_observations``."""

@@ -28,6 +28,8 @@ def test_reference_pipeline_end_to_end(spark, tmp_path):
     _write_csv(csv)
     res = run_batch_job(spark, str(csv), str(tmp_path / "out"), runs=3)
     assert res.statistics.count() == 3
+    described = {r.column_name: r.description for r in res.dictionary.collect()}
+    assert described["MinTemp"].startswith("Lowest temperature") and described["Location"] == "Observing station"
     audit = {(r.phase, r.column_name): r.null_count for r in res.null_audit.collect()}
     assert audit[("after", "MinTemp")] == 0 and audit[("before", "Rainfall")] > 0
     split = {r.split: r["count"] for r in res.split.groupBy("split").count().collect()}
