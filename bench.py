@@ -36,6 +36,17 @@ def run(df) -> None:
     release_cached()  # frames of finished queries are not used again
 
 
+def timed(timings: dict, name: str, fn) -> None:
+    """Time ``fn()``; a failure is recorded as null so the JSON line is always printed."""
+    t0 = time.perf_counter()
+    try:
+        fn()
+        timings[name] = round(time.perf_counter() - t0, 3)
+    except Exception as exc:  # noqa: BLE001
+        print(f"bench: {name} failed: {exc!r}"[:500], file=sys.stderr)
+        timings[name] = None
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -51,41 +62,39 @@ def main() -> None:
     _, warm_train, _ = catalog._train_test(spark, warm_dir)
     mdl.train_models(warm_train, catalog.FEATURES, catalog.TARGETS[:1], mdl.ALGOS)
 
-    timings: dict[str, float] = {}
+    timings: dict[str, float | None] = {}
     for name in HEADLINE:
-        t0 = time.perf_counter()
-        run(catalog.QUERIES[name](spark, sf_dir))
-        timings[name] = round(time.perf_counter() - t0, 3)
+        timed(timings, name, lambda name=name: run(catalog.QUERIES[name](spark, sf_dir)))
 
     _, train, _ = catalog._train_test(spark, sf_dir)
-    t0 = time.perf_counter()
-    models = mdl.train_models(train, catalog.FEATURES, catalog.TARGETS, mdl.ALGOS)
-    timings["train_12_models"] = round(time.perf_counter() - t0, 3)
-    for a in mdl.ALGOS:
-        catalog._MODEL_CACHE[(spark.sparkContext.applicationId, sf_dir, a)] = {
-            k: m for k, m in models.items() if k.startswith(f"{a}_")}
+
+    def train_all():
+        models = mdl.train_models(train, catalog.FEATURES, catalog.TARGETS, mdl.ALGOS)
+        for a in mdl.ALGOS:
+            catalog._MODEL_CACHE[(spark.sparkContext.applicationId, sf_dir, a)] = {
+                k: m for k, m in models.items() if k.startswith(f"{a}_")}
+
+    timed(timings, "train_12_models", train_all)
 
     # One pipeline fit each (assembler + scaler + regressor) for one target,
     # comparable with the per-model gaps between saves of the original run.
     one = [catalog.TARGETS[0]]
     for algo in mdl.ALGOS:
-        t0 = time.perf_counter()
-        mdl.train_models(train, catalog.FEATURES, one, (algo,), parallelism=1)
-        timings[f"fit_one_{algo.lower()}"] = round(time.perf_counter() - t0, 3)
+        timed(timings, f"fit_one_{algo.lower()}",
+              lambda algo=algo: mdl.train_models(train, catalog.FEATURES, one, (algo,), parallelism=1))
 
     for name in MODEL_QUERIES:
-        t0 = time.perf_counter()
-        run(catalog.QUERIES[name](spark, sf_dir))
-        timings[name] = round(time.perf_counter() - t0, 3)
+        timed(timings, name, lambda name=name: run(catalog.QUERIES[name](spark, sf_dir)))
 
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "total_headline_seconds",
-        "value": round(sum(timings.values()), 3),
+        "value": round(sum(v for v in timings.values() if v is not None), 3),
         "unit": "sec",
         "queries": timings,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": int(cpus),
+        "failed": [k for k, v in timings.items() if v is None],
     }))
     spark.stop()
 
