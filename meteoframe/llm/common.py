@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 #: A side with at most this many rows of a few plain columns may be broadcast; more rows take a shuffle join.
 BROADCAST_ROWS = 500_000
@@ -50,7 +51,7 @@ def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with one-off set-up per task: ``make()`` runs in the task and returns the function of a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import simhash
+from . import langid, simhash, toxicity
 from .common import table
 
 
@@ -13,5 +13,20 @@ def op5_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
-QUERIES = {f.__name__: f for f in (op5_simhash_neardup,)}
+def op9_toxicity_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document; labels of the held-out third teach nothing."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    scored = toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+    return scored.select("row.doc_id", toxicity.held_out("row.doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op10_langid_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score of every document; rows of the held-out quarter teach nothing."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+    model = langid.fit(docs.filter(~toxicity.held_out("doc_id", 4, 2)))
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("row.doc_id", toxicity.held_out("row.doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (op5_simhash_neardup, op9_toxicity_kneser_ney, op10_langid_ppm)}
 ORACLE: dict[str, str] = {}

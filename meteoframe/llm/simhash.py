@@ -187,7 +187,7 @@ def _close_pairs(fps: np.ndarray, value: np.ndarray, owner: np.ndarray, max_bits
     return np.concatenate(lefts), np.concatenate(rights)
 
 
-def links(fps: DataFrame, max_bits: int = 4, prefix_bits: int = 8, most_rows: int = 20_000, step_bits: int = 4) -> DataFrame:
+def links(fps: DataFrame, max_bits: int = 4, prefix_bits: int = 8, most_rows: int = 200_000, step_bits: int = 4) -> DataFrame:
     """(a, b): links that keep the classes of distinct fingerprints at most ``max_bits`` apart, from a column ``fp``.
 
     ``prefix_bits`` and ``most_rows`` only lay out the work: prefixes with more
