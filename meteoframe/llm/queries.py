@@ -4,15 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, simhash, toxicity
+from . import decontam, langid, mixing, simhash, token_output, toxicity
 from .common import table
 
 
+def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, item_id, first_word, last_word, windows, reparameterised: documents that share a consistent run of 13 template words with a benchmark item."""
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, source_size, target, taken of every document (and its source)."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def op5_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint, component_id of every document: 4-word shingles, links at 4 or fewer differing bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every document, read back from the written packs."""
+    return token_output.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted of every document; labels of the held-out third teach nothing."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -28,5 +43,5 @@ def op10_langid_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", toxicity.held_out("row.doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op5_simhash_neardup, op9_toxicity_kneser_ney, op10_langid_ppm)}
+QUERIES = {f.__name__: f for f in (op3_template_decontamination, op4_cube_mixing, op5_simhash_neardup, op7_token_output, op9_toxicity_kneser_ney, op10_langid_ppm)}
 ORACLE: dict[str, str] = {}
