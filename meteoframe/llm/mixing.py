@@ -7,8 +7,8 @@ probabilities along the null space of the constraints (document total, word
 total of the source) until all but two are 0 or 1, so both totals stay exactly
 on target. It runs in blocks of a source's documents in parallel; what a block
 leaves open (two documents at most) is dealt to blocks of the next round, until
-a source has one block. Its last open documents land on whichever outcome is
-nearest to the source's word target.
+a source has one block. That keeps a few documents of all sizes back, and these
+and the last open ones land on whichever outcome is nearest to the totals.
 
 A hot source has more blocks, not larger ones. Blocks and the order inside
 them come from hashes of the document, so reruns agree.
@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import small_side, written
 
 BLOCK = 4096
+#: Open documents of all sizes that a source's last block keeps back, so that the landing can reach its word target.
+HELD = 10
 _EDGE = 1e-9
 
 
@@ -73,9 +75,11 @@ def _draw(*seed: float) -> float:
 
 
 def land(p: np.ndarray, size: np.ndarray, goal: float) -> np.ndarray:
-    """The 0/1 outcome of the last open units whose words come nearest to ``goal``; ties to fewer documents. At most a few units are open."""
-    best = min(product((0, 1), repeat=len(p)), key=lambda s: (round(abs(float(np.dot(s, size)) - goal), 6), sum(s), s))
-    return np.array(best, dtype=float)
+    """The 0/1 outcome of the last open units (``HELD`` + 2 at most) whose words come nearest to ``goal``, and among near ones the documents to sum(p)."""
+    choices = ((np.arange(1 << len(p))[:, None] >> np.arange(len(p))[None, :]) & 1).astype(float)
+    unit = max(float(size.mean()) if len(size) else 1.0, 1.0)
+    off = np.abs(choices @ size - goal) / unit + 0.02 * np.abs(choices.sum(axis=1) - p.sum())
+    return choices[int(np.argmin(off.round(9)))]
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -126,7 +130,14 @@ def copies(docs: DataFrame, source_col: str = "source", size_col: str = "size",
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["_hash", size_col, *order], kind="stable").reset_index(drop=True)
-        group["_p"] = flight(group["_p"].to_numpy(), group[size_col].to_numpy(dtype=float))
+        p, size = group["_p"].to_numpy(dtype=float).copy(), group[size_col].to_numpy(dtype=float)
+        flown = np.ones(len(p), dtype=bool)
+        if group["_blocks"].iloc[0] == 1:
+            by_size = np.argsort(size, kind="stable")
+            flown[by_size[np.linspace(0, len(p) - 1, min(len(p), HELD)).round().astype(int)]] = False
+            flown &= len(p) > HELD + 2
+        p[flown] = flight(p[flown], size[flown])
+        group["_p"] = p
         return group[names]
 
     rest = open_
@@ -142,7 +153,7 @@ def copies(docs: DataFrame, source_col: str = "source", size_col: str = "size",
 
 
 def _landed(rest: DataFrame, flown_parts: list[DataFrame], base: DataFrame, source_col: str, size_col: str, order: list[str], counts: DataFrame, docs: DataFrame) -> DataFrame:
-    """All rows with their copies, the last open ones (two a source at most) landed next to the words that are still missing."""
+    """All rows with their copies, the last open ones (HELD + 2 a source at most) landed next to the words that are still missing."""
     taken = flown_parts[1]
     for more in flown_parts[2:]:
         taken = taken.union(more)

@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, langid, mixing, simhash, token_output, toxicity
+from . import ann, decontam, html_extract, langid, mixing, pii, simhash, token_counts, token_output, toxicity
 from .common import table
 
 
+def op1_cross_polytope_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id, score: the 20 nearest found of every row whose vec_id is divisible by 20, among all other rows."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
+def op2_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, section, first_char, n_chars, n_tokens of every line section; a token that crosses a boundary counts where it starts."""
+    return token_counts.section_tokens(table(spark, sf_dir, "documents"), rule="start")
+
+
 def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, item_id, first_word, last_word, windows, reparameterised: documents that share a consistent run of 13 template words with a benchmark item."""
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -23,11 +33,21 @@ def op5_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text, n_entities of every document, personal data replaced by keyed surrogates."""
+    return pii.replaced(table(spark, sf_dir, "documents"))
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, read back from the written packs."""
     return token_output.digest(table(spark, sf_dir, "documents"))
 
 
+def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, text, n_chars of every page."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted of every document; labels of the held-out third teach nothing."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -43,5 +63,8 @@ def op10_langid_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", toxicity.held_out("row.doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op3_template_decontamination, op4_cube_mixing, op5_simhash_neardup, op7_token_output, op9_toxicity_kneser_ney, op10_langid_ppm)}
+QUERIES = {f.__name__: f for f in (
+    op1_cross_polytope_ann, op2_section_tokens, op3_template_decontamination, op4_cube_mixing, op5_simhash_neardup, op6_pii_surrogates,
+    op7_token_output, op8_html_main_text, op9_toxicity_kneser_ney, op10_langid_ppm,
+)}
 ORACLE: dict[str, str] = {}
