@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import map_batches, written
 
-TABLES, AXES, PROBES, SLICE_ROWS = 10, 16, 4, 4096
+TABLES, AXES, PROBES, SLICE_ROWS = 12, 16, 4, 4096
 
 
 def rotate(x: np.ndarray, table: int, seed: int = 11) -> np.ndarray:

@@ -74,11 +74,12 @@ def _stream(key: str, *parts: Column) -> Column:
 
 
 def _same_format(value: Column, stream: Column) -> Column:
-    """``value`` with digits, lower and upper letters replaced by others of their class; the rest stays."""
+    """``value`` with digits, lower and upper letters replaced by others of their class (hex by hex); the rest stays."""
+    hexed = value.rlike("^[0-9a-f]{8,}[\"']?$")
     def char(c: Column, i: Column) -> Column:
         b = _byte(stream, i)
         pick = lambda letters: F.substring(F.lit(letters), b % len(letters) + 1, F.lit(1))
-        return (F.when(c.rlike("[0-9]"), pick("0123456789")).when(c.rlike("[a-z]"), pick("abcdefghijklmnopqrstuvwxyz"))
+        return (F.when(c.rlike("[0-9]"), pick("0123456789")).when(c.rlike("[a-z]") & hexed, pick("abcdef")).when(c.rlike("[a-z]"), pick("abcdefghijklmnopqrstuvwxyz"))
                 .when(c.rlike("[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).otherwise(c))
     return F.array_join(F.transform(F.split(value, ""), char), "")
 

@@ -111,7 +111,8 @@ class Model:
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         x = self.features(texts)
-        return 1 / (1 + np.exp(-np.clip(self.weights[0] + x @ self.weights[1:], -500, 500)))
+        with np.errstate(over="ignore"):
+            return 1 / (1 + np.exp(-(self.weights[0] + x @ self.weights[1:])))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
@@ -140,7 +141,7 @@ def fit(train: DataFrame, order: int = ORDER, calibration_rows: int = CALIBRATIO
     blank = np.zeros(1 << SLOT_BITS, dtype=np.float32)
     if len(seen) < 2:
         share = seen.get(1, 0) > 0
-        return Model(blank, blank, np.r_[500.0 if share else -500.0, np.zeros(len(FEATURES))], order)
+        return Model(blank, blank, np.r_[1000.0 if share else -1000.0, np.zeros(len(FEATURES))], order)
     known, new = _class_ratio(gram_counts(train.filter("part > 0"), "text", "toxic", order, 2, by_word=True), order)
     model = Model(slot_table(known, "gram", ["llr"], "n", SLOT_BITS)[:, 0], slot_table(new, "h", ["llr"], "n", SLOT_BITS)[:, 0], np.zeros(1 + len(FEATURES)), order)
     x, y = _calibration(train.filter("part = 0"), model, calibration_rows)
