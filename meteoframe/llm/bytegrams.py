@@ -37,7 +37,7 @@ def slot(keys: np.ndarray, bits: int) -> np.ndarray:
     return ((keys * np.int64(_ODD)).view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def chunks(texts: Iterator[bytes], order: int, by_word: bool = False, most: int = 2 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def chunks(texts: Iterator[bytes], order: int, by_word: bool = False, most: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(grams, document number of each, word starts) for about ``most`` bytes at a time; a longer text comes in several chunks, no byte is left out.
 
     ``by_word``: spaces have no gram, and a gram has zeros in place of what
@@ -53,6 +53,7 @@ def chunks(texts: Iterator[bytes], order: int, by_word: bool = False, most: int
         for k in range(1, order):
             gram[k:] |= wide[:-k] << (8 * k)
         sizes = np.array([len(p) for p in parts])
+        del wide
         keep = np.ones(len(data), dtype=bool)
         starts = np.cumsum(sizes) - sizes
         for k in range(order - 1):
@@ -83,7 +84,7 @@ def chunks(texts: Iterator[bytes], order: int, by_word: bool = False, most: int
         yield pack()
 
 
-def gram_counts(docs: DataFrame, text_col: str, class_col: str, order: int, classes: int, by_word: bool = False, hold: int = 6_000_000) -> DataFrame:
+def gram_counts(docs: DataFrame, text_col: str, class_col: str, order: int, classes: int, by_word: bool = False, hold: int = 1_000_000) -> DataFrame:
     """(gram, class, n): how often each n-gram occurs in the texts of each class (a small integer), over all rows.
 
     Each task adds up what it has read before anything is shuffled.

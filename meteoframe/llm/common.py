@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -64,10 +65,10 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Ite
     return df.mapInArrow(run, schema)
 
 
-def pieces(batch: pa.RecordBatch, text: str = "text", most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, text: str = "text", most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """``batch`` cut into slices of about ``most_bytes`` of text (one row at least), so that work space stays bounded."""
     column = batch.column(batch.schema.get_field_index(text))
-    sizes = np.array([0 if x is None else x for x in pa.compute.binary_length(column).to_pylist()], dtype=np.int64)
+    sizes = np.array([0 if x is None else x for x in pc.binary_length(column).to_pylist()], dtype=np.int64)
     group = np.cumsum(sizes) // most_bytes
     start = 0
     for end in [*(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]:
@@ -83,7 +84,7 @@ class WordCoder(dict):
     not grow with the vocabulary. Numbers are only valid until :meth:`shed`.
     """
 
-    def __init__(self, describe: Callable[[str], object], most: int = 400_000):
+    def __init__(self, describe: Callable[[str], object], most: int = 100_000):
         super().__init__()
         self.describe, self.most, self.facts = describe, most, []
 

@@ -41,6 +41,7 @@ hz khz mhz ghz b kb mb gb tb bit bits byte bytes joule joules watt watts volt vo
 
 LITERAL, NUMBER, UNIT, NAME = range(4)
 _PART = re.compile(r"(\d+(?:[.,:/]\d+)*)|([^\W\d_]+(?:['’-][^\W\d_]+)*)|([%$€£°])")
+_SPECIAL = re.compile(r"[\d%$€£°]")
 _WRAP = re.compile(r"^[\W_]+|[\W_]+$")
 _ENDS = (".", "!", "?", ":", '."', '!"', '?"', ".)", ".'", ".”")
 
@@ -49,53 +50,63 @@ def _hash(word: str, kind: int = LITERAL) -> int:
     return xxhash.xxh64_intdigest(word.encode("utf-8", "ignore"), kind)
 
 
-def _parts(word: str) -> list[tuple[int, int, int]]:
-    """(literal hash, kind, name-like) of the parts of a word between white space; no part for bare punctuation."""
-    if not any(c.isdigit() or c in "%$€£°" for c in word):
-        core = _WRAP.sub("", word)
+def _parts(word: str) -> tuple[list[int], list[int], list[bool]]:
+    """(literal hashes, kinds, name-likes) of the parts of a word between white space; no part for bare punctuation."""
+    if not _SPECIAL.search(word):
+        core = word if word.isalpha() else _WRAP.sub("", word)
         if not core:
-            return []
+            return [], [], []
         low = core.lower()
-        return [(_hash(low), UNIT if low in UNITS else LITERAL, core[0].isupper() and core[1:].islower() and core.isalpha())]
-    out = []
+        return [_hash(low)], [UNIT if low in UNITS else LITERAL], [core[0] != low[0] and core[1:] == low[1:] and core.isalpha()]
+    hashes, kinds, cased = [], [], []
     for number, text, sign in _PART.findall(word):
         low = (number or text or sign).lower()
-        kind = NUMBER if number else UNIT if sign or low in UNITS else LITERAL
-        out.append((_hash(low), kind, bool(text) and text[0].isupper() and text[1:].islower()))
-    return out
+        hashes.append(_hash(low))
+        kinds.append(NUMBER if number else UNIT if sign or low in UNITS else LITERAL)
+        cased.append(bool(text) and text[0].isupper() and text[1:].islower())
+    return hashes, kinds, cased
 
 
 class Templates:
     """Template words of texts, with numbers for distinct words so that each is analysed once."""
 
     def __init__(self):
-        self.coder = WordCoder(lambda w: (_parts(w), w.endswith(_ENDS)))
-
-    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(hash of each word as it is, kind with names, kind without names)."""
-        self.coder.shed()
-        code = self.coder.code((text or "").split())
-        if not len(code):
-            none = np.zeros(0, dtype=np.int64)
-            return none.view(np.uint64), none, none
-        used, code = np.unique(code, return_inverse=True)
-        facts = [self.coder.facts[k] for k in used.tolist()]
-        count = np.array([len(f[0]) for f in facts])
-        flat = [p for f in facts for p in f[0]]
-        start = np.cumsum(count) - count
-        n = count[code]
-        first = np.cumsum(n) - n
-        at = np.repeat(start[code] - first, n) + np.arange(n.sum())
-        words = np.array([p[0] for p in flat], dtype=np.uint64)[at]
-        kind = np.array([p[1] for p in flat], dtype=np.int64)[at]
-        cased = np.array([p[2] for p in flat], dtype=bool)[at]
-        after_stop = np.ones(len(code), dtype=bool)
-        after_stop[1:] = np.array([f[1] for f in facts])[code[:-1]]
-        begins = np.repeat(after_stop, n)
-        behind = np.ones(len(at), dtype=bool)  # only the first part of a word can begin a sentence
-        behind[first[n > 0]] = False
-        kind[(kind == UNIT) & (np.concatenate([[LITERAL], kind[:-1]]) != NUMBER)] = LITERAL
-        return words, np.where((kind == LITERAL) & cased & ~(begins & ~behind), NAME, kind), kind
+        self.coder = WordCoder(lambda w: (*_parts(w), w.endswith(_ENDS)), 200_000)
+        self._reset()
+
+    def _reset(self):
+        self.known, self.words, self.kind, self.cased, self.ends = 0, *(np.zeros(0, dtype=t) for t in (np.uint64, np.int8, bool, bool))
+        self.start, self.count = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    def of(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per text (hash of each word as it is, kind with names, kind without names)."""
+        if self.coder.shed():
+            self._reset()
+        codes = [self.coder.code((t or "").split()) for t in texts]
+        if new := self.coder.facts[self.known:]:
+            count = np.array([len(f[0]) for f in new])
+            self.start = np.concatenate([self.start, len(self.words) + np.cumsum(count) - count])
+            self.count = np.concatenate([self.count, count])
+            self.words = np.concatenate([self.words, np.array([h for f in new for h in f[0]], dtype=np.uint64)])
+            self.kind = np.concatenate([self.kind, np.array([k for f in new for k in f[1]], dtype=np.int8)])
+            self.cased = np.concatenate([self.cased, np.array([c for f in new for c in f[2]], dtype=bool)])
+            self.ends = np.concatenate([self.ends, np.array([f[3] for f in new], dtype=bool)])
+            self.known = len(self.coder.facts)
+            self.coder.facts[self.known - len(new):] = [None] * len(new)  # held in the arrays
+        for code in codes:
+            n = self.count[code]
+            first = np.cumsum(n) - n
+            at = np.repeat(self.start[code] - first, n) + np.arange(int(n.sum()))
+            kind = self.kind[at]
+            opens = np.ones(len(code), dtype=bool)  # the first part of a word after a full stop begins a sentence
+            opens[1:] = self.ends[code[:-1]]
+            begins = np.zeros(len(at), dtype=bool)
+            begins[first[n > 0]] = opens[n > 0]
+            if len(kind):
+                loose = kind == UNIT
+                loose[1:] &= kind[:-1] != NUMBER
+                kind[loose] = LITERAL
+            yield self.words[at], np.where((kind == LITERAL) & self.cased[at] & ~begins, np.int8(NAME), kind), kind
 
 
 def windows(words: np.ndarray, kind: np.ndarray, size: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,8 +127,7 @@ def windows(words: np.ndarray, kind: np.ndarray, size: int, salt: int) -> tuple[
 def _window_rows(texts: pa.Array, ids: pa.Array, sizes: list[int], size_of, wanted: np.ndarray | None, template: Templates) -> pa.RecordBatch:
     """(id, start, size, template, hash, slots): windows whose hash may be wanted; ``size_of`` gives a text's only size, or None for all ``sizes``."""
     rows: list[tuple] = []
-    for number, text in zip(ids.to_pylist(), texts):
-        words, named, plain = template.of(text.as_py())
+    for number, (words, named, plain) in zip(ids.to_pylist(), template.of(texts.to_pylist())):
         for size in sizes if size_of is None else [size_of(len(words))]:
             if not size or len(words) < size:
                 continue

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .bytegrams import chunks, gram_counts, history, letters, slot, slot_table, suffix
-from .common import map_batches, written
+from .common import map_batches, pieces, written
 
 ORDER, SLOT_BITS, MOST_LANGUAGES = 4, 20, 200
 
@@ -121,15 +121,16 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
         model = shared.value
 
         def batch(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            n = rows.num_rows
-            names, scores = np.full(n, "und", dtype=object), np.zeros(n)
-            if model is not None:
-                bits, size = model.lengths(rows.column(0).to_pylist())
-                some = np.flatnonzero(size > 0)
-                best = bits[some].argmin(axis=1)
-                names[some] = np.array(model.languages, dtype=object)[best]
-                scores[some] = 1 / np.exp2(np.maximum(bits[some, best][:, None] - bits[some], -1000)).sum(axis=1)
-            yield pa.RecordBatch.from_arrays([rows.column(1), pa.array(names, pa.string()), pa.array(scores)], ["row", "lang_pred", "score"])
+            for part in pieces(rows):
+                n = part.num_rows
+                names, scores = np.full(n, "und", dtype=object), np.zeros(n)
+                if model is not None:
+                    bits, size = model.lengths(part.column(0).to_pylist())
+                    some = np.flatnonzero(size > 0)
+                    best = bits[some].argmin(axis=1)
+                    names[some] = np.array(model.languages, dtype=object)[best]
+                    scores[some] = 1 / np.exp2(np.maximum(bits[some, best][:, None] - bits[some], -1000)).sum(axis=1)
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(names, pa.string()), pa.array(scores)], ["row", "lang_pred", "score"])
         return batch
 
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))

@@ -129,7 +129,7 @@ def _merged(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             label = again
 
 
-def meet(fps: np.ndarray, spent: np.ndarray, top: int, radius: int, max_bits: int, most: int = 2_000_000) -> tuple[np.ndarray, np.ndarray]:
+def meet(fps: np.ndarray, spent: np.ndarray, top: int, radius: int, max_bits: int, most: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
     """Links among fingerprints of one prefix (bits ``top`` and above): (root, member) of each class that meets here.
 
     Fingerprints that emit the same variant are within ``2 * radius`` bits of

@@ -31,7 +31,7 @@ from .common import WordCoder, map_batches, pieces, shared_dir, written
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
 #: The dictionary's size, and the bound of the sample that it is trained on.
 DICTIONARY_BYTES, SAMPLE_DOCS, SAMPLE_IDS = 64 << 10, 2_000, 4_096
-PACK_BYTES, LEVEL = 4 << 20, 3
+PACK_BYTES, LEVEL = 1 << 20, 3
 
 
 def _tokenizer(name: str):
@@ -52,7 +52,7 @@ class Encoder:
 
     def __init__(self, name: str = TOKENIZER):
         self.tokenizer = _tokenizer(name)
-        self.coder = WordCoder(lambda w: w)
+        self.coder = WordCoder(lambda w: w, 300_000)
         self.flat, self.start, self.count = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
     def of(self, texts: list[str | None]) -> list[np.ndarray]:
@@ -61,9 +61,12 @@ class Encoder:
         codes = [self.coder.code(t.split(" ")) if t else np.zeros(0, dtype=np.int64) for t in texts]
         new = self.coder.facts[len(self.count):]
         if new:
-            got = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-            count = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
-            flat = np.fromiter((i for ids in got for i in ids), dtype=np.uint32, count=int(count.sum()))
+            parts, counts = [], []
+            for k in range(0, len(new), 2048):  # a list of words is one call; word_ids says which word each id is from
+                some = self.tokenizer.encode(new[k:k + 2048], is_pretokenized=True, add_special_tokens=False)
+                parts.append(np.array(some.ids, dtype=np.uint32))
+                counts.append(np.bincount(np.array(some.word_ids, dtype=np.int64), minlength=len(new[k:k + 2048])))
+            count, flat = np.concatenate(counts), np.concatenate(parts)
             self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(count) - count])
             self.count = np.concatenate([self.count, count])
             self.flat = np.concatenate([self.flat, flat])

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .bytegrams import chunks, gram_counts, history, letters, slot, slot_table, suffix
-from .common import map_batches, small_side, written
+from .common import map_batches, pieces, small_side, written
 
 ORDER, NEUTRAL, SLOT_BITS, DISCOUNT, CALIBRATION_ROWS = 7, 1.5, 21, 0.75, 40_000
 
@@ -170,9 +170,10 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", features: bool
         model = shared.value
 
         def batch(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            texts = rows.column(0).to_pylist()
-            made = model.features(texts).T if features else [model.scores(texts)]
-            yield pa.RecordBatch.from_arrays([rows.column(1), *map(pa.array, made)], ["row", *out])
+            for part in pieces(rows):
+                texts = part.column(0).to_pylist()
+                made = model.features(texts).T if features else [model.scores(texts)]
+                yield pa.RecordBatch.from_arrays([part.column(1), *map(pa.array, made)], ["row", *out])
         return batch
 
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
