@@ -71,80 +71,118 @@ class Templates:
     """Template words of texts, with numbers for distinct words so that each is analysed once."""
 
     def __init__(self):
-        self.coder = WordCoder(lambda w: (*_parts(w), w.endswith(_ENDS)), 200_000)
+        self.coder = WordCoder(self._add, 300_000)
         self._reset()
 
     def _reset(self):
-        self.known, self.words, self.kind, self.cased, self.ends = 0, *(np.zeros(0, dtype=t) for t in (np.uint64, np.int8, bool, bool))
+        self.words, self.kind, self.cased, self.ends = (np.zeros(0, dtype=t) for t in (np.uint64, np.int8, bool, bool))
         self.start, self.count = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-
-    def of(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Per text (hash of each word as it is, kind with names, kind without names)."""
+        self._new()
+
+    def _new(self):
+        self.to_add: tuple[list, list, list, list, list] = ([], [], [], [], [])  # hashes, kinds, cased; parts and full stop of each word
+
+    def _add(self, word: str) -> None:
+        hashes, kinds, cased, parts, ends = self.to_add
+        if word.isalpha():
+            low = word.lower()
+            hashes.append(xxhash.xxh64_intdigest(low.encode("utf-8", "ignore"), LITERAL))
+            kinds.append(UNIT if low in UNITS else LITERAL)
+            cased.append(word[0] != low[0] and word[1:] == low[1:])
+            parts.append(1)
+            ends.append(False)
+            return
+        h, k, c = _parts(word)
+        hashes += h
+        kinds += k
+        cased += c
+        parts.append(len(h))
+        ends.append(word.endswith(_ENDS))
+
+    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of all texts one after another: (hash of each word as it is, kind with names, kind without names); and the words of each text."""
         if self.coder.shed():
             self._reset()
-        codes = [self.coder.code((t or "").split()) for t in texts]
-        if new := self.coder.facts[self.known:]:
-            count = np.array([len(f[0]) for f in new])
+        split = [(t or "").split() for t in texts]
+        code = self.coder.code([w for ws in split for w in ws])
+        hashes, kinds, cased, count, ends = self.to_add
+        if count:
+            count = np.array(count)
             self.start = np.concatenate([self.start, len(self.words) + np.cumsum(count) - count])
             self.count = np.concatenate([self.count, count])
-            self.words = np.concatenate([self.words, np.array([h for f in new for h in f[0]], dtype=np.uint64)])
-            self.kind = np.concatenate([self.kind, np.array([k for f in new for k in f[1]], dtype=np.int8)])
-            self.cased = np.concatenate([self.cased, np.array([c for f in new for c in f[2]], dtype=bool)])
-            self.ends = np.concatenate([self.ends, np.array([f[3] for f in new], dtype=bool)])
-            self.known = len(self.coder.facts)
-            self.coder.facts[self.known - len(new):] = [None] * len(new)  # held in the arrays
-        for code in codes:
-            n = self.count[code]
-            first = np.cumsum(n) - n
-            at = np.repeat(self.start[code] - first, n) + np.arange(int(n.sum()))
-            kind = self.kind[at]
-            opens = np.ones(len(code), dtype=bool)  # the first part of a word after a full stop begins a sentence
-            opens[1:] = self.ends[code[:-1]]
-            begins = np.zeros(len(at), dtype=bool)
-            begins[first[n > 0]] = opens[n > 0]
-            if len(kind):
-                loose = kind == UNIT
-                loose[1:] &= kind[:-1] != NUMBER
-                kind[loose] = LITERAL
-            yield self.words[at], np.where((kind == LITERAL) & self.cased[at] & ~begins, np.int8(NAME), kind), kind
-
-
-def windows(words: np.ndarray, kind: np.ndarray, size: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each window of ``size`` template words, whether enough of it is literal)."""
-    n = len(words) - size + 1
-    if n <= 0:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool)
+            self.words = np.concatenate([self.words, np.array(hashes, dtype=np.uint64)])
+            self.kind = np.concatenate([self.kind, np.array(kinds, dtype=np.int8)])
+            self.cased = np.concatenate([self.cased, np.array(cased, dtype=bool)])
+            self.ends = np.concatenate([self.ends, np.array(ends, dtype=bool)])
+            self._new()
+        sizes = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+        n = self.count[code]
+        ahead = np.concatenate([[0], np.cumsum(n)])
+        first = ahead[:-1]
+        at = np.repeat(self.start[code] - first, n) + np.arange(int(n.sum()))
+        opens = np.ones(len(code), dtype=bool)  # the first part of a word after a full stop begins a sentence
+        opens[1:] = self.ends[code[:-1]]
+        opens[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+        begins = np.zeros(len(at), dtype=bool)
+        begins[first[n > 0]] = opens[n > 0]
+        edge = np.concatenate([[0], np.cumsum(sizes)])
+        parts = np.diff(ahead[edge])
+        kind = self.kind[at]
+        if len(kind):
+            loose = kind == UNIT
+            after = np.zeros(len(kind), dtype=bool)
+            after[1:] = kind[:-1] == NUMBER
+            after[ahead[edge[:-1]][parts > 0]] = False
+            kind[loose & ~after] = LITERAL
+        return self.words[at], np.where((kind == LITERAL) & self.cased[at] & ~begins, np.int8(NAME), kind), kind, parts
+
+
+def windows(words: np.ndarray, kind: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of the window of ``size`` template words at each start, whether enough of it is literal)."""
     place = np.array([0, *(_hash("<slot>", k) for k in (NUMBER, UNIT, NAME))], dtype=np.uint64)
-    template = np.where(kind == LITERAL, words, place[kind])
-    odd, out = np.uint64(0x9E3779B97F4A7C15), np.full(n, size * 8 + salt, dtype=np.uint64)
+    slots = kind != LITERAL
+    template = words.copy()
+    template[slots] = place[kind[slots]]
+    odd, out = np.uint64(0x9E3779B97F4A7C15), np.full(len(starts), size, dtype=np.uint64)
+    row = len(starts) and (starts[-1] - starts[0] + 1 == len(starts))  # starts without gaps are read as slices
     for k in range(size):
-        out = (out ^ template[k:k + n]) * odd
+        out ^= template[starts[0] + k:starts[0] + k + len(starts)] if row else template[starts + k]
+        out *= odd
         out ^= out >> np.uint64(29)
-    literal = np.concatenate([[0], np.cumsum(kind == LITERAL)])
-    return out.view(np.int64), (literal[size:] - literal[:-size]) >= np.ceil(size * LITERALS)
+    literal = np.concatenate([[0], np.cumsum(~slots)])
+    return out.view(np.int64), literal[starts + size] - literal[starts] >= np.ceil(size * LITERALS)
+
 
+def _window_rows(texts: pa.Array, ids: pa.Array, sizes: list[int] | None, window: int, wanted: np.ndarray | None, template: Templates) -> pa.RecordBatch:
+    """(id, start, size, hash, slots): windows of the given ``sizes`` whose hash may be ``wanted``; without sizes, each text's own, ``window`` words at most.
 
-def _window_rows(texts: pa.Array, ids: pa.Array, sizes: list[int], size_of, wanted: np.ndarray | None, template: Templates) -> pa.RecordBatch:
-    """(id, start, size, template, hash, slots): windows whose hash may be wanted; ``size_of`` gives a text's only size, or None for all ``sizes``."""
-    rows: list[tuple] = []
-    for number, (words, named, plain) in zip(ids.to_pylist(), template.of(texts.to_pylist())):
-        for size in sizes if size_of is None else [size_of(len(words))]:
-            if not size or len(words) < size:
+    A window is hashed without names as placeholders, and again with them if it has any.
+    """
+    words, named, plain, parts = template.of(texts.to_pylist())
+    begin = np.cumsum(parts) - parts
+    owner = np.repeat(np.arange(len(parts)), parts)
+    left = np.repeat(begin + parts, parts) - np.arange(len(words))  # words from here to the end of the text
+    own = np.minimum(parts, window)[owner] if len(words) else left
+    has_name = np.concatenate([[0], np.cumsum(named == NAME)])
+    got: list[tuple] = []
+    for size in sizes if sizes is not None else sorted(set(np.minimum(parts, window).tolist()) - {0}):
+        fits = np.flatnonzero((left >= size) & (own == size)) if sizes is None else np.flatnonzero(left >= size)
+        for kind, starts in ((plain, fits), (named, fits[has_name[fits + size] > has_name[fits]])):
+            if not len(starts):
                 continue
-            for salt, kind in enumerate((named, plain)):
-                hashes, rich = windows(words, kind, size, salt)
-                if wanted is not None:
-                    bit = hashes.view(np.uint64) >> np.uint64(64 - FILTER_BITS)
-                    rich = rich & ((wanted[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
-                for at in np.flatnonzero(rich).tolist():
-                    slots = words[at:at + size][kind[at:at + size] != LITERAL].view(np.int64).tolist()
-                    rows.append((number, at, size, salt, int(hashes[at]), slots))
-    names = ["id", "start", "size", "template", "hash", "slots"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(6)], names)
+            hashes, rich = windows(words, kind, starts, size)
+            if wanted is not None:
+                bit = hashes.view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+                rich &= ((wanted[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+            for k in np.flatnonzero(rich).tolist():
+                at = int(starts[k])
+                slots = words[at:at + size][kind[at:at + size] != LITERAL].view(np.int64).tolist()
+                got.append((int(owner[at]), at - int(begin[owner[at]]), size, int(hashes[k]), slots))
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
+    return pa.RecordBatch.from_arrays([ids.take(pa.array([g[0] for g in got], pa.int64())), *(pa.array([g[k + 1] for g in got], kinds[k]) for k in range(4))], ["id", "start", "size", "hash", "slots"])
 
 
-_SCHEMA = "id long, start long, size int, template int, hash long, slots array<long>"
+_SCHEMA = "id long, start long, size int, hash long, slots array<long>"
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -162,7 +200,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
         template = Templates()
 
         def batch(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            yield _window_rows(rows.column(1), rows.column(0), [], lambda n: min(n, window), None, template)
+            for part in pieces(rows):
+                yield _window_rows(part.column(1), part.column(0), None, window, None, template)
         return batch
 
     wanted = written(map_batches(texts(benchmark, "item_id"), items, _SCHEMA).distinct(), "item-windows")
@@ -177,15 +216,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
 
         def batch(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             for part in pieces(rows):
-                yield _window_rows(part.column(1), part.column(0), sizes, None, shared.value, template)
+                yield _window_rows(part.column(1), part.column(0), sizes, window, shared.value, template)
         return batch
 
     found = written(map_batches(texts(docs, "doc_id"), documents, _SCHEMA), "document-windows")
-    met = found.select(F.col("id").alias("doc_id"), "start", "size", "template", "hash", F.col("slots").alias("ours")).join(
-        wanted.select(F.col("id").alias("item_id"), F.col("start").alias("at"), F.col("size").alias("item_size"), F.col("template").alias("item_template"), "hash", F.col("slots").alias("theirs")), "hash")
-    met = met.filter("size = item_size and template = item_template and size(ours) = size(theirs)").distinct()
+    met = found.select(F.col("id").alias("doc_id"), "start", "size", "hash", F.col("slots").alias("ours")).join(
+        wanted.select(F.col("id").alias("item_id"), F.col("start").alias("at"), F.col("size").alias("item_size"), "hash", F.col("slots").alias("theirs")), "hash")
+    met = met.filter("size = item_size and size(ours) = size(theirs)").distinct()
     pairs = met.withColumn("pairs", F.expr("zip_with(ours, theirs, (a, b) -> struct(a, b))"))
-    runs = pairs.groupBy("doc_id", "item_id", "template", (F.col("start") - F.col("at")).alias("diagonal")).agg(
+    runs = pairs.groupBy("doc_id", "item_id", (F.col("start") - F.col("at")).alias("diagonal")).agg(
         F.min("start").alias("first_word"), F.max(F.col("start") + F.col("size") - 1).alias("last_word"), F.count("*").alias("windows"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     one_to_one = F.expr("size(array_distinct(pairs.a)) = size(pairs) and size(array_distinct(pairs.b)) = size(pairs)")
