@@ -19,7 +19,6 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from meteoframe.operators import models as mdl  # noqa: E402
-from meteoframe.operators.ordering import release_cached  # noqa: E402
 from meteoframe.plans import catalog  # noqa: E402
 from meteoframe.session import get_session  # noqa: E402
 
@@ -33,7 +32,6 @@ MODEL_QUERIES = ["score_table", "model_bootstrap_report", "forecast_card", "boun
 
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
-    release_cached()  # frames of finished queries are not used again
 
 
 def timed(timings: dict, name: str, fn) -> None:

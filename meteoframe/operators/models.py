@@ -54,15 +54,11 @@ def train_models(train: DataFrame, feature_cols: Sequence[str], targets: Sequenc
     each partition before they are persisted: forest bagging draws per
     partition and row position, so a fixed layout makes the forests
     repeatable for the same input whatever its upstream partitioning. The
-    partition count follows the row count (``rows_per_partition``, larger
-    when many fits run side by side, since they already fill the cores),
-    capped by ``spark.sql.shuffle.partitions``.
+    partition count is rows / ``rows_per_partition``: it depends on the rows
+    alone, not on the fits of this call or on a session setting.
     """
     scaling = fit_scaling(train, feature_cols)
-    cap = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fits = len(targets) * len(algos)
-    per_part = rows_per_partition * min(4, max(1, fits // 6))
-    n = num_partitions or max(1, min(cap, -(-train.count() // per_part)))
+    n = num_partitions or max(1, -(-train.count() // rows_per_partition))
     keys = [k for k in key_cols if k in train.columns]
     cols = [VECTOR, *targets]
     vectors = scaling.transform(train).select(*keys, *cols)

@@ -19,46 +19,14 @@ every neighbour it needs. Each window task holds at most
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOCAL_BITS = 33  # monotonically_increasing_id = partition_id << 33 | position
-
-# Range-sorted frames persisted by with_row_index, released by release_cached().
-_PERSISTED: list[DataFrame] = []
-
-
-def release_cached() -> None:
-    """Unpersist the range-sorted intermediates of earlier row-index plans.
-
-    Only for a caller that no longer uses any DataFrame built before the call
-    (end of a pipeline, between benchmark queries): a plan whose intermediate
-    is released would draw fresh range bounds in each of its two branches.
-    """
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
-
-
-@contextmanager
-def cache_scope() -> Iterator[None]:
-    """Release, on exit, the intermediates persisted by plans built inside the block.
-
-    Use around a unit of work whose DataFrames are not used after the block::
-
-        with cache_scope():
-            features(...).write.parquet(...)
-    """
-    start = len(_PERSISTED)
-    try:
-        yield
-    finally:
-        while len(_PERSISTED) > start:
-            _PERSISTED.pop().unpersist()
+from meteoframe.session import ensure_checkpoint_dir
 
+_LOCAL_BITS = 33  # monotonically_increasing_id = partition_id << 33 | position
 
 def _by_range(df: DataFrame, order_cols: Sequence[str | Column], num_partitions: int | None) -> DataFrame:
     """Range partitions on the order; without an explicit count AQE may merge
@@ -70,19 +38,18 @@ def _by_range(df: DataFrame, order_cols: Sequence[str | Column], num_partitions:
 
 def _indexed(df: DataFrame, order_cols: Sequence[str | Column], index_col: str,
              num_partitions: int | None) -> tuple[DataFrame, DataFrame]:
-    # Persisted so that the size branch and the numbering branch read the same
-    # RDD: range bounds come from a random sample drawn per exchange, and the
-    # two branches would otherwise get differently pruned exchanges with
-    # different bounds. A lost block is recomputed through the same shuffle
-    # dependency (same bounds, same total order), so positions stay stable.
+    # Checkpointed, so that the size branch and the numbering branch read the
+    # same ranges and positions: range bounds come from a random sample drawn
+    # per exchange, and two branches of one plan would get different bounds. The
+    # result depends on no cache entry, and a lost executor costs a re-read.
+    ensure_checkpoint_dir(df.sparkSession)
     ordered = (
         _by_range(df, order_cols, num_partitions)
         .sortWithinPartitions(*order_cols)
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright(F.col("_mid"), _LOCAL_BITS))
-        .persist(StorageLevel.MEMORY_AND_DISK)
+        .checkpoint()
     )
-    _PERSISTED.append(ordered)
     # One row per range partition: bounded by the partition count, safe to broadcast.
     sizes = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -118,8 +85,8 @@ def shift_columns(df: DataFrame, shifts: Sequence[tuple[str, int, str]], order_c
     ``F.lag/F.lead(...).over(Window.partitionBy(*partition_by).orderBy(*order_cols))``.
     If ``index_col`` is given the global position is kept under that name.
     ``prepare`` (a row-wise transform keeping the columns, e.g. gap filling)
-    runs on the persisted sorted rows, so aggregates it needs (column means)
-    read that cache instead of scanning the source again.
+    runs on the checkpointed sorted rows, so aggregates it needs (column means)
+    read those instead of scanning the source again.
     """
     max_lag = max([k for _, k, _ in shifts if k > 0], default=0)
     max_lead = max([-k for _, k, _ in shifts if k < 0], default=0)
@@ -165,12 +132,8 @@ def with_running_total(df: DataFrame, order_cols: Sequence[str], weight_col: str
     sampling), a running sum inside each range (a window whose partition is
     one range), and a broadcast table of per-range totals (one row per range).
     """
-    ranged = (
-        _by_range(df, order_cols, num_partitions)
-        .withColumn("_part", F.spark_partition_id())
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    _PERSISTED.append(ranged)
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = _by_range(df, order_cols, num_partitions).withColumn("_part", F.spark_partition_id()).checkpoint()
     within = Window.partitionBy("_part").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_local", F.sum(weight_col).over(within))
     totals = ranged.groupBy("_part").agg(F.sum(weight_col).alias("_tot"))

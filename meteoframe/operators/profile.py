@@ -146,6 +146,20 @@ def statistics_by_row(stats: DataFrame, measures: Sequence[str]) -> DataFrame:
     return long.groupBy("statistic").pivot("measure", list(measures)).agg(F.first("value"))
 
 
+# How the written report names the quartiles.
+REPORT_LABELS = {"q1": "25% (Q1)", "median": "50% (Median)", "q3": "75% (Q3)"}
+
+
+def statistics_text(by_row: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """The report as it is written: statistics in their fixed order under their report names, whole numbers without decimals."""
+    place = F.array_position(F.array(*map(F.lit, STAT_ROWS)), F.col("statistic"))
+    label = F.col("statistic")
+    for name, text in REPORT_LABELS.items():
+        label = F.when(F.col("statistic") == name, F.lit(text)).otherwise(label)
+    shown = [F.when(F.col(m) == F.floor(m), F.col(m).cast("bigint").cast("string")).otherwise(F.col(m).cast("string")).alias(m) for m in measures]
+    return by_row.select(place.alias("place"), label.alias("statistic"), *shown)
+
+
 # --------------------------------------------------------------------------- box plots
 
 def boxplot_stats(df: DataFrame, cols: Sequence[str], whisker: float = 1.5) -> DataFrame:

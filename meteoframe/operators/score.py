@@ -65,17 +65,22 @@ def with_missing_predictions(df: DataFrame, missing: Sequence[str], default: flo
 
 
 def forecast_card(scored: DataFrame, algos: Sequence[str], targets: Sequence[str], rain_measure: str = "rainfall",
-                  context_cols: Sequence[str] = (), keys: Sequence[str] = ("obs_id", "station", "obs_date")) -> DataFrame:
-    """Per (date row, algo, target): prediction, actual, delta, rain advice, lag-1 context."""
+                  context_cols: Sequence[str] = (), keys: Sequence[str] = ("obs_id", "station", "obs_date"),
+                  missing: Sequence[str] = ()) -> DataFrame:
+    """Per (date row, algo, target): prediction, actual, delta, rain advice, lag-1 context.
+
+    ``model_found`` is false for the model keys in ``missing``, whatever default
+    their prediction has, and for rows without a prediction.
+    """
     parts = [F.struct(F.lit(a).alias("algo"), F.lit(t).alias("target"),
-                      F.col(pred_col(a, t)).alias("prediction"), F.col(t).alias("actual"))
+                      F.col(pred_col(a, t)).alias("prediction"), F.col(t).alias("actual"), F.lit(f"{a}_{t}" not in missing).alias("_loaded"))
              for a in algos for t in targets if pred_col(a, t) in scored.columns]
     long = scored.select(*keys, *context_cols, F.inline(F.array(*parts)))
     is_rain = F.col("target").contains(f"_{rain_measure}_")
     return long.select(
         "*", (F.col("prediction") - F.col("actual")).alias("delta"),
         F.when(is_rain, rain_advice("prediction")).alias("advice"),
-        F.col("prediction").isNotNull().alias("model_found"))
+        (F.col("_loaded") & F.col("prediction").isNotNull()).alias("model_found")).drop("_loaded")
 
 
 def actual_vs_predicted(scored: DataFrame, algo: str, targets: Sequence[str],

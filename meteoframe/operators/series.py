@@ -167,6 +167,8 @@ def chronological_split(df: DataFrame, train_ratio: float = 0.8, date_col: str =
     train = _up_to(key_at_rank(df, k, date_col, id_col), date_col, id_col) if k > 0 else F.lit(False)
     k_gap = min(n, k + gap)
     in_gap = _up_to(key_at_rank(df, k_gap, date_col, id_col), date_col, id_col) if gap and k_gap > k else F.lit(False)
+    if (held := df.filter(train).count()) != k:
+        raise ValueError(f"({date_col}, {id_col}) is no total order: {held} rows up to the cut instead of {k}; give a unique id column")
     tag = F.when(train, F.lit("train")).when(in_gap, F.lit("gap")).otherwise(F.lit("test"))
     return df.withColumn(split_col, tag)
 

@@ -78,17 +78,25 @@ def test_hot_station_window_tasks_are_bounded(spark):
     assert groups.agg(F.max("count")).collect()[0][0] <= bucket
 
 
-def test_cache_scope_releases_only_its_frames(spark):
-    from meteoframe.operators import ordering
-
-    outside = with_row_index(observations(spark, SF_SMALL), ["obs_date", "obs_id"], "i")
-    before = len(ordering._PERSISTED)
-    with ordering.cache_scope():
-        inside = with_row_index(observations(spark, SF_SMALL), ["obs_id"], "j")
-        assert inside.count() > 0
-        assert len(ordering._PERSISTED) == before + 1
-    assert len(ordering._PERSISTED) == before
-    assert outside.filter("i = 1").count() == 1
+def test_results_do_not_depend_on_a_cache(spark, tmp_path):
+    """Input in 12 files, cache cleared between planning and the action: positions and lags equal the window functions'."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path / "obs")
+    observations(spark, SF_SMALL).repartition(12, "obs_id").write.parquet(path)
+    obs = spark.read.parquet(path)
+    cols = ["obs_date", "obs_id"]
+    index = with_row_index(obs, cols, "i")
+    lags = shift_columns(obs, [("max_temp", 1, "lag"), ("max_temp", -2, "lead")], cols, bucket_rows=64, min_bucket_rows=8)
+    totals = with_running_total(obs.select(*cols, F.lit(1).alias("w")), cols, "w")
+    spark.catalog.clearCache()
+    w = Window.orderBy(*cols)
+    want = obs.select("obs_id", F.row_number().over(w).alias("i"), F.lag("max_temp", 1).over(w).alias("lag"), F.lead("max_temp", 2).over(w).alias("lead"))
+    rows = {r["obs_id"]: r for r in want.collect()}
+    assert {r["obs_id"]: r["i"] for r in index.collect()} == {k: r["i"] for k, r in rows.items()}
+    assert {r["obs_id"]: (r["lag"], r["lead"]) for r in lags.collect()} == {k: (r["lag"], r["lead"]) for k, r in rows.items()}
+    assert {r["obs_id"]: r["cum"] for r in totals.collect()} == {k: r["i"] for k, r in rows.items()}
 
 
 def test_drop_stages(spark, tmp_path):
