@@ -21,6 +21,7 @@ from meteoframe.operators import models as mdl
 from meteoframe.operators import profile as prof
 from meteoframe.operators import score as sc
 from meteoframe.operators import series as ser
+from meteoframe.operators.ordering import with_row_index
 from meteoframe.plans.stages import materialize
 from meteoframe.sources import ingest
 from meteoframe.spec import FeatureSpec
@@ -68,23 +69,27 @@ def run_batch_job(spark: SparkSession, csv_path: str, out_dir: str, per_station:
 
     stats = prof.advanced_statistics(typed, RAW_MEASURES)
     dictionary = prof.data_dictionary(typed, ingest.RAW_DESCRIPTIONS, "Other measure")
-    ingest.write_report_csv(prof.statistics_by_row(stats, RAW_MEASURES), f"{out}/advanced_statistics")
+    ingest.write_report_csv(prof.statistics_text(prof.statistics_by_row(stats, RAW_MEASURES), RAW_MEASURES), f"{out}/advanced_statistics",
+                            order=[F.col("place")], drop=("place",))
     ingest.write_report_csv(dictionary, f"{out}/data_dictionary")
 
-    # Rows without a date or station cannot be placed in a series.
-    obs = typed.select(DATE_COL, STATION_COL, *RAW_MEASURES).dropna(subset=[DATE_COL, STATION_COL])
+    placed = [DATE_COL, STATION_COL] if per_station and not national else [DATE_COL]
+    if STATION_COL not in typed.columns and len(placed) == 1:
+        typed = typed.withColumn(STATION_COL, F.lit("all"))
+    obs = typed.select(DATE_COL, STATION_COL, *RAW_MEASURES)
     policy = {RAW_MEASURES[0]: "mean", RAW_MEASURES[1]: "mean", RAW_MEASURES[2]: "zero"}
     audit = imp.null_audit_filled(obs, policy)
+    # Audit and fill values come from all rows; those that cannot be placed in a series go only then.
+    filled = imp.impute(obs, policy).dropna(subset=placed).fillna("", subset=[STATION_COL])
     if national:
-        daily = ser.national_daily(imp.impute(obs, policy), RAW_MEASURES, DATE_COL).drop("n_obs")
+        daily = ser.national_daily(filled, RAW_MEASURES, DATE_COL).drop("n_obs")
         feats = ser.lag_lead_features(daily.withColumn(STATION_COL, F.lit("national")), spec)
     else:
-        # Gap filling runs on the sorted, persisted rows (no extra scan of the file).
-        feats = ser.lag_lead_features(obs, spec, prepare=lambda d: imp.impute(d, policy))
-    # Bootstrap weights hash a stable row key derived from the row itself.
-    feats = feats.withColumn(ROW_KEY, F.xxhash64(STATION_COL, DATE_COL))
-    feats = materialize(feats, "batch-features")
-    split = ser.chronological_split(feats, train_ratio, date_col=DATE_COL, id_col=STATION_COL)
+        feats = ser.lag_lead_features(filled, spec)
+    # The position of a row in (date, station, values) order identifies it: equal dates and stations stay apart.
+    order = [DATE_COL, STATION_COL, *(c for c in feats.columns if c not in (DATE_COL, STATION_COL))]
+    feats = materialize(with_row_index(feats, order, ROW_KEY), "batch-features")
+    split = ser.chronological_split(feats, train_ratio, date_col=DATE_COL, id_col=ROW_KEY)
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
     test_path = f"{out}/test_data.parquet"
@@ -98,7 +103,7 @@ def run_batch_job(spark: SparkSession, csv_path: str, out_dir: str, per_station:
     boot = ev.bootstrap_rmse(scored, algos, spec.target_cols, runs, key_col=ROW_KEY)
     report = ev.bootstrap_report(boot, algos, spec.target_cols, spec.leads)
     report_path = f"{out}/bootstrap_evaluation"
-    ingest.write_report_csv(report, report_path)
+    ingest.write_report_csv(report, report_path, order=[F.col("Run_ID").try_cast("int").asc_nulls_last()])
     return BatchJobResult(stats, dictionary, audit, split, models, report, test_path, model_dir, report_path)
 
 
@@ -141,7 +146,7 @@ def scoring_screen(spark: SparkSession, out_dir: str, day=None, algo: str = "RF"
     scored = sc.with_missing_predictions(sc.score_all(row, mine), lost)
     context = [spec.lag_col(m, 1) for m in RAW_MEASURES]
     card = sc.forecast_card(scored, (algo,), spec.target_cols, rain_measure="Rainfall",
-                            context_cols=context, keys=(STATION_COL, DATE_COL))
+                            context_cols=context, keys=(STATION_COL, DATE_COL), missing=lost)
 
     around = ser.one_row_per_date(ser.context_window(test, day, days, DATE_COL), DATE_COL, (STATION_COL,))
     day1 = [spec.target_col(m, 1) for m in RAW_MEASURES]

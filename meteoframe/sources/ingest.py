@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,11 +65,17 @@ def raw_text_schema(columns: Sequence[tuple[str, str]] = RAW_COLUMNS) -> T.Struc
 
 def read_observations_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
                           infer: bool = False) -> DataFrame:
-    """CSV with a header; ``NA`` means missing. No inference pass by default."""
+    """CSV with a header; ``NA`` means missing. Columns go by their names in the header, in any order.
+
+    Text by default; ``schema`` types the columns it names (unparsable text
+    becomes null) and leaves others as text; ``infer`` adds an inference pass.
+    """
     reader = spark.read.option("header", True).option("nullValue", "NA").option("mode", "PERMISSIVE")
     if infer:
         return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema or raw_text_schema()).csv(path)
+    text = reader.csv(path)
+    kinds = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
+    return text.select(*[F.col(f"`{c}`").try_cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in text.columns])
 
 
 def typed_observations(df: DataFrame, date_cols: Sequence[str] = ("Date",),
@@ -104,7 +110,8 @@ def load_table(spark: SparkSession, path: str, order_by: Sequence[str] = ()) ->
     if path_exists(spark, path):
         df = spark.read.parquet(path)
     else:
-        csv = path.replace("parquet", "csv")
+        folder, _, name = path.rstrip("/").rpartition("/")
+        csv = f"{folder}/{name.replace('parquet', 'csv')}" if folder else name.replace("parquet", "csv")
         if not path_exists(spark, csv):
             return None
         df = read_observations_csv(spark, csv, infer=True)
@@ -119,12 +126,13 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     writer.parquet(path)
 
 
-def write_report_csv(df: DataFrame, path: str) -> None:
-    """A small report (profile, dictionary, metrics) as one CSV file with header.
+def write_report_csv(df: DataFrame, path: str, order: Sequence[Column] = (), drop: Sequence[str] = ()) -> None:
+    """A small report (profile, dictionary, metrics) as one CSV file with header, its rows in ``order``.
 
     Only for reports whose size is bounded by columns/runs, never for row data.
     """
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    one = df.coalesce(1)
+    (one.sortWithinPartitions(*order) if order else one).drop(*drop).write.mode("overwrite").option("header", True).csv(path)
 
 
 def schema_rows(df: DataFrame) -> DataFrame:
