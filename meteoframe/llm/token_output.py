@@ -15,9 +15,12 @@ same hash. Packs lie in ascending doc_id order, and Parquet's statistics of
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,32 +44,47 @@ def _tokenizer(name: str):
     return Tokenizer.from_file(name if "/" in name else public_tokenizers.path(name))
 
 
+#: A stop that ends a word: the tokenizer cuts before it, whatever follows the white space.
+_STOP = re.compile(r"(?<=[A-Za-z0-9])[.,;:!?](?=[ \n])")
+_MARK = re.compile("[\u0300-\u036f]")
+
+
 class Encoder:
     """Token ids of whole texts.
 
     The tokenizer removes white space and never joins what stands on its two
     sides, so the ids of a text are the ids of its words in turn; each distinct
-    word is encoded once. Texts are cut at spaces; a word may hold other white
-    space, which is the tokenizer's to remove.
+    word is encoded once. Texts are cut at spaces, line ends and before a stop
+    after an ASCII letter or digit, where the tokenizer cuts too; a word may hold
+    other white space, which is the tokenizer's to remove. As it lower-cases, A-Z
+    are lowered here, except before combining marks, which it composes first.
     """
 
     def __init__(self, name: str = TOKENIZER):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks run side by side already
         self.tokenizer = _tokenizer(name)
-        self.coder = WordCoder(lambda w: w, 300_000)
+        self.lowers = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("AZ") == "az"
+        self.coder = WordCoder(lambda w: w, 600_000)
         self.flat, self.start, self.count = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
+    def words(self, text: str) -> list[str]:
+        if self.lowers and not _MARK.search(text):
+            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+        return _STOP.sub(r" \g<0>", text).replace("\n", " ").split(" ")
+
     def of(self, texts: list[str | None]) -> list[np.ndarray]:
         if self.coder.shed():
             self.flat, self.start, self.count = self.flat[:0], self.start[:0], self.count[:0]
-        codes = [self.coder.code(t.split(" ")) if t else np.zeros(0, dtype=np.int64) for t in texts]
+        codes = [self.coder.code(self.words(t)) if t else np.zeros(0, dtype=np.int64) for t in texts]
         new = self.coder.facts[len(self.count):]
         if new:
-            parts, counts = [], []
-            for k in range(0, len(new), 2048):  # a list of words is one call; word_ids says which word each id is from
-                some = self.tokenizer.encode(new[k:k + 2048], is_pretokenized=True, add_special_tokens=False)
-                parts.append(np.array(some.ids, dtype=np.uint32))
-                counts.append(np.bincount(np.array(some.word_ids, dtype=np.int64), minlength=len(new[k:k + 2048])))
-            count, flat = np.concatenate(counts), np.concatenate(parts)
+            parts, count = [], []
+            for k in range(0, len(new), 2048):
+                for one in self.tokenizer.encode_batch_fast(new[k:k + 2048], add_special_tokens=False):
+                    ids = one.ids
+                    parts += ids
+                    count.append(len(ids))
+            count, flat = np.array(count, dtype=np.int64), np.array(parts, dtype=np.uint32)
             self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(count) - count])
             self.count = np.concatenate([self.count, count])
             self.flat = np.concatenate([self.flat, flat])
@@ -78,12 +96,18 @@ class Encoder:
         return out
 
 
+@lru_cache(maxsize=1)
+def _encoder(name: str) -> Encoder:
+    """The encoder of a worker process; its words, bounded in number, serve the next task too."""
+    return Encoder(name)
+
+
 def _frames(docs: DataFrame, dictionary: bytes, width: str, tokenizer: str, end_id: int) -> DataFrame:
     """(doc_id, n_tokens, crc, frame) per document: its ids and the end id, compressed on their own."""
     shared = docs.sparkSession.sparkContext.broadcast(dictionary)
 
     def make():
-        encoder, packer = Encoder(tokenizer), _compressor(shared.value)
+        encoder, packer = _encoder(tokenizer), _compressor(shared.value)
 
         def batch(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             for part in pieces(rows):
@@ -107,17 +131,17 @@ def _decompressor(dictionary: bytes) -> zstandard.ZstdDecompressor:
 def _sample(docs: DataFrame, width: str, tokenizer: str) -> list[bytes]:
     """Serialized ids of at most SAMPLE_DOCS documents, chosen by hash: of each, a run of SAMPLE_IDS ids at most."""
     def make():
-        encoder = Encoder(tokenizer)
+        encoder = _encoder(tokenizer)
 
         def batch(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             for part in pieces(rows):
                 yield pa.RecordBatch.from_arrays([pa.array([x[:SAMPLE_IDS].astype(width).tobytes() for x in encoder.of(part.column(1).to_pylist())], pa.binary())], ["ids"])
         return batch
 
-    some = docs.select(F.xxhash64("doc_id", "text").alias("h")).filter("h is not null").orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
+    some = docs.select(F.xxhash64("doc_id").alias("h")).orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
     if some is None:
         return []
-    return [r["ids"] for r in map_batches(docs.filter(F.xxhash64("doc_id", "text") <= some), make, "ids binary").limit(SAMPLE_DOCS).collect()]
+    return [r["ids"] for r in map_batches(docs.filter(F.xxhash64("doc_id") <= some), make, "ids binary").limit(SAMPLE_DOCS).collect()]
 
 
 def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:

@@ -279,6 +279,16 @@ def test_encoder_agrees_on_strange_text():
         assert ids.tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids, text
 
 
+def test_encoder_cuts_where_the_tokenizer_cuts():
+    draw = np.random.default_rng(3)
+    letters = ["a", "B", "S", "J", "é", "É", "Σ", "İ", "1", "'", ".", ",", "!", "-", " ", " ", "\n", "\t", "\x1c", "\u0301", "\u030c", "東", "\u200b"]
+    texts = ["J\u030cohn A\u0331. É. x", "ΣΑΣ, ΣΑΣ. Ό;", "a.b. c!? d!. e.\nf' s's 'S. Don'T. 1.2, 3.", "ends.", ".\n", " "]
+    texts += ["".join(draw.choice(letters, size=draw.integers(1, 14))) for _ in range(5000)]
+    encoder = token_output.Encoder()
+    for text, ids in zip(texts, encoder.of(texts)):
+        assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_html_main_text(spark, none):
     page = """<html><head><title>T</title></head><body><header><a href=/>Home</a> Site</header><div class="cookie-banner">We use cookies.</div>
     <nav><ul><li><a href=/a>A</a></li></ul></nav><article><h1>Head &amp; tail</h1><p>First   para<br>graph with <a href=x>a link</a> in the middle of it.</p><div class=ad>Buy!</div>
