@@ -69,7 +69,7 @@ def main() -> None:
     def train_all():
         models = mdl.train_models(train, catalog.FEATURES, catalog.TARGETS, mdl.ALGOS)
         for a in mdl.ALGOS:
-            catalog._MODEL_CACHE[(spark.sparkContext.applicationId, sf_dir, a)] = {
+            catalog._MODEL_CACHE[(*catalog.input_key(spark, sf_dir), a)] = {
                 k: m for k, m in models.items() if k.startswith(f"{a}_")}
 
     timed(timings, "train_12_models", train_all)

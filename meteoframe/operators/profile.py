@@ -276,3 +276,10 @@ def data_dictionary(df: DataFrame, descriptions: Mapping[str, str], default: str
     # Both sides are bounded by the column count.
     return s.join(F.broadcast(d), "column_name", "left").select(
         "column_name", "data_type", F.coalesce("description", F.lit(default)).alias("description"))
+
+
+def column_counts(df: DataFrame) -> DataFrame:
+    """(column_name, n_rows, n_values) of every column: rows and non-null values, one aggregate over all columns."""
+    wide = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)])
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col("rows").alias("n_rows"), F.col(f"c{i}").alias("n_values")) for i, c in enumerate(df.columns)])))

@@ -21,7 +21,7 @@ from meteoframe.operators import series as ser
 from meteoframe.plans import oracle as sql
 from meteoframe.plans.stages import materialize
 from meteoframe.sources import ingest
-from meteoframe.sources.observations import MEASURES, observations, raw_text_observations
+from meteoframe.sources.observations import MEASURES, observations, raw_text_observations, table_path
 from meteoframe.spec import REFERENCE_SPEC
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,13 @@ def features(spark: SparkSession, sf_dir: str, spec=REFERENCE_SPEC) -> DataFrame
 _STAGES: dict[tuple, DataFrame] = {}
 
 
+def input_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """Session, folder, and size and time of the observation source: another input under the same path has another key."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, "orders"))
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return (spark.sparkContext.applicationId, sf_dir, fs.getContentSummary(p).getLength(), fs.getFileStatus(p).getModificationTime())
+
+
 def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature table with the train/test tag.
 
@@ -70,7 +77,7 @@ def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     Everything downstream (scaling, models, scoring, evaluation) reads this
     stage instead of re-deriving it.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, "split")
+    key = (*input_key(spark, sf_dir), "split")
     if key not in _STAGES:
         feats = materialize(features(spark, sf_dir), "features")
         _STAGES[key] = ser.chronological_split(feats, TRAIN_RATIO)
@@ -361,6 +368,10 @@ def _spark_type_sql(col: str = "column_type") -> str:
     return f"case {col} {arms} end"
 
 
+def _counts_sql(src: str) -> str:
+    return " union all ".join(f"select '{c}' as column_name, count(*) as n_rows, count({c}) as n_values from {src}" for c in OBS_DESCRIPTIONS)
+
+
 def _dictionary_sql() -> str:
     raw = ("raw as (select cast(obs_id as varchar) as obs_id, station, strftime(obs_date, '%Y-%m-%d') as obs_date, "
            + ", ".join(f"coalesce(cast({m} as varchar), 'NA') as {m}" for m in MEASURES) + " from obs)")
@@ -369,14 +380,15 @@ def _dictionary_sql() -> str:
     descr = ", ".join(f"('{k}', '{v}')" for k, v in OBS_DESCRIPTIONS.items())
     return (sql.with_obs(raw, typed)
             + f"select column_name, {_spark_type_sql()} as data_type, "
-              f"coalesce(d.descr, '{DEFAULT_DESCRIPTION}') as description "
-              f"from (describe select * from typed) left join (values {descr}) d(column_name, descr) using (column_name)")
+              f"coalesce(d.descr, '{DEFAULT_DESCRIPTION}') as description, n_rows, n_values "
+              f"from (describe select * from typed) join ({_counts_sql('typed')}) using (column_name) "
+              f"left join (values {descr}) d(column_name, descr) using (column_name)")
 
 
 @register("data_dictionary", _dictionary_sql())
 def q_data_dictionary(spark, sf_dir):
     typed = ingest.typed_observations(raw_text_observations(spark, sf_dir), ("obs_date",), MEASURES)
-    return prof.data_dictionary(typed, OBS_DESCRIPTIONS, DEFAULT_DESCRIPTION)
+    return prof.data_dictionary(typed, OBS_DESCRIPTIONS, DEFAULT_DESCRIPTION).join(prof.column_counts(typed), "column_name")
 
 
 # ----------------------------------------------------------------- features and scaling
@@ -560,18 +572,26 @@ def q_actual_vs_predicted(spark, sf_dir):
 _MODEL_CACHE: dict[tuple, dict] = {}
 
 
+def cached_models(spark, sf_dir, name: str, made: Callable[[], dict]) -> dict:
+    """What ``made()`` gave for this session, input and name; made at the first call."""
+    key = (*input_key(spark, sf_dir), name)
+    if key not in _MODEL_CACHE:
+        _MODEL_CACHE[key] = made()
+    return _MODEL_CACHE[key]
+
+
 def trained_models(spark, sf_dir, algos=mdl.ALGOS):
     """Fit (once per session, input and algorithm) the per-target regressors on the training rows."""
-    app = spark.sparkContext.applicationId
-    todo = [a for a in algos if (app, sf_dir, a) not in _MODEL_CACHE]
+    held = input_key(spark, sf_dir)
+    todo = [a for a in algos if (*held, a) not in _MODEL_CACHE]
     if todo:
         _, train, _ = _train_test(spark, sf_dir)
         fitted = mdl.train_models(train, FEATURES, TARGETS, todo)
         for a in todo:
-            _MODEL_CACHE[(app, sf_dir, a)] = {k: m for k, m in fitted.items() if k.startswith(f"{a}_")}
+            _MODEL_CACHE[(*held, a)] = {k: m for k, m in fitted.items() if k.startswith(f"{a}_")}
     out = {}
     for a in algos:
-        out.update(_MODEL_CACHE[(app, sf_dir, a)])
+        out.update(_MODEL_CACHE[(*held, a)])
     return out
 
 
@@ -656,9 +676,10 @@ def q_statistics_report(spark, sf_dir):
 
 @register("schema_rows", sql.with_obs()
           + f"select column_name, {_spark_type_sql()} as data_type, "
-            "\"null\" = 'YES' as nullable from (describe select * from obs)")
+            f"\"null\" = 'YES' as nullable, n_rows, n_values from (describe select * from obs) join ({_counts_sql('obs')}) using (column_name)")
 def q_schema_rows(spark, sf_dir):
-    return ingest.schema_rows(observations(spark, sf_dir))
+    obs = observations(spark, sf_dir)
+    return ingest.schema_rows(obs).join(prof.column_counts(obs), "column_name")
 
 
 # ----------------------------------------------------------------- national series (S5 + W3)
@@ -681,3 +702,6 @@ def _national_sql() -> str:
 def q_national_lag_features(spark, sf_dir):
     daily = ser.national_daily(observations(spark, sf_dir)).drop("n_obs")
     return ser.lag_lead_features(daily, NATIONAL_SPEC)
+
+
+from meteoframe.plans import checked  # noqa: E402,F401 - registers its plans, which use the stages above
