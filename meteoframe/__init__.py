@@ -7,7 +7,6 @@ Layout:
               features, models, scoring, evaluation)
   plans/      named query plans over the driver tables and their SQL twins,
               stage materialisation, the end-to-end batch job
-  streaming/  notes on streaming (the reference has none)
 
 Entry points: ``get_session``, ``FeatureSpec``, ``run_batch_job`` and
 ``scoring_screen`` (lazy imports keep ``import meteoframe`` light).
