@@ -4,11 +4,13 @@ Words of documents and benchmark items become templates: numbers, units after
 numbers and names are replaced with typed placeholders, everything else is
 lower-cased with outer punctuation removed. Windows of ``WINDOW`` template
 words (the whole item, if it is shorter) are hash-joined, and the slots behind
-the placeholders must be consistent over the run of windows that a document
-shares with an item: one item value for each document value and the reverse.
-That finds literal leaks (each value its own image) and re-parameterised
-questions (new values, same pattern), and rejects texts that merely have the
-same shape.
+the placeholders must be consistent in each window that a document shares with
+an item: one document value for each item value. That finds literal leaks (each
+value its own image) and re-parameterised questions (new values, same pattern;
+two item values may get one new value), and rejects texts that merely have the
+same shape. Windows are judged by themselves, so a value changed in one place
+leaves the literal windows beside it; runs are the longest stretches of adjacent
+windows that are consistent together.
 
 Names are told by capitals inside a sentence, so a text in lower case or one
 that begins elsewhere has other placeholders; a second template that leaves
@@ -183,6 +185,41 @@ def _window_rows(texts: pa.Array, ids: pa.Array, sizes: list[int] | None, window
 
 
 _SCHEMA = "id long, start long, size int, hash long, slots array<long>"
+_RUNS = "doc_id long, item_id long, first_word long, last_word long, windows long, slots int, reparameterised boolean"
+
+
+def runs(windows: list[dict]) -> Iterator[tuple[int, int, int, int, bool]]:
+    """(first word, last word, windows, slots, reparameterised) of the maximal runs among the windows of a diagonal, sorted by start.
+
+    Windows of a run overlap or touch, and each item value has one document
+    value over all of them. Every window must be consistent by itself.
+    """
+    images: dict[int, dict[int, int]] = {}  # item value: document values with their number of places
+    left = reach = 0
+
+    def run(upto: int) -> tuple[int, int, int, int, bool]:
+        part = windows[left:upto]
+        return (part[0]["start"], max(w["start"] + w["size"] for w in part) - 1, len({w["start"] for w in part}),
+                sum(map(len, images.values())), any(a != b for b, values in images.items() for a in values))
+
+    for right, w in enumerate(windows):
+        fits = lambda: w["start"] <= reach and all(images.get(b, {a: 1}).keys() == {a} for a, b in zip(w["ours"], w["theirs"]))  # noqa: E731, B023
+        if right and not fits():
+            yield run(right)
+            while left < right and not fits():
+                for a, b in zip(windows[left]["ours"], windows[left]["theirs"]):
+                    images[b][a] -= 1
+                    if not images[b][a]:
+                        del images[b][a]
+                    if not images[b]:
+                        del images[b]
+                left += 1
+        for a, b in zip(w["ours"], w["theirs"]):
+            images.setdefault(b, {}).setdefault(a, 0)
+            images[b][a] += 1
+        reach = max(reach, w["start"] + w["size"])
+    if windows:
+        yield run(len(windows))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -223,13 +260,18 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
     met = found.select(F.col("id").alias("doc_id"), "start", "size", "hash", F.col("slots").alias("ours")).join(
         wanted.select(F.col("id").alias("item_id"), F.col("start").alias("at"), F.col("size").alias("item_size"), "hash", F.col("slots").alias("theirs")), "hash")
     met = met.filter("size = item_size and size(ours) = size(theirs)").distinct()
-    pairs = met.withColumn("pairs", F.expr("zip_with(ours, theirs, (a, b) -> struct(a, b))"))
-    runs = pairs.groupBy("doc_id", "item_id", (F.col("start") - F.col("at")).alias("diagonal")).agg(
-        F.min("start").alias("first_word"), F.max(F.col("start") + F.col("size") - 1).alias("last_word"), F.count("*").alias("windows"),
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    one_to_one = F.expr("size(array_distinct(pairs.a)) = size(pairs) and size(array_distinct(pairs.b)) = size(pairs)")
-    return runs.filter(one_to_one).select("doc_id", "item_id", "first_word", "last_word", "windows", F.size("pairs").alias("slots"),
-                                          F.expr("exists(pairs, p -> p.a <> p.b)").alias("reparameterised"))
+    one_image = F.expr("size(array_distinct(zip_with(ours, theirs, (a, b) -> struct(a, b)))) = size(array_distinct(theirs))")
+    diagonals = met.filter(one_image).groupBy("doc_id", "item_id", (F.col("start") - F.col("at")).alias("diagonal")).agg(
+        F.sort_array(F.collect_set(F.struct("start", "size", "ours", "theirs"))).alias("met"))
+
+    def diagonal():
+        def batch(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            got = [(doc.as_py(), item.as_py(), *run) for doc, item, windows_ in zip(*rows.columns) for run in runs(windows_.as_py())]
+            kinds = [pa.int64()] * 5 + [pa.int32(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array([g[k] for g in got], t) for k, t in enumerate(kinds)], [c.split()[0] for c in _RUNS.split(", ")])
+        return batch
+
+    return map_batches(diagonals.select("doc_id", "item_id", "met"), diagonal, _RUNS)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

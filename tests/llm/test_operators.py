@@ -179,6 +179,26 @@ def test_decontamination_literal_renamed_and_inconsistent(spark, odd, none):
     assert [(r["doc_id"], r["item_id"]) for r in decontam.leaks(short, bench).collect()] == [(1, 12)]
 
 
+def test_decontamination_judges_windows_by_themselves(spark):
+    item = "Today Maria bought 12 apples for 30 dollars while Peter carried 12 boxes up to the third floor"
+    two = "a farmer sells 2 red hens and 5 white geese at the old town market"
+    texts = {1: item.replace("12 apples", "57 apples"), 2: two.replace("2", "4").replace("5", "4"), 3: "x " + item.replace("12 boxes", "57 crates")}
+    docs = spark.createDataFrame([*texts.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(9, item), (8, two)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r.asDict() for r in decontam.leaks(docs, bench).collect()}
+    assert set(got) == {(1, 9), (2, 8)}
+    # the windows of 1 from its fifth word on are literal; those that hold 57 and 12 are not consistent
+    assert (got[1, 9]["first_word"], got[1, 9]["last_word"], got[1, 9]["windows"], got[1, 9]["reparameterised"]) == (4, 17, 2, False)
+    assert got[2, 8]["reparameterised"]
+
+
+def test_decontamination_runs_are_maximal():
+    w = lambda start, *pairs: {"start": start, "size": 3, "ours": [a for a, _ in pairs], "theirs": [b for _, b in pairs]}
+    assert [*decontam.runs([w(0, (1, 1)), w(1, (1, 1)), w(2), w(3, (7, 1)), w(4)])] == [(0, 4, 3, 1, False), (2, 6, 3, 1, True)]
+    assert [*decontam.runs([w(0, (5, 1)), w(9, (5, 1))])] == [(0, 2, 1, 1, True), (9, 11, 1, 1, True)]
+    assert [*decontam.runs([])] == []
+
+
 def test_decontamination_equals_brute_force_windows(spark):
     docs, bench = table(spark, SF, "documents"), table(spark, SF, "benchmark")
     runs = {}
