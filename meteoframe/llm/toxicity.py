@@ -9,8 +9,9 @@ says nothing, while a rare form of a known one is still told by its beginning.
 The difference of the two log-likelihoods is normalised for length: a text is
 described by its three most toxic words, by what its words have above
 ``NEUTRAL`` in units of the square root of its length (the size of chance sums),
-and by the logarithm of its length. A logistic fit on labelled rows that the
-counts have not seen turns these into a score from 0 to 1.
+and by the logarithm of its length. A logistic fit turns these into a score from
+0 to 1. It is made on a fifth of the labelled rows, with ratios counted on the
+others; the ratios that score texts are then counted on all of them.
 
 Counts cover every labelled training row and grow with the input. What tasks
 receive is a table of ``2**SLOT_BITS`` slots. Only the logistic fit uses a
@@ -131,7 +132,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 5
 
 
 def fit(train: DataFrame, order: int = ORDER, calibration_rows: int = CALIBRATION_ROWS) -> Model:
-    """Model from (doc_id, text, toxic) rows. A fifth of them, by hash of the doc_id, is left out of the counts and calibrates the score.
+    """Model from (doc_id, text, toxic) rows. A fifth of them, by hash of the doc_id, calibrates the score against counts of the rest; the final counts are of all rows.
 
     Without rows of both classes every ratio is zero and the score is the share of toxic rows (0 if there are none).
     """
@@ -142,13 +143,22 @@ def fit(train: DataFrame, order: int = ORDER, calibration_rows: int = CALIBRATIO
     if len(seen) < 2:
         share = seen.get(1, 0) > 0
         return Model(blank, blank, np.r_[1000.0 if share else -1000.0, np.zeros(len(FEATURES))], order)
-    known, new = _class_ratio(gram_counts(train.filter("part > 0"), "text", "toxic", order, 2, by_word=True), order)
-    model = Model(slot_table(known, "gram", ["llr"], "n", SLOT_BITS)[:, 0], slot_table(new, "h", ["llr"], "n", SLOT_BITS)[:, 0], np.zeros(1 + len(FEATURES)), order)
+    parts = train.withColumn("class", F.col("toxic") + F.when(F.col("part") == 0, 2).otherwise(0))
+    counts = written(gram_counts(parts, "text", "class", order, 4, by_word=True), "part-counts")
+    model = _frozen(counts.filter("class < 2"), order)
     x, y = _calibration(train.filter("part = 0"), model, calibration_rows)
     if len(set(y.tolist())) < 2:  # too few labels for a left-out part
         x, y = _calibration(train, model, calibration_rows)
     model.weights = _logistic(x, y) if len(set(y.tolist())) == 2 else np.r_[np.log((seen[1] + 0.5) / (seen[0] + 0.5)), 1.0, np.zeros(len(FEATURES) - 1)]
-    return model
+    whole = _frozen(counts.withColumn("class", F.col("class") % 2), order)
+    whole.weights = model.weights
+    return whole
+
+
+def _frozen(counts: DataFrame, order: int) -> Model:
+    """Model of (gram, class, n), its weights still zero."""
+    known, new = _class_ratio(counts, order)
+    return Model(slot_table(known, "gram", ["llr"], "n", SLOT_BITS)[:, 0], slot_table(new, "h", ["llr"], "n", SLOT_BITS)[:, 0], np.zeros(1 + len(FEATURES)), order)
 
 
 def _calibration(rows: DataFrame, model: Model, most: int) -> tuple[np.ndarray, np.ndarray]:

@@ -341,6 +341,13 @@ def test_toxicity_held_out_and_edges(spark, odd, none):
     assert kept.columns == odd.columns and kept.count() == odd.count()
 
 
+def test_toxicity_counts_all_labelled_rows(spark):
+    words = [a + b + c for a in "bdfgklmn" for b in "aeiou" for c in "prstvwxz"]
+    train = spark.createDataFrame([(i, words[i], i % 2) for i in range(len(words))], "doc_id long, text string, toxic int")
+    known = toxicity.fit(train).features(words)[:, 0]
+    assert ((known > 0) == (np.arange(len(words)) % 2 == 1)).all()  # the last letters of each word were met in its class only
+
+
 def test_kneser_ney_equals_brute_force(spark):
     """Ratios of one fixture, counted and smoothed in plain Python."""
     texts = [("bad bad worse", 1), ("good day good", 0), ("bade good", 0)]
