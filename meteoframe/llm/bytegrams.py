@@ -1,4 +1,4 @@
-"""Byte n-grams of whole texts as packed integers, in numpy, and slot tables of a fixed size for model scores.
+"""Byte n-grams of whole texts as packed integers, in numpy, and exact tables of model scores by n-gram.
 
 A text is reduced to lower-case letters with single spaces, in UTF-8. The
 n-gram at a byte is that byte and its n - 1 predecessors (zeros before the
@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 _GAP = re.compile(r"[\W\d_]+")
-_ODD = -7046029254386353131  # 2**64 / golden ratio, odd: spreads packed grams over slots
+_ODD = -7046029254386353131  # 2**64 / golden ratio, odd: spreads packed grams over buckets, one to one
 
 
 def letters(text: str | None) -> bytes:
@@ -33,8 +34,37 @@ def history(gram: str) -> Column:
     return F.shiftright(F.col(gram), 8)
 
 
-def slot(keys: np.ndarray, bits: int) -> np.ndarray:
-    return ((keys * np.int64(_ODD)).view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+def mixed(keys: np.ndarray) -> np.ndarray:
+    return (keys * np.int64(_ODD)).view(np.uint64)
+
+
+@dataclass
+class GramTable:
+    """Values of each n-gram under its whole key; buckets grow with the number of n-grams (1 to 2 for each)."""
+
+    bits: int
+    first: np.ndarray  # where the keys of a bucket begin
+    keys: np.ndarray  # mixed, in order, and the greatest possible one as a stop
+    values: np.ndarray  # [keys, values], NaN at the stop
+
+    @classmethod
+    def of(cls, grams: np.ndarray, values: np.ndarray) -> GramTable:
+        keys, bits = mixed(grams), max(len(grams).bit_length(), 1)
+        order = np.argsort(keys)
+        keys = np.append(keys[order], np.uint64(2**64 - 1))
+        first = np.searchsorted(keys[:-1], np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+        return cls(bits, first.astype(np.int32 if len(keys) < 2**31 else np.int64), keys, np.concatenate([values[order], np.full((1, values.shape[1]), np.nan, dtype=values.dtype)]))
+
+    def find(self, grams: np.ndarray) -> np.ndarray:
+        """[grams, values]; NaN for an n-gram that is not in the table."""
+        wanted = mixed(grams)
+        at = self.first[(wanted >> np.uint64(64 - self.bits)).astype(np.int64)].astype(np.int64)
+        todo = np.flatnonzero(self.keys[at] < wanted)
+        while len(todo):
+            at[todo] += 1
+            todo = todo[self.keys[at[todo]] < wanted[todo]]
+        at[self.keys[at] != wanted] = len(self.keys) - 1
+        return self.values[at]
 
 
 def chunks(texts: Iterator[bytes], order: int, by_word: bool = False, most: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -122,21 +152,13 @@ def gram_counts(docs: DataFrame, text_col: str, class_col: str, order: int, clas
     return found.mapInArrow(run, "gram long, class int, n long").groupBy("gram", "class").agg(F.sum("n").alias("n"))
 
 
-def slot_table(rows: DataFrame, key: str, values: list[str], weight: str, bits: int) -> np.ndarray:
-    """float32 [2**bits, values]: weighted mean of the values of all keys that share a slot, NaN in empty slots.
-
-    At most 2**bits rows come to the driver, whatever the number of keys.
-    """
-
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(slot(b.column(0).to_numpy(zero_copy_only=False).astype(np.int64), bits)), *b.columns[1:]], ["slot", *b.schema.names[1:]])
-
-    plain = rows.select(F.col(key).alias("k"), F.col(weight).cast("double").alias("w"), *[F.col(v).cast("double").alias(f"v{i}") for i, v in enumerate(values)])
-    dealt = plain.mapInArrow(slots, "slot long, w double, " + ", ".join(f"v{i} double" for i in range(len(values))))
-    got = dealt.groupBy("slot").agg(*[(F.sum(F.col(f"v{i}") * F.col("w")) / F.sum("w")).cast("float").alias(f"v{i}") for i in range(len(values))]).toArrow()
-    out = np.full((1 << bits, len(values)), np.nan, dtype=np.float32)
-    at = got.column("slot").to_numpy()
-    for i in range(len(values)):
-        out[at, i] = got.column(f"v{i}").to_numpy()
-    return out
+def gram_table(rows: DataFrame, key: str, values: list[str], most: int, dtype: type = np.float32, piece_bytes: int = 64 << 20) -> GramTable:
+    """Table of all ``rows``, at most ``most`` with distinct keys; they come to the driver in pieces of about ``piece_bytes``."""
+    plain = rows.select(F.col(key).cast("long").alias("k"), *[F.col(v).cast("float").alias(f"v{i}") for i, v in enumerate(values)])
+    count = -(-max(most, 1) * (8 + 4 * len(values)) // piece_bytes)
+    keys, found = [], []
+    for part in range(count):
+        got = (plain.filter(F.pmod(F.xxhash64("k"), F.lit(count)) == part) if count > 1 else plain).toArrow()
+        keys.append(got.column("k").to_numpy())
+        found.append(np.stack([got.column(f"v{i}").to_numpy() for i in range(len(values))], axis=1).astype(dtype))
+    return GramTable.of(np.concatenate(keys), np.concatenate(found))

@@ -10,7 +10,7 @@ language with the shortest code for the whole text wins.
 
 Since the statistics are frozen, the cost of each (context, byte) under every
 language is worked out once, in Spark joins from the deepest counts; tasks get
-one slot table per order with the costs of all languages side by side.
+one table per order, by whole gram, with the costs of all languages side by side.
 """
 
 from __future__ import annotations
@@ -23,26 +23,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .bytegrams import chunks, gram_counts, history, letters, slot, slot_table, suffix
+from .bytegrams import GramTable, chunks, gram_counts, gram_table, history, letters, suffix
 from .common import map_batches, pieces, written
 
-ORDER, SLOT_BITS, MOST_LANGUAGES = 4, 20, 200
+ORDER, MOST_LANGUAGES = 4, 200
 
 
 @dataclass
 class Model:
-    """languages; per order k >= 1 the costs [slot, language] of known (context, byte) and of leaving a known context; order 0 by byte."""
+    """languages; per order k >= 1 the costs of known (context, byte) and of leaving a known context, by language; order 0 [byte, language]."""
 
     languages: list[str]
-    costs: dict[int, np.ndarray]
-    leave: dict[int, np.ndarray]
+    costs: dict[int, GramTable]
+    leave: dict[int, GramTable]
     zero: np.ndarray
     order: int = ORDER
-    slot_bits: int = SLOT_BITS
 
     def bits(self, grams: np.ndarray) -> np.ndarray:
         """[bytes, languages]: code length of the last byte of each gram."""
-        out = self.costs[self.order][slot(grams, self.slot_bits)].astype(np.float32)
+        out = self.costs[self.order].find(grams).astype(np.float32)
         todo = np.flatnonzero(np.isnan(out[:, 0]))
         if len(todo):
             out[todo] = 0
@@ -50,12 +49,12 @@ class Model:
                 if not len(todo):
                     break
                 part = grams[todo] & ((1 << 8 * (k + 1)) - 1)
-                got = self.costs[k][slot(part, self.slot_bits)] if k else self.zero[part]
+                got = self.costs[k].find(part) if k else self.zero[part]
                 new = np.isnan(got[:, 0])
                 out[todo[~new]] += got[~new]
                 todo = todo[new]
                 if k and len(todo):
-                    out[todo] += np.nan_to_num(self.leave[k][slot(part[new] >> 8, self.slot_bits)])
+                    out[todo] += np.nan_to_num(self.leave[k].find(part[new] >> 8))
         return out
 
     def lengths(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -81,8 +80,8 @@ def fit(train: DataFrame, order: int = ORDER, text_col: str = "text", lang_col:
     counts = gram_counts(rows.withColumn("class", F.element_at(number, F.col("lang"))), "text", "class", order + 1, len(languages))
     span = range(len(languages))
     deepest = written(counts.groupBy("gram").agg(*[F.sum(F.when(F.col("class") == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in span]), "language-counts")
-    costs: dict[int, np.ndarray] = {}
-    leave: dict[int, np.ndarray] = {}
+    costs: dict[int, GramTable] = {}
+    leave: dict[int, GramTable] = {}
     below, zero = None, np.full((256, len(languages)), np.nan, dtype=np.float32)
     for k in range(order + 1):  # contexts of k bytes, grams of k + 1
         level = deepest if k == order else deepest.groupBy(suffix("gram", k + 1).alias("gram")).agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in span])
@@ -95,19 +94,20 @@ def fit(train: DataFrame, order: int = ORDER, text_col: str = "text", lang_col:
             level = level.withColumn("low", suffix("gram", k)).join(below.select(F.col("gram").alias("low"), *[F.col(f"x{i}").alias(f"b{i}") for i in span]), "low")
         here = F.expr
         level = written(level.select(
-            "gram", "h", sum((F.col(f"n{i}") for i in span), F.lit(0)).alias("n"), sum((F.col(f"t{i}") for i in span), F.lit(0)).alias("t"),
+            "gram", "h",
             *[here(f"case when t{i} = 0 then b{i} when n{i} > 0 then -log2(n{i} / (t{i} + k{i})) else b{i} - log2(k{i} / (t{i} + k{i})) end").alias(f"x{i}") for i in span],
             *[here(f"case when t{i} = 0 then 0 else -log2(k{i} / (t{i} + k{i})) end").alias(f"e{i}") for i in span]), f"language-order{k}")
         below = level.select("gram", *[f"x{i}" for i in span])
         if k:
-            costs[k] = slot_table(level, "gram", [f"x{i}" for i in span], "n", SLOT_BITS).astype(np.float16)
-            leave[k] = slot_table(level.groupBy("h").agg(F.first("t").alias("t"), *[F.first(f"e{i}").alias(f"e{i}") for i in span]), "h", [f"e{i}" for i in span], "t", SLOT_BITS).astype(np.float16)
+            most = level.count()
+            costs[k] = gram_table(level, "gram", [f"x{i}" for i in span], most, np.float16)
+            leave[k] = gram_table(level.groupBy("h").agg(*[F.first(f"e{i}").alias(f"e{i}") for i in span]), "h", [f"e{i}" for i in span], most, np.float16)
         else:
             for r in level.collect():  # 256 bytes at most
                 zero[r["gram"]] = [r[f"x{i}"] for i in span]
             none = level.select(*[f"e{i}" for i in span]).first()
             zero[np.isnan(zero[:, 0])] = np.array([none[f"e{i}"] + 8.0 for i in span]) if none else 8.0
-    return Model(languages, costs, leave, zero, order, SLOT_BITS)
+    return Model(languages, costs, leave, zero, order)
 
 
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:

@@ -14,8 +14,9 @@ and by the logarithm of its length. A logistic fit turns these into a score from
 others; the ratios that score texts are then counted on all of them.
 
 Counts cover every labelled training row and grow with the input. What tasks
-receive is a table of ``2**SLOT_BITS`` slots. Only the logistic fit uses a
-bounded sample: ``CALIBRATION_ROWS`` rows, chosen by hash.
+receive is a table of every counted gram under its whole key, so a gram that was
+never counted is told from all others. Only the logistic fit uses a bounded
+sample: ``CALIBRATION_ROWS`` rows, chosen by hash.
 """
 
 from __future__ import annotations
@@ -28,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .bytegrams import chunks, gram_counts, history, letters, slot, slot_table, suffix
+from .bytegrams import GramTable, chunks, gram_counts, gram_table, history, letters, suffix
 from .common import map_batches, pieces, small_side, written
 
-ORDER, NEUTRAL, SLOT_BITS, DISCOUNT, CALIBRATION_ROWS = 7, 1.5, 21, 0.75, 40_000
+ORDER, NEUTRAL, DISCOUNT, CALIBRATION_ROWS = 7, 1.5, 0.75, 40_000
 
 #: What describes a text: log-likelihood ratios of its three most toxic words, the excess of its words, its length.
 FEATURES = ("first", "second", "third", "excess", "length")
@@ -57,7 +58,7 @@ def _shared(grams: DataFrame, order: int) -> DataFrame:
 
 
 def _class_ratio(counts: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
-    """Log-likelihood ratios toxic/ordinary: (gram, n, llr) of known grams, (h, n, llr) of a new byte after a known history."""
+    """Log-likelihood ratios toxic/ordinary: (gram, llr) of known grams, (h, llr) of a new byte after a known history."""
     wide = written(counts.groupBy("gram").agg(*[F.sum(F.when(F.col("class") == c, F.col("n")).otherwise(0)).alias(f"c{c}") for c in (0, 1)]), "class-counts")
     after = Window.partitionBy("h")
     known = wide.withColumn("h", history("gram")).withColumn("low", suffix("gram", order - 1))
@@ -69,23 +70,22 @@ def _class_ratio(counts: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
         mixed = (F.greatest(hits - DISCOUNT, F.lit(0)) + DISCOUNT * F.col(f"k{c}") * p_low) / F.col(f"t{c}")
         return F.when(F.col(f"t{c}") > 0, mixed).otherwise(p_low)
 
-    known = known.select("h", "gram", "t0", "t1", "k0", "k1", (F.col("c0") + F.col("c1")).alias("n"),
+    known = known.select("h", "gram", "t0", "t1", "k0", "k1",
                          F.log(p(1, F.col("c1"), F.col("p")) / p(0, F.col("c0"), F.col("p"))).alias("llr"))
     known = written(known, "class-ratio")
     new = known.select("h", "t0", "t1", "k0", "k1").distinct().select(
-        "h", (F.col("t0") + F.col("t1")).alias("n"), F.log(p(1, F.lit(0.0), F.lit(1.0)) / p(0, F.lit(0.0), F.lit(1.0))).alias("llr"))
-    return known.select("gram", "n", "llr"), new
+        "h", F.log(p(1, F.lit(0.0), F.lit(1.0)) / p(0, F.lit(0.0), F.lit(1.0))).alias("llr"))
+    return known.select("gram", "llr"), new
 
 
 @dataclass
 class Model:
-    """Frozen scores: slot tables of the ratios, and the logistic weights of the bias and ``FEATURES``."""
+    """Frozen scores: tables of the ratios by gram and by history, and the logistic weights of the bias and ``FEATURES``."""
 
-    known: np.ndarray
-    new: np.ndarray
+    known: GramTable
+    new: GramTable
     weights: np.ndarray
     order: int = ORDER
-    slot_bits: int = SLOT_BITS
 
     def features(self, texts: list[str | None]) -> np.ndarray:
         """[texts, features]; zeros for a text without letters."""
@@ -94,10 +94,10 @@ class Model:
         for grams, owner, first in chunks((letters(t) for t in texts), self.order, by_word=True):
             if not len(grams):
                 continue
-            llr = self.known[slot(grams, self.slot_bits)].astype(np.float64)
+            llr = self.known.find(grams)[:, 0].astype(np.float64)
             unknown = np.isnan(llr)
             if unknown.any():
-                llr[unknown] = np.nan_to_num(self.new[slot(grams[unknown] >> 8, self.slot_bits)])
+                llr[unknown] = np.nan_to_num(self.new.find(grams[unknown] >> 8)[:, 0])
             word, of = np.add.reduceat(llr, first), owner[first]
             excess += np.bincount(of, weights=np.maximum(word - NEUTRAL, 0), minlength=len(texts))
             words += np.bincount(of, minlength=len(texts))
@@ -139,7 +139,7 @@ def fit(train: DataFrame, order: int = ORDER, calibration_rows: int = CALIBRATIO
     train = written(train.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("toxic").cast("int")).filter("text is not null and toxic in (0, 1)")
                     .withColumn("part", F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(5))), "labelled")
     seen = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    blank = np.zeros(1 << SLOT_BITS, dtype=np.float32)
+    blank = GramTable.of(np.zeros(0, dtype=np.int64), np.zeros((0, 1), dtype=np.float32))
     if len(seen) < 2:
         share = seen.get(1, 0) > 0
         return Model(blank, blank, np.r_[1000.0 if share else -1000.0, np.zeros(len(FEATURES))], order)
@@ -158,7 +158,8 @@ def fit(train: DataFrame, order: int = ORDER, calibration_rows: int = CALIBRATIO
 def _frozen(counts: DataFrame, order: int) -> Model:
     """Model of (gram, class, n), its weights still zero."""
     known, new = _class_ratio(counts, order)
-    return Model(slot_table(known, "gram", ["llr"], "n", SLOT_BITS)[:, 0], slot_table(new, "h", ["llr"], "n", SLOT_BITS)[:, 0], np.zeros(1 + len(FEATURES)), order)
+    most = known.count()
+    return Model(gram_table(known, "gram", ["llr"], most), gram_table(new, "h", ["llr"], most), np.zeros(1 + len(FEATURES)), order)
 
 
 def _calibration(rows: DataFrame, model: Model, most: int) -> tuple[np.ndarray, np.ndarray]:

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -385,6 +386,18 @@ def test_kneser_ney_equals_brute_force(spark):
         assert got[g] == pytest.approx(np.log(p(g, 1) / p(g, 0)), abs=1e-9)
 
 
+def test_grams_keep_their_own_values_and_strangers_have_none(spark):
+    from meteoframe.llm import bytegrams
+
+    keys = np.unique(np.random.default_rng(5).integers(0, 1 << 56, 50_000))
+    rows = spark.createDataFrame(pa.table({"gram": keys, "x": np.arange(len(keys), dtype=np.float64)}))
+    for piece in (1 << 26, 1 << 16):
+        held = bytegrams.gram_table(rows, "gram", ["x"], len(keys), piece_bytes=piece)
+        assert (held.find(keys)[:, 0] == np.arange(len(keys))).all()
+        strangers = np.setdiff1d(np.append(keys + 1, keys ^ (1 << 40)), keys)
+        assert np.isnan(held.find(strangers)).all()
+
+
 def test_language_id(spark, odd, none):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     model = langid.fit(docs.filter(~toxicity.held_out("doc_id", 4, 2)))
