@@ -4,7 +4,11 @@ Pass 1 classifies every block by itself: blocks of navigation, forms, notices,
 adverts, comments and the like (by element, role, class or id) and blocks of
 links are boilerplate; blocks in an article or main element with few links, and
 long blocks with many stop-words, are text; long blocks with few links and few
-stop-words, headings and short blocks are ambiguous.
+stop-words, headings and short blocks are ambiguous, also short blocks of an
+article with many links, unless they are list items of nothing else.
+
+Role, class and id say nothing about html, body, main, the first article, and
+what holds the first of these; "has-sidebar" or "category-social" name no part.
 
 Pass 2 gives ambiguous blocks the label of the nearest decided neighbours: that
 of both, if they agree; else that of the nearer one, where a heading looks
@@ -45,6 +49,8 @@ dialog disclaimer disqus footer form gdpr login masthead menu menubar modal nav
 pagination popup popups promo promos promotion recommended related reply replies respond search share sharing sidebar sidebars signin signup social sponsor
 sponsored subscribe subscription taboola toolbar toc topbar widget widgets complementary alert alertdialog""".split())
 INSIDE = frozenset("article main".split())
+#: First words of a class or id that tell of a page or its subject, not of what the element is.
+STATES = frozenset("has have with without no not is are show shows hide hides category categories tag tags tagged type status format template theme".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Frequent words of English, German, French and Spanish.
 STOP_WORDS = frozenset("""the of and to a in is it that was for on are with as be at by this have from or an not which but they you we his her its were has had
@@ -68,6 +74,8 @@ def blocks(page: str) -> list[Block]:
     """Blocks of text in page order, white space collapsed, references decoded."""
     out: list[Block] = []
     open_: list[tuple[str, bool, bool]] = []  # element, surrounds the article, holds it
+    hinted: list[list] = []  # open elements with a hint: depth, blocks they hold; a hint falls if the first article is found in its element
+    found = set()
     parts: list[str] = []
     linked, links, at = 0, 0, 0
     around = inside = 0
@@ -77,7 +85,9 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            out.append(Block(text, min(linked, len(text)), element, around > 0, inside > 0))
+            out.append(Block(text, min(linked, len(text)), element, around > 0 or bool(hinted), inside > 0))
+            if hinted and not around:
+                hinted[-1][1].append(len(out) - 1)
         parts.clear()
         linked = 0
 
@@ -93,6 +103,10 @@ def blocks(page: str) -> list[Block]:
         nonlocal around, inside, links
         while len(open_) > upto:
             name, out_, in_ = open_.pop()
+            if hinted and hinted[-1][0] == len(open_):
+                held = hinted.pop()[1]
+                if hinted:
+                    hinted[-1][1] += held
             around -= out_
             inside -= in_
             links -= name == "a"
@@ -114,7 +128,7 @@ def blocks(page: str) -> list[Block]:
                 if open_[k][0] == name:
                     close(k)
                     break
-                if open_[k][1] and name not in BLOCKS:
+                if (open_[k][1] or any(depth == k for depth, _ in hinted)) and name not in BLOCKS:
                     break
             element = next((n for n, _, _ in reversed(open_) if n in BLOCKS), "body")
         else:
@@ -129,8 +143,18 @@ def blocks(page: str) -> list[Block]:
                         break
             hint, hidden = _hints(m[4]) if m[4] and not m[4].isspace() else (False, False)
             if name not in VOID and not m[0].endswith("/>"):
-                out_ = name in AROUND or hint or hidden or (name == "header" and not inside)
-                in_ = name in INSIDE and not around
+                out_ = name in AROUND or hidden or (name == "header" and not inside)
+                first = name in INSIDE and name not in found and not around and not out_
+                if first and (name == "main" or not found):
+                    for _, held in hinted:
+                        for k in held:
+                            out[k].around = False
+                    hinted.clear()
+                if first:
+                    found.add(name)
+                if hint and not out_ and name not in ("html", "body", "main") and not first:
+                    hinted.append([len(open_), []])
+                in_ = name in INSIDE and not around and not hinted
                 open_.append((name, out_, in_))
                 around += out_
                 inside += in_
@@ -149,15 +173,24 @@ def _hints(attributes: str) -> tuple[bool, bool]:
         value = "".join(values)
         name = name.lower()
         if name in ("class", "id", "role"):
-            hint = hint or any(w.lower() in HINTS for w in _HINT_WORD.findall(value))
+            hint = hint or any(_names_surrounding(token) for token in value.split())
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
             hidden = True
     return hint, hidden
 
 
+def _names_surrounding(token: str) -> bool:
+    """Whether the first or the last word of a class, id or role is a hint."""
+    words = [w.lower() for w in _HINT_WORD.findall(token)]
+    return bool(words) and words[0] not in STATES and (words[0] in HINTS or words[-1] in HINTS)
+
+
 def first_pass(block: Block) -> int:
-    if block.around or block.linked > LINKS * len(block.text):
+    if block.around:
         return AROUND_TEXT
+    if block.linked > LINKS * len(block.text):
+        bare = block.element == "li" and block.linked == len(block.text)
+        return AMBIGUOUS if block.inside and len(block.text) < LONG and not bare else AROUND_TEXT
     if block.inside and block.element not in HEADINGS:
         return TEXT
     if len(block.text) >= LONG and block.element not in HEADINGS:

@@ -326,6 +326,24 @@ def test_html_main_text(spark, none):
     assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_html_hints_of_the_page_do_not_hide_the_article():
+    said = "The cat and the dog are in the house of that man. " * 4
+    for page in ("<html class='cookie-consent'><body class='single has-sidebar'><article><p>{}</article>", "<body><div id='content' class='with-sidebar'><p>{}</div>",
+                 "<article class='post category-social'><p>{}</article>", "<div class='sidebar layout'><div class='widget'><main><p>{}</main></div></div>",
+                 "<div class='post category-social'><p>{}</div>", "<body class='login'><p>{}"):
+        assert html_extract.main_text(page.format(said)) == said.strip(), page
+    page = "<article><p>" + said + "</p><p>See <a href=x>the whole report</a>.</p><ul><li><a href=1>One</a><li><a href=2>Two</a></ul><p>End.</p></article>"
+    assert html_extract.main_text(page) == said.strip() + "\n\nSee the whole report.\n\nEnd."
+    page = "<div class=site-footer><p>" + said + "</p></div><article><p>Short.</p></article><div id=comments><article class=comment><p>" + said + "</p></article></div>"
+    assert html_extract.main_text(page) == "Short."
+
+
+def test_html_article_of_every_page(spark):
+    for r in table(spark, "/root/testdata/sf0.01", "pages").collect():
+        bare = re.search("<article>.*</article>", r["html"], re.S)[0]
+        assert html_extract.main_text(r["html"]) == html_extract.main_text(bare)
+
+
 def test_toxicity_held_out_and_edges(spark, odd, none):
     docs, labels = table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels")
     model = toxicity.learn(docs, labels)
