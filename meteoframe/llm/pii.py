@@ -12,6 +12,7 @@ number, account (IBAN), access keys and quoted or assigned secrets, and names
 after a title. A name keeps its title, script and gender: syllables of its own
 alphabet, with a feminine or masculine ending for given names as the title says.
 The last name is replaced by itself, so "Mrs Ana Ruiz" and "Mrs Ruiz" stay one.
+A text that repeats the full name without its title has its surrogate there too.
 """
 
 from __future__ import annotations
@@ -25,9 +26,9 @@ TITLES = {"m": r"Mr|Sir|Herr|Señor|Sr|Monsieur|Don|Г-н", "f": r"Mrs|Ms|Miss|M
 _TITLE = "|".join(TITLES[g] for g in ("f", "m", "n"))
 _NAME = r"\p{Lu}[\p{Ll}'’]+(?:-\p{Lu}\p{Ll}+)?"
 PATTERNS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}",
-    "secret": r"(?i:password|passwd|pwd|secret|api[_-]?key|token|access[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_.~-]{6,256}[\"']?",
-    "key": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9]{20,64}\b",
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,126}\.[A-Za-z]{2,}",
+    "secret": r"(?i:password|passwd|pwd|secret|api[_-]?key|token|access[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_.~-]{6,}+[\"']?",
+    "key": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,}+|\bsk-[A-Za-z0-9]{20,}+[A-Za-z0-9_-]*+",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "card": r"(?<![\d.-])(?:\d{4}[ -]?){3}\d{1,7}(?![\d-])",
     "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\d.-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\d-])",
@@ -35,6 +36,7 @@ PATTERNS = {
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "name": rf"\b(?:{_TITLE})\.? {_NAME}(?: {_NAME})?",
 }
+_FULL = rf"(?:{_TITLE})\.? {_NAME} {_NAME}"
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What a text must hold to be cut at all: a digit, an @, or a sign of a secret or a title.
 _ANY = rf"[0-9@]|(?i:password|passwd|pwd|secret|api|token|access)|(?:{_TITLE})"
@@ -157,8 +159,27 @@ def replaced(docs: DataFrame, key: str = "surrogate-key-1", id_col: str = "doc_i
     named = _named(per_text.select("mention").distinct(), key)
     maps = per_text.join(named, "mention").groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("mention", "surrogate"))).alias("by_mention"))
     cut = some.join(maps, "text_key").withColumn("gaps", F.split("text", PATTERN, -1))
+    cut = cut.withColumn("full", F.filter(F.array_distinct("mentions"), lambda m: m.rlike(rf"^{_FULL}$")))
+    named_gap = lambda g: F.aggregate("full", g, lambda text, m: F.regexp_replace(text, _untitled(m), _bare(F.element_at("by_mention", m))))
+    cut = cut.withColumn("n_entities", F.size("mentions") + F.when(F.size("full") > 0, F.aggregate("gaps", F.lit(0), lambda n, g: n + _repeats(g))).otherwise(0))
+    cut = cut.withColumn("gaps", F.when(F.size("full") > 0, F.transform("gaps", named_gap)).otherwise(F.col("gaps")))
     whole = F.expr("array_join(zip_with(gaps, transform(mentions, m -> element_at(by_mention, m)), (g, s) -> concat(g, coalesce(s, ''))), '')")
-    return none.union(cut.select("doc_id", whole.alias("text"), F.size("mentions").alias("n_entities")))
+    return none.union(cut.select("doc_id", whole.alias("text"), "n_entities"))
+
+
+def _bare(name: Column) -> Column:
+    """A name without its title."""
+    return F.regexp_replace(name, r"^\S+ ", "")
+
+
+def _untitled(name: Column) -> Column:
+    """Pattern of a titled full name where it stands without the title."""
+    return F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), _bare(name), F.lit(r"\E(?![\p{L}\p{N}]|-\p{L})"))
+
+
+def _repeats(gap: Column) -> Column:
+    """How often the names in ``full`` stand in ``gap``."""
+    return F.aggregate("full", F.lit(0), lambda n, m: n + F.size(F.split(gap, _untitled(m), -1)) - 1)
 
 
 def _named(distinct: DataFrame, key: str) -> DataFrame:

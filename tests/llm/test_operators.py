@@ -270,6 +270,19 @@ def test_pii_surrogates(spark, odd, none):
     assert pii.replaced(odd).count() == odd.count() and pii.replaced(none).count() == 0
 
 
+def test_pii_long_secrets_and_untitled_repeats(spark):
+    token, key = "aB3" * 150, "Zq7" * 40
+    texts = {1: f"token={token} end", 2: f"the key sk-{key} end", 3: "Mrs Ana Ruiz came. Ana Ruiz said that Ana Ruizo knew Mr Bo Li and (Bo Li) left; Ana Ruiz's hat.", 4: "Ana Ruiz said",
+             5: "a@" + "b." * 12 + "com and a@b." + "museum" * 6}
+    got = {r["doc_id"]: r for r in pii.replaced(spark.createDataFrame([*texts.items()], "doc_id long, text string")).collect()}
+    assert re.fullmatch(r"token=[A-Za-z0-9]{450} end", got[1]["text"]) and token[-30:] not in got[1]["text"]
+    assert re.fullmatch(r"the key sk-[A-Za-z0-9]{120} end", got[2]["text"]) and key[-30:] not in got[2]["text"]
+    name = re.fullmatch(r"Mrs (\w+ \w+) came\. (\w+ \w+) said that Ana Ruizo knew Mr (\w+ \w+) and \((\w+ \w+)\) left; (\w+ \w+)'s hat\.", got[3]["text"])
+    assert name and name[1] == name[2] == name[5] != "Ana Ruiz" and name[3] == name[4] != "Bo Li"
+    assert [got[k]["n_entities"] for k in sorted(got)] == [1, 1, 5, 0, 2]
+    assert got[4]["text"] == texts[4]
+
+
 def test_surrogates_are_distinct_and_new(spark):
     few = spark.createDataFrame([("phone", "", f"{i}") for i in range(9)] + [("last", "", n) for n in ("Li", "Wu", "Ba")], "type string, gender string, value string")
     rows = pii.surrogates(few.union(spark.createDataFrame([("ip", "", f"10.0.0.{i}") for i in range(40)], few.schema)).filter("type <> 'phone'"), "k").collect()
