@@ -14,7 +14,9 @@ windows that are consistent together.
 
 Names are told by capitals inside a sentence, so a text in lower case or one
 that begins elsewhere has other placeholders; a second template that leaves
-names as words catches those.
+names as words catches those. A third takes capitalised first words of sentences
+for names as well. Windows with too few literal words have no template; they are
+joined on their words as they are, values included.
 
 A bit table of fixed size says which window hashes the benchmark has. Tasks
 drop other windows before the shuffle; the join itself is exact and is Spark's
@@ -101,8 +103,8 @@ class Templates:
         parts.append(len(h))
         ends.append(word.endswith(_ENDS))
 
-    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of all texts one after another: (hash of each word as it is, kind with names, kind without names); and the words of each text."""
+    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of all texts one after another: (hash of each word as it is, kind with names, kind with names that begin sentences too, kind without names); and the words of each text."""
         if self.coder.shed():
             self._reset()
         split = [(t or "").split() for t in texts]
@@ -136,49 +138,61 @@ class Templates:
             after[1:] = kind[:-1] == NUMBER
             after[ahead[edge[:-1]][parts > 0]] = False
             kind[loose & ~after] = LITERAL
-        return self.words[at], np.where((kind == LITERAL) & self.cased[at] & ~begins, np.int8(NAME), kind), kind, parts
+        cased = (kind == LITERAL) & self.cased[at]
+        return self.words[at], np.where(cased & ~begins, np.int8(NAME), kind), np.where(cased, np.int8(NAME), kind), kind, parts
 
 
-def windows(words: np.ndarray, kind: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of the window of ``size`` template words at each start, whether enough of it is literal)."""
+def windows(words: np.ndarray, kind: np.ndarray, starts: np.ndarray, size: int, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of the window of ``size`` template words at each start, whether enough of it is literal).
+
+    ``exact``: the words themselves are hashed, and wanted where too few are
+    literal, or would be if the first (a unit only after a number) were not.
+    """
     place = np.array([0, *(_hash("<slot>", k) for k in (NUMBER, UNIT, NAME))], dtype=np.uint64)
     slots = kind != LITERAL
     template = words.copy()
-    template[slots] = place[kind[slots]]
-    odd, out = np.uint64(0x9E3779B97F4A7C15), np.full(len(starts), size, dtype=np.uint64)
+    if not exact:
+        template[slots] = place[kind[slots]]
+    odd, out = np.uint64(0x9E3779B97F4A7C15), np.full(len(starts), size + (exact << 32), dtype=np.uint64)
     row = len(starts) and (starts[-1] - starts[0] + 1 == len(starts))  # starts without gaps are read as slices
     for k in range(size):
         out ^= template[starts[0] + k:starts[0] + k + len(starts)] if row else template[starts + k]
         out *= odd
         out ^= out >> np.uint64(29)
     literal = np.concatenate([[0], np.cumsum(~slots)])
-    return out.view(np.int64), literal[starts + size] - literal[starts] >= np.ceil(size * LITERALS)
+    found = literal[starts + size] - literal[starts]
+    return out.view(np.int64), found < np.ceil(size * LITERALS) + 1 if exact else found >= np.ceil(size * LITERALS)
 
 
 def _window_rows(texts: pa.Array, ids: pa.Array, sizes: list[int] | None, window: int, wanted: np.ndarray | None, template: Templates) -> pa.RecordBatch:
     """(id, start, size, hash, slots): windows of the given ``sizes`` whose hash may be ``wanted``; without sizes, each text's own, ``window`` words at most.
 
-    A window is hashed without names as placeholders, and again with them if it has any.
+    A window is hashed without names as placeholders, again with them if it has any, and with those that begin
+    sentences if it has any; without placeholders (and slots) if too little of it is literal.
     """
-    words, named, plain, parts = template.of(texts.to_pylist())
+    words, named, opened, plain, parts = template.of(texts.to_pylist())
     begin = np.cumsum(parts) - parts
     owner = np.repeat(np.arange(len(parts)), parts)
     left = np.repeat(begin + parts, parts) - np.arange(len(words))  # words from here to the end of the text
     own = np.minimum(parts, window)[owner] if len(words) else left
     has_name = np.concatenate([[0], np.cumsum(named == NAME)])
+    has_opening = np.concatenate([[0], np.cumsum(opened != named)])
+    literal = np.concatenate([[0], np.cumsum(plain == LITERAL)])
     got: list[tuple] = []
     for size in sizes if sizes is not None else sorted(set(np.minimum(parts, window).tolist()) - {0}):
         fits = np.flatnonzero((left >= size) & (own == size)) if sizes is None else np.flatnonzero(left >= size)
-        for kind, starts in ((plain, fits), (named, fits[has_name[fits + size] > has_name[fits]])):
+        poor = fits[literal[fits + size] - literal[fits] < np.ceil(size * LITERALS) + 1]
+        for kind, starts, exact in ((plain, fits, False), (named, fits[has_name[fits + size] > has_name[fits]], False),
+                                    (opened, fits[has_opening[fits + size] > has_opening[fits]], False), (plain, poor, True)):
             if not len(starts):
                 continue
-            hashes, rich = windows(words, kind, starts, size)
+            hashes, rich = windows(words, kind, starts, size, exact)
             if wanted is not None:
                 bit = hashes.view(np.uint64) >> np.uint64(64 - FILTER_BITS)
                 rich &= ((wanted[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
             for k in np.flatnonzero(rich).tolist():
                 at = int(starts[k])
-                slots = words[at:at + size][kind[at:at + size] != LITERAL].view(np.int64).tolist()
+                slots = [] if exact else words[at:at + size][kind[at:at + size] != LITERAL].view(np.int64).tolist()
                 got.append((int(owner[at]), at - int(begin[owner[at]]), size, int(hashes[k]), slots))
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
     return pa.RecordBatch.from_arrays([ids.take(pa.array([g[0] for g in got], pa.int64())), *(pa.array([g[k + 1] for g in got], kinds[k]) for k in range(4))], ["id", "start", "size", "hash", "slots"])

@@ -193,6 +193,13 @@ def test_decontamination_judges_windows_by_themselves(spark):
     assert got[2, 8]["reparameterised"]
 
 
+def test_decontamination_numbers_and_first_names(spark):
+    row, ask = "2 4 8 16 32 64 128 256 512 1024 2048 4096 8192 16384", "Tom has 5 apples and buys 3 more, how many apples now"
+    texts = {1: f"noise {row} noise", 2: row.replace("64", "65"), 3: "Anna has 7 apples and buys 4 more, how many apples now", 4: "So Anna has 7 apples and buys 4 more, how many apples now"}
+    got = decontam.leaks(spark.createDataFrame([*texts.items()], "doc_id long, text string"), spark.createDataFrame([(7, row), (8, ask)], "item_id long, text string"))
+    assert sorted((r["doc_id"], r["item_id"], r["reparameterised"]) for r in got.collect()) == [(1, 7, False), (3, 8, True), (4, 8, True)]
+
+
 def test_decontamination_runs_are_maximal():
     w = lambda start, *pairs: {"start": start, "size": 3, "ours": [a for a, _ in pairs], "theirs": [b for _, b in pairs]}
     assert [*decontam.runs([w(0, (1, 1)), w(1, (1, 1)), w(2), w(3, (7, 1)), w(4)])] == [(0, 4, 3, 1, False), (2, 6, 3, 1, True)]
