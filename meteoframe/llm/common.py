@@ -102,3 +102,9 @@ class WordCoder(dict):
 
     def code(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete files that this job wrote at ``path`` and reads no more, in whatever store they are."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, decontam, html_extract, langid, mixing, pii, simhash, token_counts, token_output, toxicity
+from . import ann, decontam, html_extract, importance, langid, member_lloyd, mixing, pii, simhash, token_counts, token_output, toxicity, voronoi
 from .common import table
 
 
@@ -63,8 +63,24 @@ def op10_langid_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", toxicity.held_out("row.doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id, score: the 5 largest integer inner products of every row whose vec_id is divisible by 50, among all other rows."""
+    return voronoi.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
+
+
+def op12_member_lloyd_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, code, error, label_error, codebooks_sha256 of every valid row: 16 parts, 64 entries, 2 rounds."""
+    return member_lloyd.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_features, weight, score, rank of every document: 5 % drawn towards the benchmark's features."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_cross_polytope_ann, op2_section_tokens, op3_template_decontamination, op4_cube_mixing, op5_simhash_neardup, op6_pii_surrogates,
-    op7_token_output, op8_html_main_text, op9_toxicity_kneser_ney, op10_langid_ppm,
+    op7_token_output, op8_html_main_text, op9_toxicity_kneser_ney, op10_langid_ppm, op11_voronoi_knn, op12_member_lloyd_codes,
+    op13_importance_resampling,
 )}
 ORACLE: dict[str, str] = {}
