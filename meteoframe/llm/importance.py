@@ -26,88 +26,97 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import WordCoder, pieces, written
+from .common import pieces, written
 
 BUCKETS, WORDS, SEED = 10_000, 3, 42
 #: Rows a run is meant to hold, bounds of the number of runs, and how many regular positions of a run are looked at.
 RUN_ROWS, LEAST_RUNS, MOST_RUNS, POSITIONS = 1 << 16, 8, 1024, 256
 
-_WORD_BYTES = bytes(b | 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+#: Each byte as it counts in a word: A-Z lower-cased, ASCII letters, digits and all bytes of other characters; 0 separates.
+_WORD_BYTES = np.array([b | 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 0 for b in range(256)], dtype=np.uint8)
 
 
-def words(text: str | None) -> list[bytes]:
-    """Words of ``text`` in UTF-8, A-Z lower-cased: everything but ASCII letters, digits and non-ASCII separates."""
-    return (text or "").encode("utf-8", "replace").translate(_WORD_BYTES).split()
+class Crc:
+    """crc32 of many words at a time, and of words joined by spaces: crc32 is linear, so a shift by n bytes is one table of 4 x 256 values."""
 
-
-class CrcShift:
-    """The effect of n more bytes on a crc32, as one table of 4 x 256 values for each length n (crc32 is linear)."""
+    #: Words of fewer bytes are taken byte by byte, all at once; longer ones one by one.
+    SHORT = 64
 
     def __init__(self):
         byte = np.arange(256, dtype=np.uint32)
         for _ in range(8):
             byte = np.where(byte & 1, (byte >> 1) ^ np.uint32(0xEDB88320), byte >> 1).astype(np.uint32)
         value = np.arange(256, dtype=np.uint32)[None, :] << (8 * np.arange(4, dtype=np.uint32))[:, None]
-        self.powers, self.number, self.tables, self.stacked = [(value >> 8) ^ byte[value & 255]], {}, [], None
-
-    def of(self, length: int) -> int:
-        """Number of the table for ``length`` bytes."""
-        if length not in self.number:
-            table, bit = None, 0
-            while length >> bit:
-                if bit == len(self.powers):
-                    self.powers.append(self.apply(self.powers[-1], self.powers[-1]))
-                if length >> bit & 1:
-                    table = self.powers[bit] if table is None else self.apply(self.powers[bit], table)
-                bit += 1
-            self.number[length] = len(self.tables)
-            self.tables.append(table)
-            self.stacked = None
-        return self.number[length]
+        self.byte, self.powers = byte, [(value >> 8) ^ byte[value & 255]]
+        self.tables = np.stack([value, *[self.table(n) for n in range(1, self.SHORT)]]).reshape(-1)
+
+    def table(self, length: int) -> np.ndarray:
+        """The effect of ``length`` more bytes, from those of powers of two."""
+        out, bit = None, 0
+        while length >> bit:
+            if bit == len(self.powers):
+                self.powers.append(self.apply(self.powers[-1], self.powers[-1]))
+            if length >> bit & 1:
+                out = self.powers[bit] if out is None else self.apply(self.powers[bit], out)
+            bit += 1
+        return out
 
     @staticmethod
     def apply(table: np.ndarray, crc: np.ndarray) -> np.ndarray:
         return table[0][crc & 255] ^ table[1][crc >> 8 & 255] ^ table[2][crc >> 16 & 255] ^ table[3][crc >> 24]
 
-    def shifted(self, crc: np.ndarray, table: np.ndarray) -> np.ndarray:
-        if self.stacked is None:
-            self.stacked = np.stack(self.tables).reshape(-1)
-        base = table.astype(np.int64) << 10
-        at = self.stacked
-        return at[base + (crc & 255)] ^ at[base + 256 + (crc >> 8 & 255)] ^ at[base + 512 + (crc >> 16 & 255)] ^ at[base + 768 + (crc >> 24)]
+    def of(self, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """crc32 of each run ``data[start:start + length]``."""
+        short = np.minimum(length, self.SHORT)
+        order = np.argsort(-short.astype(np.int8), kind="stable")
+        begin, sizes = start[order], length[order]
+        crc = np.full(len(start), 0xFFFFFFFF, dtype=np.uint32)
+        more = np.searchsorted(-short[order], -np.arange(min(int(short.max(initial=0)), self.SHORT - 1)), "left")
+        for j, n in enumerate(more):  # the first n are longer than j
+            some = crc[:n]
+            crc[:n] = self.byte[(some ^ data[begin[:n] + j]) & 255] ^ (some >> 8)
+        crc = ~crc
+        for k in range(int((sizes >= self.SHORT).sum())):
+            crc[k] = zlib.crc32(data[begin[k]:begin[k] + sizes[k]].tobytes())
+        out = np.empty_like(crc)
+        out[order] = crc
+        return out
+
+    def joined(self, crc: np.ndarray, next_crc: np.ndarray, next_length: np.ndarray) -> np.ndarray:
+        """crc32 of ``first + b" " + second`` from the crc32 of each and the second's length."""
+        spaced = ~(self.byte[(~crc ^ np.uint32(32)) & 255] ^ (~crc >> 8))
+        base = np.minimum(next_length, self.SHORT - 1) << 10
+        at = self.tables
+        moved = at[base + (spaced & 255)] ^ at[base + 256 + (spaced >> 8 & 255)] ^ at[base + 512 + (spaced >> 16 & 255)] ^ at[base + 768 + (spaced >> 24)]
+        for k in np.flatnonzero(next_length >= self.SHORT):
+            moved[k] = self.apply(self.table(int(next_length[k])), spaced[k:k + 1])[0]
+        return moved ^ next_crc
 
 
 class Hasher:
-    """Buckets of all features of whole texts, in numpy: a feature's crc32 follows from those of its words."""
+    """Buckets of all features of whole texts, in numpy."""
 
     def __init__(self, buckets: int = BUCKETS, most_words: int = WORDS):
-        self.buckets, self.most_words = buckets, most_words
-        self.coder, self.facts = WordCoder(lambda w: w, 300_000), np.zeros((0, 3), dtype=np.uint32)
-        self.shift = CrcShift()
-
-    def of(self, texts: Sequence[str | None]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-        """Words of each text, and for each run length the (positions of first words, buckets) of its features."""
-        if self.coder.shed():
-            self.facts, self.shift = self.facts[:0], CrcShift()
-        split = [words(t) for t in texts]
-        count = np.array([len(w) for w in split], dtype=np.int64)
-        code = np.concatenate([self.coder.code(w) for w in split] or [np.zeros(0, dtype=np.int64)])
-        if new := self.coder.facts[len(self.facts):]:
-            rows = [(zlib.crc32(w), zlib.crc32(b" " + w), self.shift.of(len(w) + 1)) for w in new]
-            self.facts = np.concatenate([self.facts, np.array(rows, dtype=np.uint32)])
-        owner = np.repeat(np.arange(len(split)), count)
-        at, crc = np.arange(len(code)), self.facts[code, 0]
-        found = []
+        self.buckets, self.most_words, self.crc = buckets, most_words, Crc()
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """Number of words of each text, and for each run length the (positions of first words, buckets) of its features."""
+        raw = [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
+        data = _WORD_BYTES[np.frombuffer(b" ".join([*raw, b""]) or b" ", dtype=np.uint8)]
+        edge = np.flatnonzero(np.diff(data != 0, prepend=False))
+        start, length = edge[::2], edge[1::2] - edge[::2]
+        ends = np.cumsum([len(t) + 1 for t in raw])
+        count = np.diff(np.searchsorted(start, ends), prepend=0)
+        word = self.crc.of(data, start, length)
+        owner = np.repeat(np.arange(len(raw), dtype=np.int32), count)
+        at, crc, found = np.arange(len(word)), word, []
         for k in range(self.most_words):
             if k:
-                keep = at + k < len(code)
-                keep[keep] = owner[at[keep]] == owner[at[keep] + k]
-                at, crc = at[keep], crc[keep]
-                follows = self.facts[code[at + k]]
-                crc = self.shift.shifted(crc, follows[:, 2]) ^ follows[:, 1]
+                at = at[:np.searchsorted(at, len(word) - k)]
+                same = owner[at] == owner[at + k]
+                crc, at = crc[:len(at)][same], at[same]
+                crc = self.crc.joined(crc, word[at + k], length[at + k])
             found.append((at, (crc % np.uint32(self.buckets)).astype(np.int64)))
-            if not len(at):
-                break
         return count, found
 
 
@@ -117,7 +126,7 @@ def bucket_counts(texts: DataFrame, text_col: str = "text", buckets: int = BUCKE
         hasher, total = Hasher(buckets, most_words), np.zeros(buckets, dtype=np.int64)
         for batch in batches:
             for part in pieces(batch):
-                for _, bucket in hasher.of(part.column(0).to_pylist())[1]:
+                for _, bucket in hasher.of(part.column(0))[1]:
                     total += np.bincount(bucket, minlength=buckets)
         some = np.flatnonzero(total)
         if len(some):
@@ -151,7 +160,7 @@ def scored(docs: DataFrame, gain: np.ndarray, id_col: str = "doc_id", text_col:
         hasher = Hasher(len(gain), most_words)
         for batch in batches:
             for part in pieces(batch):
-                count, found = hasher.of(part.column(1).to_pylist())
+                count, found = hasher.of(part.column(1))
                 total, features = np.zeros(int(count.sum()), dtype=np.int64), np.zeros(int(count.sum()), dtype=np.int64)
                 for at, bucket in found:
                     total[at] += gain[bucket]
