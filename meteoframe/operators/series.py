@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meteoframe.functions.columns import day_label
-from meteoframe.operators.ordering import shift_columns, with_row_index, with_running_total
+from meteoframe.operators.ordering import shift_columns, with_row_index
 from meteoframe.spec import REFERENCE_SPEC, FeatureSpec
 
 
@@ -92,7 +92,8 @@ def lag_lead_features(df: DataFrame, spec: FeatureSpec = REFERENCE_SPEC, bucket_
     ``partition_by``, along one global order (the reference's mode). Incomplete
     rows are dropped on all created columns, or only on the model columns when
     ``spec.drop_on_all_created`` is false. ``prepare`` (e.g. gap filling) is
-    applied to the sorted, persisted rows before the window.
+    applied to the rows before they are dealt to ranges. The action fails if two
+    rows agree in the whole order key.
     """
     shifts = [(m, i, spec.lag_col(m, i)) for i in range(1, spec.lags + 1) for m in spec.measures]
     shifts += [(m, -d, spec.target_col(m, d)) for d in range(1, spec.leads + 1) for m in spec.measures]
@@ -128,22 +129,34 @@ def global_row_index(df: DataFrame, order_cols: Sequence[str] = ("obs_date", "ob
     return with_row_index(df, list(order_cols), index_col)
 
 
-def key_at_rank(df: DataFrame, rank: int, date_col: str = "obs_date", id_col: str = "obs_id"):
-    """Key (date, id) of the ``rank``-th row (1-based) in (date, id) order, without sorting the table.
+def keys_at_ranks(df: DataFrame, ranks, date_col: str = "obs_date", id_col: str = "obs_id") -> tuple[int, list]:
+    """(n, keys): the number of rows, and the key (date, id) of the ``ranks(n)``-th rows (1-based) in (date, id) order; the table is not sorted.
 
-    A per-date histogram (partial aggregate, one row per date) and its running
-    total find the date that holds the rank; only that date's rows are then
-    ranked by id (range-partitioned, so even a crowded date is spread out).
-    Returns a Row(date, id) — two small actions, no rows pass through the driver.
+    A per-date histogram (partial aggregate, one row per date: a calendar's
+    length) and its running total give n and the dates that hold the ranks; only
+    those dates' rows are then ranked by id (in ranges, so even a crowded date is
+    spread out). ``ranks`` gives ascending numbers from n. A ValueError is raised
+    if the row after a key has the same key.
     """
-    hist = df.groupBy(date_col).agg(F.count(F.lit(1)).alias("_cnt"))
-    cum = with_running_total(hist, [date_col], "_cnt", "_cum")
-    hit = cum.filter(F.col("_cum") >= F.lit(rank)).orderBy(date_col).limit(1).collect()[0]
-    need = rank - (hit["_cum"] - hit["_cnt"])
-    day = df.filter(F.col(date_col) == F.lit(hit[date_col])).select(id_col)
-    ranked = with_row_index(day, [id_col], "_r")
-    key = ranked.filter(F.col("_r") == F.lit(need)).select(id_col).collect()[0][0]
-    return hit[date_col], key
+    hist = df.groupBy(date_col).agg(F.count(F.lit(1)).alias("_cnt")).withColumn("_cum", F.sum("_cnt").over(Window.orderBy(date_col)))
+    dates = hist.orderBy(date_col).collect()
+    n = dates[-1]["_cum"] if dates else 0
+    keys = []
+    for rank in ranks(n):
+        hit = next(r for r in dates if r["_cum"] >= rank)
+        need = rank - (hit["_cum"] - hit["_cnt"])
+        day = df.filter(F.col(date_col).eqNullSafe(F.lit(hit[date_col]))).select(id_col)
+        ranked = with_row_index(day, [id_col], "_r", unique=False).filter(F.col("_r").isin(need, need + 1))
+        near = [r[id_col] for r in ranked.orderBy("_r").collect()]
+        if len(near) > 1 and near[0] == near[1]:
+            raise ValueError(f"({date_col}, {id_col}) is no total order: the key at the cut repeats; give a unique id column")
+        keys.append((hit[date_col], near[0]))
+    return n, keys
+
+
+def key_at_rank(df: DataFrame, rank: int, date_col: str = "obs_date", id_col: str = "obs_id") -> tuple:
+    """Key (date, id) of the ``rank``-th row (1-based) in (date, id) order."""
+    return keys_at_ranks(df, lambda n: [rank], date_col, id_col)[1][0]
 
 
 def _up_to(key, date_col: str, id_col: str):
@@ -156,20 +169,19 @@ def chronological_split(df: DataFrame, train_ratio: float = 0.8, date_col: str =
     """The first ``int(n * train_ratio)`` rows in (date, id) order are 'train', the rest 'test'.
 
     The cut is found from a per-date histogram and a rank inside the one cut
-    date (``key_at_rank``), then applied as a plain comparison with literals
-    (pushed down to Parquet where the input is a file), so the table is
-    scanned, not sorted. ``gap`` rows after the cut are tagged 'gap' so that
-    labels of the last training rows (which look ``leads`` rows ahead) do not
-    overlap the test rows. Eager: counts and two small lookups run here.
+    date (``keys_at_ranks``), then applied as a plain comparison with literals
+    (pushed down to Parquet where the input is a file), so the table is read for
+    two columns and not sorted. ``gap`` rows after the cut are tagged 'gap' so
+    that labels of the last training rows (which look ``leads`` rows ahead) do
+    not overlap the test rows. Eager: the lookups run here.
     """
-    n = df.count()
-    k = int(n * train_ratio)  # truncation, as in the reference
-    train = _up_to(key_at_rank(df, k, date_col, id_col), date_col, id_col) if k > 0 else F.lit(False)
-    k_gap = min(n, k + gap)
-    in_gap = _up_to(key_at_rank(df, k_gap, date_col, id_col), date_col, id_col) if gap and k_gap > k else F.lit(False)
-    if (held := df.filter(train).count()) != k:
-        raise ValueError(f"({date_col}, {id_col}) is no total order: {held} rows up to the cut instead of {k}; give a unique id column")
-    tag = F.when(train, F.lit("train")).when(in_gap, F.lit("gap")).otherwise(F.lit("test"))
+    cut = lambda n: int(n * train_ratio)  # truncation, as in the reference
+    wanted = lambda n: sorted({k for k in (cut(n), min(n, cut(n) + gap)) if k > 0})
+    n, keys = keys_at_ranks(df, wanted, date_col, id_col)
+    at = dict(zip(wanted(n), keys))
+    up_to = lambda k: _up_to(at[k], date_col, id_col) if k > 0 else F.lit(False)
+    k, k_gap = cut(n), min(n, cut(n) + gap)
+    tag = F.when(up_to(k), F.lit("train")).when(up_to(k_gap) if k_gap > k else F.lit(False), F.lit("gap")).otherwise(F.lit("test"))
     return df.withColumn(split_col, tag)
 
 

@@ -1,12 +1,19 @@
 """Row index and halo lag/lead equal the single-partition window they replace."""
 
+import json
+import os
+import re
+import subprocess
+import sys
+import textwrap
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from meteoframe.operators.ordering import shift_columns, with_row_index, with_running_total
 from meteoframe.sources.observations import observations
-from tests.conftest import SF_SMALL
+from tests.conftest import ROOT, SF_SMALL
 
 
 def _plain_row_number(df, order):
@@ -53,13 +60,82 @@ def test_running_total(spark):
     assert got.join(ref.select("k", "v", "ref"), ["k", "v"]).filter("cum <> ref").count() == 0
 
 
-def test_lag_plan_has_no_single_partition_window(spark):
-    from meteoframe.plans.catalog import features
+def _final_plan(df):
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text[:text.index("== Initial Plan ==")] if "== Initial Plan ==" in text else text
+
 
-    plan = features(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    # The per-range offset table uses one partition (one row per range); the
-    # row-level window is partitioned by (bucket, station).
-    assert "hashpartitioning(_bucket" in plan
+@pytest.mark.parametrize("what", ["lags", "index", "total"])
+def test_rows_are_dealt_by_one_shared_exchange(spark, what):
+    """Whole rows move once: branches that need sizes or edges reuse the exchange of the rows."""
+    obs = observations(spark, SF_SMALL)
+    shifts = [("min_temp", 5, "l5"), ("rainfall", -2, "d2")]
+    df = {"lags": lambda: shift_columns(obs, shifts, ["obs_date", "obs_id"], ["station"], min_bucket_rows=64).select("obs_id", "l5", "d2"), "index": lambda: with_row_index(obs, ["obs_date", "obs_id"]).select("obs_id", "row_idx"),
+          "total": lambda: with_running_total(obs.select("obs_id", F.lit(1).alias("w")), ["obs_id"], "w")}[what]()
+    plan = _final_plan(df)
+    stages = set(re.findall(r"ShuffleQueryStage \d+\n[ :|]*\+- Exchange shufflepartitionidpassthrough", plan))
+    assert len(stages) == 1, plan
+    assert "ReusedExchange" in plan
+
+
+def test_shuffled_records_are_the_rows_and_a_few_per_range(tmp_path):
+    """The event log of a session of its own: what lags write to the shuffle is every row once, and 7 rows and a mark per range."""
+    script = textwrap.dedent(f"""
+        import sys
+        sys.path.insert(0, {ROOT!r})
+        from meteoframe.session import get_session
+        from pyspark.sql import SparkSession
+        SparkSession.builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", "file://{tmp_path}").config("spark.eventLog.rolling.enabled", "false").config("spark.eventLog.compress", "false").master("local[4]").config("spark.ui.enabled", "false").getOrCreate()
+        spark = get_session("local[4]", shuffle_partitions=6)
+        from meteoframe.operators import series
+        from meteoframe.sources.observations import observations
+        obs = observations(spark, {SF_SMALL!r})
+        df = series.lag_lead_features(obs, drop_incomplete=False)
+        spark.sparkContext.setJobGroup("lags", "lags")
+        print("ROWS", obs.count(), "OUT", len(df.collect()))
+        spark.stop()
+    """)
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=600, env=dict(os.environ, PYTHONPATH=ROOT))
+    rows = int(re.search(r"ROWS (\d+)", done.stdout)[1])
+    stages, written = set(), 0
+    for path in tmp_path.iterdir():
+        for line in path.read_text().splitlines():
+            e = json.loads(line)
+            if e["Event"] == "SparkListenerJobStart" and (e.get("Properties") or {}).get("spark.jobGroup.id") == "lags":
+                stages |= set(e["Stage IDs"])
+            elif e["Event"] == "SparkListenerTaskEnd" and e["Stage ID"] in stages:
+                written += e["Task Metrics"]["Shuffle Write Metrics"]["Shuffle Records Written"]
+    # count() writes a row per task; the exchange of whole rows, the edges, the marks and the counts of the gap filling's own aggregates
+    assert rows <= written <= rows + 6 * (7 + 2) + 40, (rows, written)
+
+
+@pytest.mark.parametrize("op", ["lags", "index", "per station"])
+def test_a_repeated_key_is_refused(spark, op):
+    obs = observations(spark, SF_SMALL)
+    twice = obs.unionByName(obs.filter("obs_id = 7"))
+    shifts, cols = [("min_temp", 1, "l1"), ("rainfall", -2, "d2")], ["obs_date", "obs_id"]
+    make = {"lags": lambda d: shift_columns(d, shifts, cols, num_partitions=5), "per station": lambda d: shift_columns(d, shifts, cols, ["station"], bucket_rows=50),
+            "index": lambda d: with_row_index(d, cols, num_partitions=5)}[op]
+    assert make(obs).count() == obs.count()
+    with pytest.raises(Exception, match="no total order.*obs_id=7"):
+        make(twice).count()
+
+
+def test_null_keys_and_short_ranges(spark):
+    """Null keys come first; series, gaps and ranges shorter than the lags are crossed; repeated null keys are refused too."""
+    rows = [(None if i % 11 == 0 else f"s{i % 4}", None if i % 13 == 0 else i // 3, i, float(i)) for i in range(120)]
+    df = spark.createDataFrame(rows, "s string, d int, i int, v double").repartition(7)
+    shifts = [("v", k, f"b{k}") for k in (1, 5)] + [("v", -k, f"a{k}") for k in (1, 2)]
+    for by, ranges in ((["s"], 40), ([], 60), (["s"], 1)):
+        got = shift_columns(df, shifts, ["d", "i"], by, num_partitions=ranges, min_bucket_rows=1, index_col="n")
+        w = Window.partitionBy(*by).orderBy("d", "i")
+        want = df.select("i", *[(F.lag(c, k) if k > 0 else F.lead(c, -k)).over(w).alias(n) for c, k, n in shifts],
+                         F.row_number().over(Window.orderBy(*by, "d", "i")).alias("n"))
+        names = ["i", "n", *[n for _, _, n in shifts]]
+        assert got.count() == 120 and {tuple(r) for r in got.select(names).collect()} == {tuple(r) for r in want.select(names).collect()}
+    with pytest.raises(Exception, match="no total order"):
+        with_row_index(df.select(F.lit(None).cast("int").alias("a"), "s"), ["a", "s"]).collect()
 
 
 def test_hot_station_window_tasks_are_bounded(spark):
