@@ -4,20 +4,21 @@ and the data dictionary (A1-A11, A18, G2).
 
 All statistics of all measures come from one aggregate where possible (the
 reference ran two jobs per measure). Quantiles are exact by default and
-computed without sending a column's values to one task: values are first
-compacted to (measure, value, count), then ranked by a distributed running
-total.
+computed without sending a column's values to one task: values are compacted
+to (measure, value, count), the counts of value ranges tell which ranges hold
+the wanted ranks, and only those are ranked.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meteoframe.functions.columns import pearson, without_nan
-from meteoframe.operators.ordering import with_running_total
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -64,42 +65,77 @@ def describe_measures(df: DataFrame, cols: Sequence[str], digits: int = 6) -> Da
 
 # --------------------------------------------------------------------------- quantiles
 
+#: Value ranges per e-fold of a value, and the unit below which ranges are about equally wide.
+RANGES_PER_E, UNIT = 16384.0, 2.0 ** -20
+
+
+def _range_of(value: Column) -> Column:
+    """Number of the value range of ``value``, ascending with it, from the value alone (logarithms are monotone in Java); never null."""
+    found = F.signum(value) * F.floor(F.log(F.abs(value) / F.lit(UNIT) + F.lit(1.0)) * F.lit(RANGES_PER_E))
+    return F.coalesce(found.cast("bigint"), F.lit(0).cast("bigint"))  # a join need not test it below the exchange of the counts
+
+
+def _spans(counts: DataFrame) -> DataFrame:
+    """Per (measure, range): rows before and in it, and the measure's count, mean, var, min and max.
+
+    One partial aggregate over the counts; what it leaves is a row per value
+    range that occurs. Squares are taken around the range's own value, then
+    around the mean: a variance is off by 1e-16 * (mean / sd / 16384)^2 of itself at most.
+    """
+    number = F.col("range")
+    centre = F.signum(number) * (F.exp(F.abs(number) / F.lit(RANGES_PER_E)) - F.lit(1.0)) * F.lit(UNIT)
+    off, w = F.col("value") - F.col("centre"), F.col("w").cast("double")
+    placed = counts.withColumn("range", _range_of(F.col("value"))).withColumn("centre", centre)
+    totals = placed.groupBy("measure", "range").agg(F.sum("w").alias("t"), F.max("centre").alias("centre"), F.sum(w * off).alias("d"), F.sum(w * off * off).alias("q"),
+                                                    F.min("value").alias("low"), F.max("value").alias("high"))
+    all_of, t = Window.partitionBy("measure"), F.col("t").cast("double")
+    own = totals.withColumn("m", F.col("centre") + F.col("d") / t).withColumn("count", F.sum("t").over(all_of)).withColumn("before", F.sum("t").over(all_of.orderBy("range")) - F.col("t"))
+    own = own.withColumn("mean", F.sum(t * F.col("m")).over(all_of) / F.col("count")).withColumn("min", F.min("low").over(all_of)).withColumn("max", F.max("high").over(all_of))
+    squares = F.sum(F.col("q") - F.col("d") * F.col("d") / t + t * (F.col("m") - F.col("mean")) * (F.col("m") - F.col("mean"))).over(all_of)
+    return own.select("measure", "range", "before", "t", "count", "mean", F.try_divide(F.greatest(squares, F.lit(0.0)), F.col("count") - 1).alias("var"), "min", "max")
+
+
+def count_moments(counts: DataFrame) -> DataFrame:
+    """(measure, count, mean, stddev, var, min, max) from (measure, value, w)."""
+    return _spans(counts).filter("before = 0").select("measure", "count", "mean", F.sqrt("var").alias("stddev"), "var", "min", "max")
+
+
+def ranked_values(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(measure, count, mean, stddev, var, min, max, quantiles) from (measure, value, w): quantiles in the order of ``probs``.
+
+    Totals per value range come first; only the ranges that hold a wanted rank
+    are then sorted and ranked, at most two for each probability. The counts are
+    derived once: both steps read the same exchange.
+    """
+    facts = ["count", "mean", "var", "min", "max"]
+    rank = lambda p: (F.floor(F.lit(float(p)) * (F.col("count") - 1)).cast("bigint"), F.ceil(F.lit(float(p)) * (F.col("count") - 1)).cast("bigint"))
+    holds = lambda r, first, n: (F.col(first) <= r) & (r < F.col(first) + F.col(n))
+    wanted = [r for p in probs for r in rank(p)]
+    some = lambda first, n: reduce(or_, [holds(r, first, n) for r in wanted])
+    chosen = _spans(counts).filter(some("before", "t")).select("measure", "range", "before", *facts)  # two rows for each measure and probability at most
+    within = Window.partitionBy("measure", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("range", _range_of(F.col("value"))).join(F.broadcast(chosen), ["measure", "range"])
+    ranked = ranked.withColumn("first", F.col("before") + F.sum("w").over(within) - F.col("w")).filter(some("first", "w"))
+    at = lambda r: F.max(F.when(holds(r, "first", "w"), F.col("value")))
+    ends = [(at(lo).alias(f"lo{i}"), at(hi).alias(f"hi{i}")) for i, (lo, hi) in enumerate(map(rank, probs))]
+    found = ranked.groupBy("measure").agg(*[F.max(c).alias(c) for c in facts], *[c for pair in ends for c in pair])
+    quantiles = []
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * (F.col("count") - 1)
+        quantiles.append(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (pos - F.floor(pos)))
+    return found.select("measure", "count", "mean", F.sqrt("var").alias("stddev"), "var", "min", "max", F.array(*quantiles).alias("quantiles"))
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = QUARTILES,
                     counts: DataFrame | None = None) -> DataFrame:
     """A5: (measure, p, quantile) with linear interpolation between order statistics.
 
     Position p*(n-1) (0-based), the same definition as Spark ``percentile``
-    and SQL ``quantile_cont``. The values at the two neighbouring ranks are
-    found by a range join of the tiny rank table against the running totals
-    of the compacted values.
+    and SQL ``quantile_cont``; see :func:`ranked_values`.
     """
-    vc = counts if counts is not None else value_counts(df, cols)
-    sizes = vc.groupBy("measure").agg(F.sum("w").alias("n"))
-    # One row per measure and probability: bounded by the request, not the data.
-    wanted = (
-        sizes.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("pos", F.col("p") * (F.col("n") - 1))
-        .withColumn("r_lo", F.floor("pos").cast("bigint"))
-        .withColumn("r_hi", F.ceil("pos").cast("bigint"))
-        .withColumn("frac", F.col("pos") - F.col("r_lo"))
-    )
-    ranked = with_running_total(vc, ["measure", "value"], "w", "cum")
-    # Per measure, the running total restarts: subtract the total of earlier measures.
-    base = ranked.groupBy("measure").agg(F.min(F.col("cum") - F.col("w")).alias("base"))
-    ranked = ranked.join(F.broadcast(base), "measure").select(
-        "measure", "value", (F.col("cum") - F.col("base") - F.col("w")).alias("first_rank"),
-        (F.col("cum") - F.col("base")).alias("end_rank"))
-
-    # One lookup for both neighbouring ranks: broadcast the rank table (measures
-    # x probabilities), match each value whose rank span holds either rank.
-    t = wanted.select(F.col("measure").alias("t_measure"), "p", "r_lo", "r_hi", "frac")
-    holds = lambda r: (F.col("first_rank") <= F.col(r)) & (F.col(r) < F.col("end_rank"))
-    hit = ranked.join(F.broadcast(t), (F.col("measure") == F.col("t_measure")) & (holds("r_lo") | holds("r_hi")))
-    picked = hit.groupBy("measure", "p").agg(
-        F.max(F.when(holds("r_lo"), F.col("value"))).alias("v_lo"),
-        F.max(F.when(holds("r_hi"), F.col("value"))).alias("v_hi"),
-        F.first("frac").alias("frac"))
-    return picked.select("measure", "p", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("quantile"))
+    picked = ranked_values(counts if counts is not None else value_counts(df, cols), probs)
+    pairs = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("p"), F.col("quantiles").alias("quantile"))
+    return picked.select("measure", F.inline(pairs))
 
 
 def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = QUARTILES,
@@ -112,27 +148,29 @@ def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]
         "measure", F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1).alias("p"), "quantile")
 
 
-def _quartiles_wide(df: DataFrame, cols: Sequence[str], exact: bool, counts: DataFrame | None = None) -> DataFrame:
-    q = exact_quantiles(df, cols, QUARTILES, counts) if exact else approx_quantiles(df, cols, QUARTILES)
-    return q.groupBy("measure").agg(
-        F.max(F.when(F.col("p") == 0.25, F.col("quantile"))).alias("q1"),
-        F.max(F.when(F.col("p") == 0.5, F.col("quantile"))).alias("median"),
-        F.max(F.when(F.col("p") == 0.75, F.col("quantile"))).alias("q3"),
-    )
+def _quartiles(counts: DataFrame) -> DataFrame:
+    """(measure, count, mean, stddev, var, min, max, q1, median, q3), exact."""
+    return ranked_values(counts, QUARTILES).select("measure", "count", "mean", "stddev", "var", "min", "max", *[F.get("quantiles", F.lit(i)).alias(q) for i, q in enumerate(("q1", "median", "q3"))])
 
 
 def advanced_statistics(df: DataFrame, cols: Sequence[str], digits: int = 2, exact: bool = True) -> DataFrame:
     """A3: count, mean, stddev, var, min, Q1, median, Q3, max, IQR per measure, rounded.
 
-    Moments of all measures are one aggregate; quartiles come from the
-    compacted value counts; ``exact=False`` takes them from the sketch as the
-    original report did. A measure without values keeps a row of nulls.
+    Moments and quartiles come from the compacted value counts, derived once;
+    ``exact=False`` takes them from one aggregate of the rows with sketch
+    quartiles as the original report did. A measure without values keeps a row
+    of nulls (count 0).
     """
-    vc = value_counts(df, cols)
-    quart = _quartiles_wide(df, cols, exact, vc)
+    if exact:
+        found = _quartiles(value_counts(df, cols))
+    else:
+        sketch = approx_quantiles(df, cols, QUARTILES).groupBy("measure").agg(
+            *[F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(q) for p, q in zip(QUARTILES, ("q1", "median", "q3"))])
+        found = moments(df, cols).join(F.broadcast(sketch), "measure", "left")  # a row per measure
     r = lambda c: F.round(F.col(c), digits).alias(c)
-    return moments(df, cols).join(quart, "measure", "left").select(
-        "measure", "count", r("mean"), r("stddev"), r("var"), r("min"), r("q1"), r("median"), r("q3"), r("max"),
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "measure string")
+    return names.join(F.broadcast(found), "measure", "left").select(
+        "measure", F.coalesce("count", F.lit(0).cast("bigint")).alias("count"), r("mean"), r("stddev"), r("var"), r("min"), r("q1"), r("median"), r("q3"), r("max"),
         F.round(F.col("q3") - F.col("q1"), digits).alias("iqr"))
 
 
@@ -162,27 +200,29 @@ def statistics_text(by_row: DataFrame, measures: Sequence[str]) -> DataFrame:
 
 # --------------------------------------------------------------------------- box plots
 
+def _fences(counts: DataFrame, whisker: float) -> DataFrame:
+    """(measure, q1, median, q3, iqr, lower_fence, upper_fence)."""
+    spread = F.lit(whisker) * (F.col("q3") - F.col("q1"))
+    return _quartiles(counts).select("measure", "q1", "median", "q3", (F.col("q3") - F.col("q1")).alias("iqr"),
+                                     (F.col("q1") - spread).alias("lower_fence"), (F.col("q3") + spread).alias("upper_fence"))
+
+
 def boxplot_stats(df: DataFrame, cols: Sequence[str], whisker: float = 1.5) -> DataFrame:
     """Quartiles, IQR, fences at Q1 - k*IQR / Q3 + k*IQR, whisker ends
     (extreme values inside the fences) and the number of outliers."""
     vc = value_counts(df, cols)
-    quart = _quartiles_wide(df, cols, True, vc)
-    fences = quart.select(
-        "measure", "q1", "median", "q3", (F.col("q3") - F.col("q1")).alias("iqr"),
-        (F.col("q1") - F.lit(whisker) * (F.col("q3") - F.col("q1"))).alias("lower_fence"),
-        (F.col("q3") + F.lit(whisker) * (F.col("q3") - F.col("q1"))).alias("upper_fence"))
+    fences = _fences(vc, whisker)
     # fences: one row per measure; the value side is the compacted counts.
     inside = (F.col("value") >= F.col("lower_fence")) & (F.col("value") <= F.col("upper_fence"))
-    agg = vc.join(F.broadcast(fences.select("measure", "lower_fence", "upper_fence")), "measure").groupBy("measure").agg(
+    return vc.join(F.broadcast(fences), "measure").groupBy(*fences.columns).agg(
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
         F.sum(F.when(~inside, F.col("w")).otherwise(F.lit(0))).cast("bigint").alias("n_outliers"))
-    return fences.join(agg, "measure")
 
 
 def outlier_rows(df: DataFrame, cols: Sequence[str], keep: Sequence[str], whisker: float = 1.5) -> DataFrame:
     """Every (row, measure) whose value lies outside the box-plot fences."""
-    fences = boxplot_stats(df, cols, whisker).select("measure", "lower_fence", "upper_fence")
+    fences = _fences(value_counts(df, cols), whisker).select("measure", "lower_fence", "upper_fence")
     long = _long_values(df, cols, keep)
     return long.join(F.broadcast(fences), "measure").filter(
         (F.col("value") < F.col("lower_fence")) | (F.col("value") > F.col("upper_fence")))
@@ -228,9 +268,7 @@ def kde_curve(df: DataFrame, cols: Sequence[str], points: int = 200, digits: int
     touches a few grid points instead of all of them.
     """
     vc = value_counts(df, cols)
-    st = _long_values(df, cols).groupBy("measure").agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"),
-        F.stddev_samp("value").alias("sd"))
+    st = count_moments(vc).select("measure", F.col("count").alias("n"), F.col("min").alias("lo"), F.col("max").alias("hi"), F.col("stddev").alias("sd"))
     st = st.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
     st = st.withColumn("step", (F.col("hi") - F.col("lo")) / F.lit(float(points - 1)))
     last = F.lit(points - 1)
