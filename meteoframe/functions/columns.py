@@ -70,6 +70,12 @@ def unit_hash(*parts: str | Column) -> Column:
     return top32.cast("double") / F.lit(float(1 << 32))
 
 
+def unit_hash52(*parts: str | Column) -> Column:
+    """Like :func:`unit_hash`, from the first 52 bits: fine enough to pick one of any number of rows."""
+    text = F.concat_ws("-", *[_c(p).cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint").cast("double") / F.lit(float(1 << 52))
+
+
 def poisson1_cdf(k_max: int = 12) -> list[float]:
     """CDF of Poisson(1) at 0..k_max (computed, not tabulated)."""
     out, acc, term = [], 0.0, math.exp(-1.0)

@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meteoframe.functions.columns import poisson1_weight, unit_hash
+from meteoframe.functions.columns import poisson1_weight, unit_hash, unit_hash52
+from meteoframe.operators.ordering import with_row_index
 from meteoframe.spec import REFERENCE_SPEC, FeatureSpec
 
 FINAL_ROW = "FINAL_AVERAGE"
@@ -70,13 +71,33 @@ def bootstrap_rmse(scored: DataFrame, algos: Sequence[str], targets: Sequence[st
     return wide.select(F.col("run").cast("bigint").alias("run"), F.inline(F.array(*cols)))
 
 
-def reference_resample(df: DataFrame, run: int, seed: int = 42) -> DataFrame:
-    """The original resampling, ``sample(with replacement, 1.0, seed + run)``.
+def exact_resample(df: DataFrame, order_cols: Sequence[str], runs: int = 10, seed: int = 42, index_col: str = "row_idx") -> tuple[DataFrame, DataFrame]:
+    """``runs`` resamples with replacement of exactly n of n rows: (rows with ``index_col``, draws).
 
-    Its rows depend on the physical partitioning of ``df``; ``bootstrap_rmse``
-    is the layout-independent form used by the reports.
+    ``draws``: (run, ``index_col``, w), the rows drawn and how often; w adds up
+    to n in every run. Draw number d of a run takes the row whose position is
+    given by the first 52 bits of ``md5(d-(seed+run))``, so the counts are those
+    of n independent uniform draws and depend on the order of the rows alone,
+    not on their layout. Every row makes one draw a run, and equal draws meet
+    in one shuffle of small rows.
     """
-    return df.sample(withReplacement=True, fraction=1.0, seed=seed + run)
+    indexed = with_row_index(df, order_cols, index_col)
+    n = indexed.select(F.max(index_col)).scalar()
+    each = indexed.select(F.col(index_col).alias("d")).withColumn("run", F.explode(F.sequence(F.lit(1), F.lit(runs))))
+    u = unit_hash52(F.col("d") - 1, F.col("run") + F.lit(seed))
+    at = F.least(F.floor(u * n.cast("double")).cast("bigint"), n - 1) + 1
+    draws = each.select(F.col("run").cast("bigint").alias("run"), at.alias(index_col)).groupBy("run", index_col).agg(F.count(F.lit(1)).alias("w"))
+    return indexed, draws
+
+
+def exact_bootstrap_rmse(scored: DataFrame, algos: Sequence[str], targets: Sequence[str], order_cols: Sequence[str], runs: int = 10,
+                         seed: int = 42, digits: int = 6) -> DataFrame:
+    """(run, algo, target, n_drawn, rmse) over exact resamples: sqrt(sum w*(y-p)^2 / n)."""
+    errors = {(a, t): f"_e{i}" for i, (a, t) in enumerate((a, t) for a in algos for t in targets)}
+    rows, draws = exact_resample(scored.select(*order_cols, *[_sq_err(a, t).alias(e) for (a, t), e in errors.items()]), order_cols, runs, seed)
+    sums = draws.join(rows, "row_idx").groupBy("run").agg(F.sum("w").alias("n_drawn"), *[F.sum(F.col("w") * F.col(e)).alias(e) for e in errors.values()])
+    each = [F.struct(F.lit(a).alias("algo"), F.lit(t).alias("target"), F.round(F.sqrt(F.try_divide(F.col(e), F.col("n_drawn"))), digits).alias("rmse")) for (a, t), e in errors.items()]
+    return sums.select("run", "n_drawn", F.inline(F.array(*each))).select("run", "algo", "target", "n_drawn", "rmse")
 
 
 def horizon_of(target_col: str = "target"):

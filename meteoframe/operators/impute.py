@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from meteoframe.functions.columns import without_nan
@@ -83,3 +83,28 @@ def null_audit_filled(df: DataFrame, policy: Mapping[str, object]) -> DataFrame:
                      F.col(f"`{phase}|{c}`").alias("null_count"))
             for phase in ("before", "after") for c in policy]
     return wide.select(F.inline(F.array(*rows)))
+
+
+def write_filled(df: DataFrame, policy: Mapping[str, object], path: str) -> DataFrame:
+    """Write ``df`` filled by ``policy`` to ``path``; the M3 audit, counted by the tasks that write.
+
+    (phase, column_name, null_count), a row per phase and column, and
+    (``rows``, null, n): the observed metrics of the one pass that fills and
+    writes. Means that ``policy`` asks for are subqueries of the same plan; give
+    values instead (see :func:`observed_means`) where the input is read once.
+    """
+    filled = _fill_exprs(df, policy)
+    before, after = Observation(), Observation()
+    nulls = lambda c: F.count(F.when(F.col(c).isNull(), 1)).alias(c)
+    seen = df.select("*", *[filled[c].alias(f"_filled_{c}") for c in policy]).observe(before, F.count(F.lit(1)).alias("rows"), *[nulls(c) for c in policy])
+    done = seen.select(*[F.col(f"_filled_{c}").alias(c) if c in policy else F.col(c) for c in df.columns]).observe(after, *[nulls(c) for c in policy])
+    done.write.mode("overwrite").parquet(path)
+    rows = [(phase, c, o.get[c]) for phase, o in (("before", before), ("after", after)) for c in policy]
+    return df.sparkSession.createDataFrame([*rows, ("rows", None, before.get["rows"])], "phase string, column_name string, null_count bigint")
+
+
+def observed_means(df: DataFrame, cols: Sequence[str], path: str) -> dict[str, float | None]:
+    """Write ``df`` to ``path``; the mean of each column, gathered by the pass that writes."""
+    seen = Observation()
+    df.observe(seen, *[F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))).alias(c) for c in cols]).write.mode("overwrite").parquet(path)
+    return {c: seen.get[c] for c in cols}

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
+from threading import Semaphore
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
@@ -32,12 +34,13 @@ RF_EXECUTION = dict(cacheNodeIds=True)
 ALGOS = ("LR", "RF")
 
 
-def make_regressor(algo: str, label: str, prediction_col: str = "prediction"):
+def make_regressor(algo: str, label: str, prediction_col: str = "prediction", params: Mapping[str, object] | None = None):
+    """A regressor with the fixed hyper-parameters, those in ``params`` excepted."""
     if algo == "LR":
-        return LinearRegression(featuresCol=VECTOR, labelCol=label, predictionCol=prediction_col, **LR_PARAMS)
+        return LinearRegression(featuresCol=VECTOR, labelCol=label, predictionCol=prediction_col, **{**LR_PARAMS, **(params or {})})
     if algo == "RF":
-        return RandomForestRegressor(featuresCol=VECTOR, labelCol=label, predictionCol=prediction_col,
-                                     **RF_PARAMS, **RF_EXECUTION)
+        forest = RandomForestRegressor(featuresCol=VECTOR, labelCol=label, predictionCol=prediction_col)
+        return forest._set(**{**RF_PARAMS, **RF_EXECUTION, **(params or {})})
     raise ValueError(f"unknown algorithm {algo!r}")
 
 
@@ -45,20 +48,33 @@ def model_key(algo: str, target: str) -> str:
     return f"{algo}_{target}"
 
 
+#: Rows a partition of the training table holds up to MANY partitions, and beyond.
+FEW_ROWS, MANY, MANY_ROWS = 1 << 14, 256, 1 << 20
+
+
+def training_partitions(rows: int) -> int:
+    """Partitions of the training table, from its rows alone: 16,384 rows each up to 256, then one more for each 1,048,576 rows."""
+    few = min(rows, FEW_ROWS * MANY)
+    return max(1, -(-few // FEW_ROWS)) + -(-(rows - few) // MANY_ROWS)
+
+
 def train_models(train: DataFrame, feature_cols: Sequence[str], targets: Sequence[str],
                  algos: Sequence[str] = ALGOS, parallelism: int | None = None, key_cols: Sequence[str] = ("obs_id",),
-                 num_partitions: int | None = None, rows_per_partition: int = 1 << 14) -> dict[str, PipelineModel]:
+                 num_partitions: int | None = None, forest_parallelism: int = 3,
+                 params: Mapping[str, Mapping[str, object]] | None = None) -> dict[str, PipelineModel]:
     """M9: fit the scaling once and every (algo, target) regressor on the scaled rows.
 
     The scaled rows are hash-partitioned on ``key_cols`` and sorted inside
     each partition before they are persisted: forest bagging draws per
     partition and row position, so a fixed layout makes the forests
     repeatable for the same input whatever its upstream partitioning. The
-    partition count is rows / ``rows_per_partition``: it depends on the rows
-    alone, not on the fits of this call or on a session setting.
+    partition count (:func:`training_partitions`) depends on the rows alone, not
+    on the fits of this call or on a session setting. Fits run side by side, of
+    forests ``forest_parallelism`` at a time, since each holds a node number for
+    every row and tree. ``params`` sets hyper-parameters by algorithm.
     """
     scaling = fit_scaling(train, feature_cols)
-    n = num_partitions or max(1, -(-train.count() // rows_per_partition))
+    n = num_partitions or training_partitions(train.count())
     keys = [k for k in key_cols if k in train.columns]
     cols = [VECTOR, *targets]
     vectors = scaling.transform(train).select(*keys, *cols)
@@ -66,11 +82,13 @@ def train_models(train: DataFrame, feature_cols: Sequence[str], targets: Sequenc
         vectors = vectors.repartition(n, *keys).sortWithinPartitions(*keys)
     vectors = vectors.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        jobs = [(a, t) for t in targets for a in algos]
+        jobs, forests = [(a, t) for t in targets for a in algos], Semaphore(max(1, forest_parallelism))
 
         def fit(job):
             a, t = job
-            return model_key(a, t), make_regressor(a, t).fit(vectors)
+            regressor = make_regressor(a, t, params=(params or {}).get(a))
+            with forests if a == "RF" else nullcontext():
+                return model_key(a, t), regressor.fit(vectors)
 
         workers = parallelism or min(len(jobs), 12)  # one thread per fit: Spark interleaves their tasks
         with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
@@ -150,3 +168,11 @@ def ridge_one_lag_mllib(df: DataFrame, x: str, y: str, reg_param: float = 0.1) -
                          standardization=True, solver="normal").fit(v)
     return float(m.coefficients[0]), float(m.intercept)
 
+
+
+def stump_of(model: PipelineModel, feature: int = 0) -> tuple[float, float, float]:
+    """(split value, mean of the left leaf, mean of the right one) of a forest of one depth-1 tree; the split in the feature's own unit."""
+    root = regressor_of(model).trees[0]._call_java("rootNode")
+    scaler = model.stages[-2]
+    value = root.split().threshold() * float(scaler.std[feature]) + (float(scaler.mean[feature]) if scaler.getWithMean() else 0.0)
+    return value, root.leftChild().prediction(), root.rightChild().prediction()

@@ -10,7 +10,8 @@ to be checkpointed, and branches that need whole rows share one shuffle.
 Inside a range plain window functions do the work (sorting spills to disk).
 What crosses the cuts comes from a small table with a few rows per range: sizes
 for the row index, totals for the running total, and the first and last rows of
-each range for lags and leads.
+each range for lags and leads. The input is read for a count, for the key sample
+and for the rows: write an expensive one first.
 
 Rows with equal keys lie in one range, side by side. Where an operator needs a
 total order, neighbours are compared there and the action fails on the first

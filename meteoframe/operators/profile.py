@@ -23,7 +23,7 @@ from meteoframe.functions.columns import pearson, without_nan
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def _long_values(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+def long_values(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(keep..., measure, value) for non-null, non-NaN values of ``cols``."""
     typed = df.select(*keep, *[without_nan(F.col(c).cast("double")).alias(c) for c in cols])
     return typed.unpivot(list(keep), list(cols), "measure", "value").filter(F.col("value").isNotNull())
@@ -31,7 +31,7 @@ def _long_values(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -
 
 def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(measure, value, w): the multiset of each measure, compacted (map-side partial counts)."""
-    return _long_values(df, cols).groupBy("measure", "value").agg(F.count(F.lit(1)).alias("w"))
+    return long_values(df, cols).groupBy("measure", "value").agg(F.count(F.lit(1)).alias("w"))
 
 
 # --------------------------------------------------------------------------- shape / describe
@@ -142,7 +142,7 @@ def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]
                      relative_error: float = 0.01) -> DataFrame:
     """A4: Greenwald-Khanna sketch quantiles (``approxQuantile`` semantics), one aggregate."""
     accuracy = max(1, int(round(1.0 / relative_error)))
-    long = _long_values(df, cols)
+    long = long_values(df, cols)
     q = long.groupBy("measure").agg(F.percentile_approx("value", list(probs), accuracy).alias("qs"))
     return q.select("measure", F.posexplode("qs").alias("i", "quantile")).select(
         "measure", F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1).alias("p"), "quantile")
@@ -223,7 +223,7 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str], whisker: float = 1.5) -> D
 def outlier_rows(df: DataFrame, cols: Sequence[str], keep: Sequence[str], whisker: float = 1.5) -> DataFrame:
     """Every (row, measure) whose value lies outside the box-plot fences."""
     fences = _fences(value_counts(df, cols), whisker).select("measure", "lower_fence", "upper_fence")
-    long = _long_values(df, cols, keep)
+    long = long_values(df, cols, keep)
     return long.join(F.broadcast(fences), "measure").filter(
         (F.col("value") < F.col("lower_fence")) | (F.col("value") > F.col("upper_fence")))
 

@@ -233,8 +233,3 @@ def axis_ticks(boundary: DataFrame, ticks: int = 10, date_col: str = "obs_date")
 def first_rows(df: DataFrame, n: int = 5, order_cols: Sequence[str] = ("obs_date", "obs_id")) -> DataFrame:
     """The first ``n`` rows in a total order (top-k; the limit is the feature)."""
     return df.orderBy(*order_cols).limit(n)
-
-
-def sorted_for_output(df: DataFrame, order_cols: Sequence[str] = ("obs_date",)) -> DataFrame:
-    """Order rows only where they leave the engine (report, chart, file)."""
-    return df.orderBy(*order_cols)

@@ -9,6 +9,7 @@ the station key is ``Location`` and ``(Date, Location)`` is the total order.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -21,8 +22,8 @@ from meteoframe.operators import models as mdl
 from meteoframe.operators import profile as prof
 from meteoframe.operators import score as sc
 from meteoframe.operators import series as ser
-from meteoframe.operators.ordering import with_row_index
 from meteoframe.plans.stages import materialize
+from meteoframe.session import ensure_checkpoint_dir
 from meteoframe.sources import ingest
 from meteoframe.spec import FeatureSpec
 
@@ -65,7 +66,10 @@ def run_batch_job(spark: SparkSession, csv_path: str, out_dir: str, per_station:
     ``Location`` (or the global order with ``per_station=False``)."""
     spec = raw_spec(per_station or national)
     out = out_dir.rstrip("/")
-    typed = read_raw(spark, csv_path)
+    mean_cols = RAW_MEASURES[:2]
+    stage = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages/batch-{uuid.uuid4().hex}"
+    means = imp.observed_means(read_raw(spark, csv_path), mean_cols, f"{stage}/typed")  # the only read of the file's rows
+    typed = spark.read.parquet(f"{stage}/typed")
 
     stats = prof.advanced_statistics(typed, RAW_MEASURES)
     dictionary = prof.data_dictionary(typed, ingest.RAW_DESCRIPTIONS, "Other measure")
@@ -77,18 +81,15 @@ def run_batch_job(spark: SparkSession, csv_path: str, out_dir: str, per_station:
     if STATION_COL not in typed.columns and len(placed) == 1:
         typed = typed.withColumn(STATION_COL, F.lit("all"))
     obs = typed.select(DATE_COL, STATION_COL, *RAW_MEASURES)
-    policy = {RAW_MEASURES[0]: "mean", RAW_MEASURES[1]: "mean", RAW_MEASURES[2]: "zero"}
-    audit = imp.null_audit_filled(obs, policy)
+    policy = {**means, RAW_MEASURES[2]: "zero"}
+    audit = imp.write_filled(obs, policy, f"{stage}/filled").filter("phase <> 'rows'")  # counted by the pass that fills and writes
     # Audit and fill values come from all rows; those that cannot be placed in a series go only then.
-    filled = imp.impute(obs, policy).dropna(subset=placed).fillna("", subset=[STATION_COL])
+    filled = spark.read.parquet(f"{stage}/filled").dropna(subset=placed).fillna("", subset=[STATION_COL])
     if national:
         daily = ser.national_daily(filled, RAW_MEASURES, DATE_COL).drop("n_obs")
-        feats = ser.lag_lead_features(daily.withColumn(STATION_COL, F.lit("national")), spec)
-    else:
-        feats = ser.lag_lead_features(filled, spec)
-    # The position of a row in (date, station, values) order identifies it: equal dates and stations stay apart.
-    order = [DATE_COL, STATION_COL, *(c for c in feats.columns if c not in (DATE_COL, STATION_COL))]
-    feats = materialize(with_row_index(feats, order, ROW_KEY), "batch-features")
+        filled = materialize(daily.withColumn(STATION_COL, F.lit("national")), "batch-daily")
+    # The position of a row in the order identifies it; a repeated date and station is refused here.
+    feats = materialize(ser.lag_lead_features(filled, spec, index_col=ROW_KEY), "batch-features")
     split = ser.chronological_split(feats, train_ratio, date_col=DATE_COL, id_col=ROW_KEY)
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
@@ -121,14 +122,15 @@ _PRED_NAMES = {"Target_MinTemp_D1": "Pred_Min", "Target_MaxTemp_D1": "Pred_Max",
 
 
 def scoring_screen(spark: SparkSession, out_dir: str, day=None, algo: str = "RF", days: int = 30,
-                   n_dates: int = 50) -> ScreenViews:
+                   n_dates: int = 50, default: float | None = None) -> ScreenViews:
     """The data behind the scoring screen, from the outputs of ``run_batch_job``.
 
     Latest ``n_dates`` dates of the test table; for the chosen day (default:
     the latest) one representative row per date scored by every saved model
     (prediction, actual, delta, rain advice, lag-1 context); and +-``days``
-    of day-1 predictions against actual values. Missing models give null
-    predictions and ``model_found = false``.
+    of day-1 predictions against actual values, in the order of the dates.
+    Missing models predict ``default`` (null unless given; the original screen
+    shows 0.0) and have ``model_found = false``.
     """
     out = out_dir.rstrip("/")
     spec = raw_spec()
@@ -143,7 +145,7 @@ def scoring_screen(spark: SparkSession, out_dir: str, day=None, algo: str = "RF"
     lost = [k for k in missing if k.startswith(f"{algo}_")]
 
     row = ser.one_row_per_date(ser.observation_on_date(test, day, DATE_COL), DATE_COL, (STATION_COL,))
-    scored = sc.with_missing_predictions(sc.score_all(row, mine), lost)
+    scored = sc.with_missing_predictions(sc.score_all(row, mine), lost, default)
     context = [spec.lag_col(m, 1) for m in RAW_MEASURES]
     card = sc.forecast_card(scored, (algo,), spec.target_cols, rain_measure="Rainfall",
                             context_cols=context, keys=(STATION_COL, DATE_COL), missing=lost)
@@ -152,8 +154,8 @@ def scoring_screen(spark: SparkSession, out_dir: str, day=None, algo: str = "RF"
     day1 = [spec.target_col(m, 1) for m in RAW_MEASURES]
     day1_models = {k: m for k, m in mine.items() if k.split("_", 1)[1] in day1}
     lost1 = [f"{algo}_{t}" for t in day1 if f"{algo}_{t}" not in day1_models]
-    chart = sc.with_missing_predictions(sc.score_all(around, day1_models), lost1)
-    chart = sc.actual_vs_predicted(chart, algo, day1, _PRED_NAMES, date_col=DATE_COL)
+    chart = sc.with_missing_predictions(sc.score_all(around, day1_models), lost1, default)
+    chart = sc.actual_vs_predicted(chart, algo, day1, _PRED_NAMES, date_col=DATE_COL).orderBy(DATE_COL)
     return ScreenViews(dates, day, card, chart, missing)
 
 
@@ -175,7 +177,7 @@ def main(argv=None) -> None:
     spark = get_session()
     res = run_batch_job(spark, args.csv_path, args.out_dir, per_station=not args.global_order,
                         train_ratio=args.train_ratio, runs=args.runs, national=args.national)
-    res.report.orderBy("Run_ID").show(truncate=False)
+    res.report.orderBy(F.col("Run_ID").try_cast("int").asc_nulls_last()).show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -704,4 +704,4 @@ def q_national_lag_features(spark, sf_dir):
     return ser.lag_lead_features(daily, NATIONAL_SPEC)
 
 
-from meteoframe.plans import checked  # noqa: E402,F401 - registers its plans, which use the stages above
+from meteoframe.plans import checked, stored  # noqa: E402,F401 - register their plans, which use the stages above

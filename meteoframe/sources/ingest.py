@@ -6,13 +6,14 @@ for local paths, HDFS and object stores.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meteoframe.functions.columns import to_date, to_double
+from meteoframe.operators.ordering import range_number
 
 # The raw daily-observation layout (name, type), in file order.
 RAW_COLUMNS = [
@@ -126,6 +127,70 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     writer.parquet(path)
 
 
+def write_by_year(df: DataFrame, path: str, date_col: str = "Date", year_col: str = "year") -> None:
+    """One folder per year of ``date_col`` (null dates in one of their own); a task writes to the years it holds."""
+    write_parquet(df.withColumn(year_col, F.year(date_col)), path, [year_col])
+
+
+def read_dates(spark: SparkSession, path: str, first: Column, last: Column, date_col: str = "Date", year_col: str = "year") -> DataFrame:
+    """Rows of a table by year whose date lies between ``first`` and ``last``, both included: only the folders of those years are listed and read."""
+    df = spark.read.parquet(path)
+    return df.filter(F.col(year_col).between(F.year(first), F.year(last)) & F.col(date_col).between(first, last)).drop(year_col)
+
+
+def write_ordered(df: DataFrame, path: str, order_cols: Sequence[str], files: int | None = None) -> None:
+    """Parquet files in the order of ``order_cols``: each holds one range of the keys, sorted, and file numbers ascend with the ranges.
+
+    The table is shuffled once and sorted inside the ranges; no task holds more than its range.
+    """
+    files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.withColumn("_range", range_number(df, order_cols, files)).repartitionById(files, F.col("_range"))
+    ranged.sortWithinPartitions(*order_cols).drop("_range").write.mode("overwrite").parquet(path)
+
+
+def read_ordered(spark: SparkSession, path: str, pos_col: str = "pos") -> DataFrame:
+    """What :func:`write_ordered` wrote, with the 1-based position of each row in the written order: file number, then row of the file."""
+    part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int")
+    placed = spark.read.parquet(path).select("*", part.alias("_part"), F.col("_metadata.row_index").alias("_row"))
+    sizes = placed.groupBy("_part").agg((F.max("_row") + 1).alias("_size"))  # a row per file
+    before = F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return placed.join(F.broadcast(sizes.select("_part", before.alias("_before"))), "_part").withColumn(
+        pos_col, F.col("_before") + F.col("_row") + 1).drop("_part", "_row", "_before")
+
+
+def report_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line_no, line) of a written report, header first: its text as it lies in the file. For reports, whose size is bounded."""
+    text = spark.read.text(path, wholetext=True)
+    return text.select(F.posexplode(F.split(F.rtrim(F.col("value"), F.lit("\n")), "\n")).alias("i", "line")).select((F.col("i") + 1).cast("bigint").alias("line_no"), "line")
+
+
+def read_with_rejects(spark: SparkSession, path: str, kinds: Mapping[str, str], header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(good, rejects) of CSV files whose columns and types are ``kinds`` (name to type, in file order); ``NA`` and empty fields mean missing.
+
+    ``rejects``: (file, reason, column_name, line). A line with too few or too
+    many fields is ``malformed`` and not in ``good``. A field that is not
+    missing and does not parse as its type is ``unparsable``: null in ``good``,
+    and a reject with its column and the line's text. One line can be rejected
+    for several columns. Lines are those of the text: a quoted field holds no
+    line end. With ``header`` lines that are the header are left out.
+    """
+    bad = "_corrupt"
+    schema = ", ".join(f"`{c}` string" for c in [*kinds, bad])
+    options = {"mode": "PERMISSIVE", "nullValue": "NA", "columnNameOfCorruptRecord": bad}
+    lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_name").alias("file")).filter(F.trim("line") != "")
+    if header:
+        lines = lines.filter(F.col("line") != ",".join(kinds))
+    field = lambda c: F.col(f"_r.`{c}`")
+    given = lambda c: field(c).isNotNull() & (F.trim(field(c)) != "")
+    typed = {c: F.when(given(c), to_date(field(c), None) if k == "date" else field(c).try_cast(k)) for c, k in kinds.items()}
+    rows = lines.withColumn("_r", F.from_csv("line", schema, options))
+    lost = F.array_compact(F.array(*[F.when(given(c) & typed[c].isNull(), F.lit(c)) for c in kinds]))
+    told = lambda reason, column: F.struct(F.lit(reason).alias("reason"), column.alias("column_name"))
+    reasons = F.when(field(bad).isNotNull(), F.array(told("malformed", F.lit(None).cast("string")))).otherwise(F.transform(lost, lambda c: told("unparsable", c)))
+    rejects = rows.select("file", "line", F.inline(reasons)).select("file", "reason", "column_name", "line")
+    return rows.filter(field(bad).isNull()).select(*[typed[c].alias(c) for c in kinds]), rejects
+
+
 def write_report_csv(df: DataFrame, path: str, order: Sequence[Column] = (), drop: Sequence[str] = ()) -> None:
     """A small report (profile, dictionary, metrics) as one CSV file with header, its rows in ``order``.
 
