@@ -19,7 +19,7 @@ import os
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -44,20 +44,29 @@ def _tokenizer(name: str):
     return Tokenizer.from_file(name if "/" in name else public_tokenizers.path(name))
 
 
-#: A stop that ends a word: the tokenizer cuts before it, whatever follows the white space.
-_STOP = re.compile(r"(?<=[A-Za-z0-9])[.,;:!?](?=[ \n])")
 _MARK = re.compile("[\u0300-\u036f]")
+#: What a byte is: an ASCII letter or digit, a stop, a space or line end.
+_LETTER, _STOP, _SPACE = 1, 2, 3
+_KIND = np.zeros(256, dtype=np.uint8)
+_KIND[[*range(48, 58), *range(65, 91), *range(97, 123)]] = _LETTER
+_KIND[list(b".,;:!?")] = _STOP
+_KIND[[10, 32]] = _SPACE
+#: Encoded between words that are encoded together, and looked for in the ids.
+_BAR = "|"
+#: Texts by which a tokenizer shows whether it cuts where :class:`Encoder` does.
+_PROBES = ("The cat's mat, 12 KG; ok.\nNext: yes! no? a.b  c\n\n d .e", "é\u0301 ÀÉ. x|y | z", " lead and trail ", "don't I'll 3.14, A_B-c", "日本 語。 ok")
 
 
 class Encoder:
     """Token ids of whole texts.
 
-    The tokenizer removes white space and never joins what stands on its two
-    sides, so the ids of a text are the ids of its words in turn; each distinct
-    word is encoded once. Texts are cut at spaces, line ends and before a stop
-    after an ASCII letter or digit, where the tokenizer cuts too; a word may hold
-    other white space, which is the tokenizer's to remove. As it lower-cases, A-Z
-    are lowered here, except before combining marks, which it composes first.
+    A tokenizer that removes white space and never joins what stands on its two
+    sides gives a text the ids of its words in turn; each distinct word is then
+    encoded once. Texts are cut at spaces, line ends and before a stop after an
+    ASCII letter or digit; a word may hold other white space, which is the
+    tokenizer's to remove. If it lower-cases, A-Z are lowered here, except before
+    combining marks, which it composes first. Whether a tokenizer is of this
+    kind is found out from ``_PROBES``; others encode every text as a whole.
     """
 
     def __init__(self, name: str = TOKENIZER):
@@ -66,24 +75,58 @@ class Encoder:
         self.lowers = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("AZ") == "az"
         self.coder = WordCoder(lambda w: w, 600_000)
         self.flat, self.start, self.count = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-
-    def words(self, text: str) -> list[str]:
-        if self.lowers and not _MARK.search(text):
-            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
-        return _STOP.sub(r" \g<0>", text).replace("\n", " ").split(" ")
+        bar = self._whole(_BAR)
+        self.bar = int(bar[0]) if len(bar) == 1 else None
+        self.by_word = self.tokenizer.truncation is None and self.tokenizer.padding is None and all(
+            np.array_equal(np.concatenate([self._whole(w.decode("utf-8", "replace")) for w in self.words(t)]), self._whole(t)) for t in _PROBES)
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
+    def words(self, text: str) -> list[bytes]:
+        data = text.encode("utf-8", "surrogatepass")
+        if self.lowers and not (not text.isascii() and _MARK.search(text)):
+            data = data.lower()
+        raw = np.frombuffer(data, dtype=np.uint8)
+        kind = _KIND[raw]
+        at = np.flatnonzero(kind[1:-1] == _STOP) + 1
+        at = at[(kind[at - 1] == _LETTER) & (kind[at + 1] == _SPACE)]
+        if len(at):
+            wide = np.full(len(raw) + len(at), 32, dtype=np.uint8)
+            keep = np.ones(len(wide), dtype=bool)
+            keep[at + np.arange(len(at))] = False
+            wide[keep] = raw
+            data = wide.tobytes()
+        return data.replace(b"\n", b" ").split(b" ")
+
+    def _encoded(self, words: list[bytes]) -> tuple[list[int], list[int]]:
+        """Ids of ``words`` one after another, and how many each has."""
+        text = [w.decode("utf-8", "surrogatepass") for w in words]
+        ids, count = [], []
+        if self.bar is not None and not any(_BAR in w for w in text):
+            both = np.array(self.tokenizer.encode_batch_fast([f" {_BAR} ".join([*text, ""])], add_special_tokens=False)[0].ids, dtype=np.int64)
+            ends = np.flatnonzero(both == self.bar)
+            if len(ends) == len(words):  # else a word gave the bar's id
+                return both[both != self.bar].tolist(), (np.diff(ends, prepend=-1) - 1).tolist()
+        for one in self.tokenizer.encode_batch_fast(text, add_special_tokens=False):
+            some = one.ids
+            ids += some
+            count.append(len(some))
+        return ids, count
 
     def of(self, texts: list[str | None]) -> list[np.ndarray]:
+        if not self.by_word:
+            return [np.array(x.ids, dtype=np.uint32) for x in self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
         if self.coder.shed():
             self.flat, self.start, self.count = self.flat[:0], self.start[:0], self.count[:0]
         codes = [self.coder.code(self.words(t)) if t else np.zeros(0, dtype=np.int64) for t in texts]
         new = self.coder.facts[len(self.count):]
         if new:
             parts, count = [], []
-            for k in range(0, len(new), 2048):
-                for one in self.tokenizer.encode_batch_fast(new[k:k + 2048], add_special_tokens=False):
-                    ids = one.ids
-                    parts += ids
-                    count.append(len(ids))
+            for k in range(0, len(new), 512):
+                ids, n = self._encoded(new[k:k + 512])
+                parts += ids
+                count += n
             count, flat = np.array(count, dtype=np.int64), np.array(parts, dtype=np.uint32)
             self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(count) - count])
             self.count = np.concatenate([self.count, count])
@@ -206,9 +249,10 @@ _PACK_SCHEMA = ("part int, pack int, first_doc_id long, last_doc_id long, dictio
                 "n_tokens array<long>, starts array<long>, payload binary")
 
 
-def read(spark: SparkSession, path: str, packs: DataFrame | None = None) -> DataFrame:
-    """(doc_id, start, ids) of every document in the files at ``path``; of some ``packs`` only, if given.
+def _opened(spark: SparkSession, path: str, packs: DataFrame | None, columns: dict[str, tuple[str, Callable[[np.ndarray], object]]]) -> DataFrame:
+    """(doc_id, start, columns...) of every document in the files at ``path``; of some ``packs`` only, if given.
 
+    ``columns``: what tasks make of a document's ids, by name, with its type.
     ``start`` counts the ids of all documents before. A pack counts from the
     beginning of its part; the parts before it are added up from the index alone.
     """
@@ -230,11 +274,17 @@ def read(spark: SparkSession, path: str, packs: DataFrame | None = None) -> Data
                 opener, width = openers[name]
                 for at in range(0, len(doc_ids), 500):
                     to = min(at + 500, len(doc_ids))
-                    ids = [np.frombuffer(opener.decompress(payload[offsets[k]:offsets[k + 1]]), dtype=width).astype(np.uint32) for k in range(at, to)]
-                    yield pa.RecordBatch.from_arrays([pa.array(doc_ids[at:to], pa.int64()), pa.array([before[part] + s for s in starts[at:to]], pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())], ["doc_id", "start", "ids"])
+                    ids = [np.frombuffer(opener.decompress(payload[offsets[k]:offsets[k + 1]]), dtype=width).astype("<u4") for k in range(at, to)]
+                    found = [pa.array([of(x) for x in ids], pa.binary() if kind == "binary" else pa.int64()) for kind, of in columns.values()]
+                    yield pa.RecordBatch.from_arrays([pa.array(doc_ids[at:to], pa.int64()), pa.array([before[part] + s for s in starts[at:to]], pa.int64()), *found], ["doc_id", "start", *columns])
         return batch
 
-    return map_batches(every if packs is None else packs, make, "doc_id long, start long, ids binary")
+    return map_batches(every if packs is None else packs, make, "doc_id long, start long, " + ", ".join(f"{c} {kind}" for c, (kind, _) in columns.items()))
+
+
+def read(spark: SparkSession, path: str, packs: DataFrame | None = None) -> DataFrame:
+    """(doc_id, start, ids) of every document in the files at ``path`` (of some ``packs``): ids as little-endian unsigned 32-bit integers."""
+    return _opened(spark, path, packs, {"ids": ("binary", lambda x: x.tobytes())})
 
 
 def read_document(spark: SparkSession, path: str, doc_id: int) -> DataFrame:
@@ -248,4 +298,4 @@ def digest(docs: DataFrame, path: str | None = None, tokenizer: str = TOKENIZER,
     spark = docs.sparkSession
     path = path or f"{shared_dir(spark).rstrip('/')}/llm-tokens/{uuid.uuid4().hex}"
     write(docs, path, tokenizer, end_id)
-    return read(spark, path).select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+    return _opened(spark, path, None, {"n_tokens": ("long", len), "ids_crc32": ("long", lambda x: zlib.crc32(x.tobytes()))})
