@@ -1,6 +1,6 @@
 """Byte n-grams of whole texts as packed integers, in numpy, and exact tables of model scores by n-gram.
 
-A text is reduced to lower-case letters with single spaces, in UTF-8. The
+A text is reduced to lower-case letters and marks with single spaces, in UTF-8. The
 n-gram at a byte is that byte and its n - 1 predecessors (zeros before the
 text), packed with the byte itself lowest: ``gram >> 8`` is its history and
 ``gram & (256**k - 1)`` its suffix of k bytes.
@@ -8,22 +8,22 @@ text), packed with the byte itself lowest: ``gram >> 8`` is its history and
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-_GAP = re.compile(r"[\W\d_]+")
+_GAP, _LETTER = regex.compile(r"[^\p{L}\p{M}]+"), regex.compile(r"\p{L}")
 _ODD = -7046029254386353131  # 2**64 / golden ratio, odd: spreads packed grams over buckets, one to one
 
 
 def letters(text: str | None) -> bytes:
-    """`` word word ... `` in UTF-8; empty if the text has no letter."""
+    """`` word word ... `` in UTF-8, marks (vowel signs, accents) with their letters; empty if the text has no letter."""
     words = _GAP.sub(" ", (text or "").lower()).strip()
-    return f" {words} ".encode("utf-8", "ignore") if words else b""
+    return f" {words} ".encode("utf-8", "ignore") if _LETTER.search(words) else b""
 
 
 def suffix(gram: str, size: int) -> Column:

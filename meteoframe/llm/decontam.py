@@ -36,6 +36,8 @@ from pyspark.sql import DataFrame, functions as F
 from .common import WordCoder, map_batches, pieces, written
 
 WINDOW, LITERALS, FILTER_BITS = 13, 0.5, 24
+#: Items of fewer words match only texts that hold no other word: "the" is in every text and tells nothing.
+LEAST_INSIDE = 3
 
 #: Words that are units when a number precedes them.
 UNITS = frozenset("""mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg t lb lbs oz ounce ounces pound pounds gram grams kilogram
@@ -181,6 +183,8 @@ def _window_rows(texts: pa.Array, ids: pa.Array, sizes: list[int] | None, window
     got: list[tuple] = []
     for size in sizes if sizes is not None else sorted(set(np.minimum(parts, window).tolist()) - {0}):
         fits = np.flatnonzero((left >= size) & (own == size)) if sizes is None else np.flatnonzero(left >= size)
+        if sizes is not None and size < LEAST_INSIDE:
+            fits = fits[parts[owner[fits]] == size]
         poor = fits[literal[fits + size] - literal[fits] < np.ceil(size * LITERALS) + 1]
         for kind, starts, exact in ((plain, fits, False), (named, fits[has_name[fits + size] > has_name[fits]], False),
                                     (opened, fits[has_opening[fits + size] > has_opening[fits]], False), (plain, poor, True)):
@@ -240,8 +244,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
     """(doc_id, item_id, first_word, last_word, windows, slots, reparameterised): runs that documents share with benchmark items.
 
     A run lies on one diagonal (document position minus item position) and has
-    consistent slots. Items shorter than ``window`` words match as a whole;
-    items without a word match nothing. Null ids and texts match nothing;
+    consistent slots. Items shorter than ``window`` words match as a whole, those
+    of fewer than ``LEAST_INSIDE`` words only a text that is no longer than they
+    are; items without a word match nothing. Null ids and texts match nothing;
     repeated rows fall into the same runs; other columns play no part.
     """
     spark = docs.sparkSession

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,8 +32,9 @@ LONG, LINKS, STOPS = 120, 0.35, 0.2
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(script|style|noscript|template|textarea|svg|math|iframe|object|select|canvas|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|noscript|template|textarea|iframe|select|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>", re.S | re.I)
+_FOREIGN_END = re.compile(r"</(svg|math)\s*>", re.I)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 _HINT_WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
@@ -74,6 +76,9 @@ def blocks(page: str) -> list[Block]:
     """Blocks of text in page order, white space collapsed, references decoded."""
     out: list[Block] = []
     open_: list[tuple[str, bool, bool]] = []  # element, surrounds the article, holds it
+    places: dict[str, list[int]] = {}  # where in open_ the elements of a name stand
+    block_places: list[int] = []  # where the blocks stand
+    walls: list[int] = []  # where elements stand that surround the article or have a hint: an inline end tag does not reach over them
     hinted: list[list] = []  # open elements with a hint: depth, blocks they hold; a hint falls if the first article is found in its element
     found = set()
     parts: list[str] = []
@@ -103,6 +108,10 @@ def blocks(page: str) -> list[Block]:
         nonlocal around, inside, links
         while len(open_) > upto:
             name, out_, in_ = open_.pop()
+            places[name].pop()
+            for kept in (block_places, walls):
+                if kept and kept[-1] == len(open_):
+                    kept.pop()
             if hinted and hinted[-1][0] == len(open_):
                 held = hinted.pop()[1]
                 if hinted:
@@ -111,12 +120,22 @@ def blocks(page: str) -> list[Block]:
             inside -= in_
             links -= name == "a"
 
+    foreign: dict[str, list[tuple[int, int]]] = {"svg": [], "math": []}  # their end tags; <svg/> is empty, and one without an end tag hides nothing
+    for m in _FOREIGN_END.finditer(page):
+        foreign[m[1].lower()].append(m.span())
     for m in _TOKEN.finditer(page):
+        if m.start() < at:
+            continue
         add(page[at:m.start()])
         at = m.end()
         name = (m[3] or "").lower()
         if not name:
             continue
+        if name in foreign and not m[2]:
+            end = bisect_left(foreign[name], (at, 0))
+            if not m[0].endswith("/>") and end < len(foreign[name]):
+                at = foreign[name][end][1]
+            continue
         if name == "br":
             parts.append("\n")
             continue
@@ -124,23 +143,14 @@ def blocks(page: str) -> list[Block]:
         if block:
             flush()
         if m[2]:
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == name:
-                    close(k)
-                    break
-                if (open_[k][1] or any(depth == k for depth, _ in hinted)) and name not in BLOCKS:
-                    break
-            element = next((n for n, _, _ in reversed(open_) if n in BLOCKS), "body")
+            if places.get(name) and (block or not walls or walls[-1] <= places[name][-1]):
+                close(places[name][-1])
+            element = open_[block_places[-1]][0] if block_places else "body"
         else:
-            if block:  # formatting and paragraphs left open end here, as browsers have it
-                for k in range(len(open_) - 1, -1, -1):
-                    if open_[k][0] == "p":
-                        close(k)
-                        break
-                    if open_[k][0] in BLOCKS:
-                        if open_[k][0] == name and name in ("li", "dd", "dt", "tr", "td", "th", "option"):
-                            close(k)
-                        break
+            if block and block_places:  # formatting and paragraphs left open end here, as browsers have it
+                last = open_[block_places[-1]][0]
+                if last == "p" or (last == name and name in ("li", "dd", "dt", "tr", "td", "th", "option")):
+                    close(block_places[-1])
             hint, hidden = _hints(m[4]) if m[4] and not m[4].isspace() else (False, False)
             if name not in VOID and not m[0].endswith("/>"):
                 out_ = name in AROUND or hidden or (name == "header" and not inside)
@@ -150,10 +160,16 @@ def blocks(page: str) -> list[Block]:
                         for k in held:
                             out[k].around = False
                     hinted.clear()
+                    walls[:] = [k for k, e in enumerate(open_) if e[1]]
                 if first:
                     found.add(name)
                 if hint and not out_ and name not in ("html", "body", "main") and not first:
                     hinted.append([len(open_), []])
+                if out_ or (hinted and hinted[-1][0] == len(open_)):
+                    walls.append(len(open_))
+                if block:
+                    block_places.append(len(open_))
+                places.setdefault(name, []).append(len(open_))
                 in_ = name in INSIDE and not around and not hinted
                 open_.append((name, out_, in_))
                 around += out_

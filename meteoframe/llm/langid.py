@@ -100,8 +100,8 @@ def fit(train: DataFrame, order: int = ORDER, text_col: str = "text", lang_col:
         below = level.select("gram", *[f"x{i}" for i in span])
         if k:
             most = level.count()
-            costs[k] = gram_table(level, "gram", [f"x{i}" for i in span], most, np.float16)
-            leave[k] = gram_table(level.groupBy("h").agg(*[F.first(f"e{i}").alias(f"e{i}") for i in span]), "h", [f"e{i}" for i in span], most, np.float16)
+            costs[k] = gram_table(level, "gram", [f"x{i}" for i in span], most, np.float32)
+            leave[k] = gram_table(level.groupBy("h").agg(*[F.first(f"e{i}").alias(f"e{i}") for i in span]), "h", [f"e{i}" for i in span], most, np.float32)
         else:
             for r in level.collect():  # 256 bytes at most
                 zero[r["gram"]] = [r[f"x{i}"] for i in span]

@@ -24,22 +24,30 @@ from .common import written
 #: Type and pattern; the first that a match satisfies as a whole names its type.
 TITLES = {"m": r"Mr|Sir|Herr|Señor|Sr|Monsieur|Don|Г-н", "f": r"Mrs|Ms|Miss|Madam|Frau|Señora|Señorita|Sra|Madame|Mme|Mlle|Doña|Г-жа", "n": r"Dr|Prof|Professor|Doctor"}
 _TITLE = "|".join(TITLES[g] for g in ("f", "m", "n"))
-_NAME = r"\p{Lu}[\p{Ll}'’]+(?:-\p{Lu}\p{Ll}+)?"
+#: A part of a name: capitalised in any way (McDonald, O'Brien, SMITH, Lopez-Ruiz), or an initial; and the small words between parts.
+_PART = r"(?:\p{Lu}[\p{L}'’]+(?:-\p{Lu}[\p{L}'’]+)*+|\p{Lu}\.)"
+_SMALL = r"(?:(?:de la|de los|van der|van den|von der|de|del|da|dos|di|la|le|van|von|der|den|ten|bin|al|y) )?"
+_MORE = rf"(?: {_SMALL}{_PART})"
 PATTERNS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,126}\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "secret": r"(?i:password|passwd|pwd|secret|api[_-]?key|token|access[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_.~-]{6,}+[\"']?",
     "key": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,}+|\bsk-[A-Za-z0-9]{20,}+[A-Za-z0-9_-]*+",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "card": r"(?<![\d.-])(?:\d{4}[ -]?){3}\d{1,7}(?![\d-])",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\d.-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\d-])",
-    "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
+    "card": r"(?<![\d.-])(?:(?:\d{4}[ -]?){3}\d{1,7}|3[47]\d{2}[ -]?\d{6}[ -]?\d{5})(?![\d-])",
+    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\d.-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\d-])"
+             r"|(?<=(?i:phone|tel|telephone|call|mobile|cell|fax)[:. ]{1,3})\d{7,15}(?!\d)",
+    "ip": r"(?<![\d.])(?<![vV])(?<![vV][ .])(?<!ersion )(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "name": rf"\b(?:{_TITLE})\.? {_NAME}(?: {_NAME})?",
+    "name": rf"\b(?:(?:{_TITLE})\.?|MRS?\.?) {_SMALL}{_PART}{_MORE}*+",
 }
-_FULL = rf"(?:{_TITLE})\.? {_NAME} {_NAME}"
+_FULL = rf"(?:(?:{_TITLE})\.?|MRS?\.?) {_SMALL}{_PART}{_MORE}++"
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What a text must hold to be cut at all: a digit, an @, or a sign of a secret or a title.
-_ANY = rf"[0-9@]|(?i:password|passwd|pwd|secret|api|token|access)|(?:{_TITLE})"
+_ANY = rf"[0-9@]|(?i:password|passwd|pwd|secret|api|token|access)|(?:{_TITLE})|MR"
+#: Attempts in a format before a surrogate grows by a digit each: a format that is used up (one-digit numbers, say) must not be tried for ever.
+IN_FORMAT = 8
+#: Where the key is configured; without it the public default below is used, which hides nothing from who has this code.
+KEY_SETTING, DEFAULT_KEY = "spark.meteoframe.surrogate.key", "surrogate-key-1"
 #: Syllables by script; names are drawn from these.
 SYLLABLES = {"latin": "ba be bo ca da de do fa fe ga go la le li lo ma me mi mo na ne ni no pa pe ra re ri ro sa se si so ta te ti to va ve vi vo".split(),
              "cyrillic": "ба бе бо ва ве да де до за ка ко ла ле ли ло ма ме ми мо на не ни но па по ра ре ри ро са се си со та те ти то".split(),
@@ -107,7 +115,7 @@ def _spoken(value: Column, gender: Column, stream: Column, attempt: Column) -> C
         made = F.array_join(F.transform(F.sequence(F.lit(1), count), lambda i: F.element_at(F.array(*map(F.lit, syllables)), _byte(stream, i) % len(syllables) + 1)), "")
         ending = F.coalesce(*[F.when(gender == g, F.lit(e)) for g, e in ENDINGS[script].items()], F.lit(""))
         out = F.when(_script(value) == script, F.initcap(F.concat(made, ending))).otherwise(out)
-    return out
+    return F.when((F.length(value) > 2) & (value == F.upper(value)), F.upper(out)).otherwise(out)
 
 
 def _made(key: str) -> Column:
@@ -117,26 +125,29 @@ def _made(key: str) -> Column:
     octets = F.array_join(F.transform(F.split(value, r"\."), lambda o, i: (_byte(stream, i) % 254 + 1).cast("string")), ".")
     held = F.regexp_extract(value, r"^(.*?[=:]\s*[\"']?)(.*?)([\"']?)$", 1)
     rest = F.expr("substring(value, length(regexp_extract(value, '^(.*?[=:]\\\\s*[\"\\']?)', 1)) + 1)")
-    return (F.when(kind_ == "ip", octets).when(kind_ == "card", _checked(_same_format(value, stream)))
+    grown = F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(attempt - IN_FORMAT, F.lit(1))), lambda i: (_byte(stream, i) % 10).cast("string")), "")
+    made = (F.when(kind_ == "ip", octets).when(kind_ == "card", _checked(_same_format(value, stream)))
             .when(kind_ == "secret", F.concat(held, _same_format(rest, stream)))
             .when(kind_ == "key", F.concat(F.substring(value, 1, 4), _same_format(F.expr("substring(value, 5)"), stream)))
             .when(kind_ == "email", F.concat(_same_format(F.regexp_replace(value, r"\.[A-Za-z]+$", ""), stream), F.regexp_extract(value, r"\.[A-Za-z]+$", 0)))
             .when(kind_ == "iban", F.concat(F.substring(value, 1, 2), _same_format(F.expr("substring(value, 3)"), stream)))
             .when(kind_.isin("given", "last"), _spoken(value, F.col("gender"), stream, attempt))
             .otherwise(_same_format(value, stream)))
+    return F.when((attempt > IN_FORMAT) & ~kind_.isin("given", "last"), F.concat(made, grown)).otherwise(made)
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """(type, gender, value, surrogate) of distinct (type, gender, value): no two surrogates of a type are equal, and none is a value of the table.
+    """(type, gender, value, surrogate) of distinct (type, gender, value): no two surrogates are equal, and none is a value of the table, whatever the types.
 
     A clash leaves the surrogate with the entity of the earlier attempt, then of
-    the lesser value; the others try again.
+    the lesser type and value; the others try again, and after ``IN_FORMAT``
+    attempts with a digit more each time, so a format that is used up ends.
     """
     now = written(entities.distinct().withColumn("attempt", F.lit(0)).withColumn("surrogate", _made(key)), "surrogates")
     while True:
-        first = F.row_number().over(Window.partitionBy("type", "surrogate").orderBy("attempt", "value", "gender"))
-        known = now.select(F.col("type").alias("_t"), F.col("value").alias("_v")).distinct()
-        marked = now.withColumn("nth", first).join(known, (F.col("type") == F.col("_t")) & (F.col("surrogate") == F.col("_v")), "left")
+        first = F.row_number().over(Window.partitionBy("surrogate").orderBy("attempt", "type", "value", "gender"))
+        known = now.select(F.col("value").alias("_v")).distinct()
+        marked = now.withColumn("nth", first).join(known, F.col("surrogate") == F.col("_v"), "left")
         marked = marked.withColumn("again", (F.col("nth") > 1) | F.col("_v").isNotNull())
         marked = written(marked.select("type", "gender", "value", "attempt", "surrogate", "again"), "clashes")
         if marked.filter("again").isEmpty():
@@ -145,16 +156,18 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         now = written(marked.filter("not again").select(now.columns).union(tried.select(now.columns)), "surrogates")
 
 
-def replaced(docs: DataFrame, key: str = "surrogate-key-1", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def replaced(docs: DataFrame, key: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, n_entities): every row with its entities replaced by their surrogates.
 
     Null texts stay null and count 0; null ids and repeated rows come back like
-    any other; other columns play no part. The same key gives the same surrogates.
+    any other; other columns play no part. The same key gives the same surrogates; without
+    ``key`` the session's ``KEY_SETTING`` names it.
     """
+    key = key or docs.sparkSession.conf.get(KEY_SETTING, DEFAULT_KEY)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = rows.withColumn("mentions", mentions("text"))
+    found = written(rows.withColumn("mentions", mentions("text")), "mentions")  # the patterns are searched once, and every row is written once
     none = found.filter(F.size("mentions") == 0).select("doc_id", "text", F.lit(0).alias("n_entities"))
-    some = written(found.filter(F.size("mentions") > 0).withColumn("text_key", F.sha2("text", 256)), "mentions")
+    some = found.filter(F.size("mentions") > 0).withColumn("text_key", F.sha2("text", 256))
     per_text = written(some.select("text_key", F.explode(F.array_distinct("mentions")).alias("mention")).distinct(), "text-mentions")
     named = _named(per_text.select("mention").distinct(), key)
     maps = per_text.join(named, "mention").groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("mention", "surrogate"))).alias("by_mention"))

@@ -2,6 +2,7 @@
 
 import itertools
 import re
+import time
 import zlib
 
 import numpy as np
@@ -180,6 +181,13 @@ def test_decontamination_literal_renamed_and_inconsistent(spark, odd, none):
     assert [(r["doc_id"], r["item_id"]) for r in decontam.leaks(short, bench).collect()] == [(1, 12)]
 
 
+def test_decontamination_by_items_of_one_or_two_words(spark):
+    docs = spark.createDataFrame([(1, "the cat sat on the mat"), (2, "The"), (3, "the cat"), (4, "cat, the")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "the"), (8, "the cat.")], "item_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in decontam.leaks(docs, bench).collect()) == [(2, 7), (3, 8)]
+    assert sorted(r["doc_id"] for r in decontam.drop_contaminated(docs, bench).collect()) == [1, 4]
+
+
 def test_decontamination_judges_windows_by_themselves(spark):
     item = "Today Maria bought 12 apples for 30 dollars while Peter carried 12 boxes up to the third floor"
     two = "a farmer sells 2 red hens and 5 white geese at the old town market"
@@ -290,6 +298,68 @@ def test_pii_long_secrets_and_untitled_repeats(spark):
     assert got[4]["text"] == texts[4]
 
 
+def test_pii_leaves_nothing_of_these_in_clear(spark):
+    """Each text with what must be gone from it; a detector of its own (plain substrings) looks at the result."""
+    local = "a1" * 40
+    cases = {"Then Mr O'Brien spoke.": ["O'Brien", "Brien"], "Then Mr McDonald spoke.": ["McDonald", "Donald"], "Mrs Ana Maria Ruiz Lopez came.": ["Ana", "Maria", "Ruiz", "Lopez"],
+             "To Mr J. Smith, please": ["Smith"], "so MR SMITH said": ["SMITH"], "Herr von der Leyen kam": ["Leyen"], "Sra. Carmen de la Vega vino": ["Carmen", "Vega"],
+             "card 3782 822463 10005 ok": ["3782 822463 10005"], "phone: 3195555132 now": ["3195555132"], f"mail {local}@example.org now": [local[:16], local],
+             "Dr. Anna-Lena Meyer-Schulz hat": ["Anna", "Lena", "Meyer", "Schulz"]}
+    docs = spark.createDataFrame([*enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pii.replaced(docs, "k").collect()}
+    assert not [(text, got[i]) for i, (text, gone) in enumerate(cases.items()) for x in gone if x in got[i]]
+    assert got[0].startswith("Then Mr ") and got[0].endswith(" spoke.") and got[4].split()[2].isupper()
+    clean = ["version 1.2.3.4 is out", "v 1.2.3.4", "see chapter 3.14 and 2024", "the mistress of Drury Lane", "no name at all", "a" * 50_000]
+    left = pii.replaced(spark.createDataFrame([*enumerate(clean)], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r["text"] for r in left] == clean and all(r["n_entities"] == 0 for r in left)
+
+
+def test_surrogates_of_a_used_up_format_end(spark):
+    few = spark.createDataFrame([("phone", "", str(i)) for i in range(10)] + [("ssn", "", "7"), ("other", "", "3")], "type string, gender string, value string")
+    rows = pii.surrogates(few, "k").collect()
+    made = [r["surrogate"] for r in rows]
+    assert len(made) == 12 and len(set(made)) == 12 and not set(made) & {str(i) for i in range(10)}
+
+
+def test_surrogates_depend_on_the_configured_key(spark):
+    docs = spark.createDataFrame([(1, "Mr John Miller wrote from 10.1.2.3")], "doc_id long, text string")
+    first = pii.replaced(docs, "a").first()["text"]
+    spark.conf.set(pii.KEY_SETTING, "b")
+    try:
+        second = pii.replaced(docs).first()["text"]
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+    assert first != second == pii.replaced(docs, "b").first()["text"]
+
+
+def test_letters_keep_marks_and_want_a_letter():
+    from meteoframe.llm.bytegrams import letters
+
+    for text in ("हिन्दी भाषा", "สวัสดีครับ", "cafe\u0301"):
+        assert letters(text).decode() == f" {text} "
+    assert letters("½ ² ① 12 _ !") == letters("\u0301 3") == letters(None) == b"" and letters("A½b_c1d") == b" a b c d "
+
+
+def test_languages_of_texts_without_letters(spark):
+    train = spark.createDataFrame([("the cat sat on the mat", "en"), ("le chat est sur le tapis", "fr"), ("हिन्दी भाषा में लिखा है", "hi")], "text string, lang string")
+    model = langid.fit(train)
+    docs = spark.createDataFrame([(1, "½ ² ①"), (2, "12 _ !"), (3, None), (4, ""), (5, "the mat"), (6, "भाषा हिन्दी")], "doc_id long, text string")
+    got = {r["row"]["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, model).collect()}
+    assert all(got[i] == ("und", 0.0) for i in (1, 2, 3, 4)) and got[5][0] == "en" and got[6][0] == "hi"
+
+
+def test_html_of_foreign_elements_fallbacks_and_many_open_tags():
+    """Expected texts written by hand."""
+    texts = lambda page: [b.text for b in html_extract.blocks(page)]
+    assert texts("<p>See <svg class='i'/> the end.</p><p>Last paragraph.</p>") == ["See the end.", "Last paragraph."]
+    assert texts("<p>A <svg><title>t</title><text>no</text></svg> b <math display='x'><mi>x</mi></math> c <SVG> d</p><p>e</p>") == ["A b c d", "e"]
+    assert texts("<p>one <canvas>drawn</canvas> <object data='x'>shown instead</object> two</p>") == ["one drawn shown instead two"]
+    for page in ("<b>" * 8000 + "x" + "</i>" * 8000, "<div><i>x" * 8000, "<svg>" * 8000 + "x", "<p>" + "<b>" * 8000 + "</b></p>" * 4000):
+        began = time.time()
+        html_extract.blocks(page)
+        assert time.time() - began < 1.5
+
+
 def test_surrogates_are_distinct_and_new(spark):
     few = spark.createDataFrame([("phone", "", f"{i}") for i in range(9)] + [("last", "", n) for n in ("Li", "Wu", "Ba")], "type string, gender string, value string")
     rows = pii.surrogates(few.union(spark.createDataFrame([("ip", "", f"10.0.0.{i}") for i in range(40)], few.schema)).filter("type <> 'phone'"), "k").collect()
