@@ -39,12 +39,6 @@ def without_nan(col: str | Column) -> Column:
     return F.nanvl(c, F.lit(None).cast("double"))
 
 
-def is_missing(col: str | Column) -> Column:
-    """Null or NaN."""
-    c = _c(col)
-    return c.isNull() | F.isnan(c)
-
-
 def rain_advice(pred: str | Column) -> Column:
     """> 5 mm heavy, > 0.5 mm light, else dry; a null prediction stays null."""
     p = _c(pred)
@@ -55,8 +49,8 @@ def rain_advice(pred: str | Column) -> Column:
     )
 
 
-def day_label(col: str | Column, short: bool = False) -> Column:
-    return F.date_format(_c(col), SHORT_DAY_FORMAT if short else DAY_FORMAT)
+def day_label(col: str | Column) -> Column:
+    return F.date_format(_c(col), DAY_FORMAT)
 
 
 def unit_hash(*parts: str | Column) -> Column:

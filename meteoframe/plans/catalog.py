@@ -53,8 +53,7 @@ def register(name: str, oracle_sql: str | None = None):
 def features(spark: SparkSession, sf_dir: str, spec=REFERENCE_SPEC) -> DataFrame:
     """obs -> M2 (mean temperatures, zero rain) -> per-station lag/lead -> complete rows.
 
-    The gap filling runs on the sorted, persisted rows: its means come from
-    that cache, so the source is scanned twice (range sample + one pass), not three times.
+    The means are subqueries of the plan; the rows are shuffled once.
     """
     return ser.lag_lead_features(observations(spark, sf_dir), spec, prepare=imp.impute_mixed)
 

@@ -47,7 +47,7 @@ def ensure_checkpoint_dir(spark: SparkSession, required: bool = True) -> str | N
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             if not required:
                 return None
             raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS, object store) "

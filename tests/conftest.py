@@ -22,6 +22,6 @@ def spark():
 
 @pytest.fixture(scope="session")
 def duck_small():
-    from meteoframe.plans.compare import duckdb_connection
+    from tests.compare import duckdb_connection
 
     return duckdb_connection(SF_SMALL)

@@ -2,6 +2,8 @@
 
 import importlib.util
 import os
+import subprocess
+import sys
 
 from tests.conftest import ROOT
 
@@ -24,3 +26,12 @@ def test_oracle_keys_subset_of_queries():
     mod = _entry_module()
     assert set(mod.oracle_sql()) <= set(mod.queries())
     assert len(mod.queries()) >= 40
+
+
+def test_entry_survives_corpus_operators_that_cannot_be_imported():
+    """A library that only the corpus operators need is missing: the other queries stay, and a warning says why."""
+    code = ("import sys, warnings\nsys.modules['zstandard'] = None\nwarnings.simplefilter('always')\nimport __spark_entry__ as e\n"
+            "print('LEFT', len(e.queries()), any(k.startswith('op') for k in e.queries()))")
+    done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
+    assert done.stdout.startswith("LEFT") and "False" in done.stdout and int(done.stdout.split()[1]) >= 74, done.stdout + done.stderr
+    assert os.path.isdir(os.path.join(ROOT, "meteoframe", "llm")) is False or "left out" in done.stderr

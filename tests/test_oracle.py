@@ -3,7 +3,7 @@
 import pytest
 
 from meteoframe.plans.catalog import ORACLE, QUERIES
-from meteoframe.plans.compare import compare
+from tests.compare import compare
 from tests.conftest import SF_SMALL
 
 

@@ -10,7 +10,7 @@ from meteoframe.operators import impute as imp
 from meteoframe.operators import models as mdl
 from meteoframe.operators import sketches as sk
 from meteoframe.plans import catalog, stored
-from meteoframe.plans.compare import compare
+from tests.compare import compare
 from meteoframe.sources import ingest
 from meteoframe.sources.observations import MEASURES, observations
 from tests.conftest import SF_SMALL
