@@ -26,8 +26,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-#: Keys looked at for each range, rows a range is meant to hold at most, and the most ranges of a plan.
-SAMPLE_PER_RANGE, MOST_RANGE_ROWS, MOST_RANGES = 60, 1 << 20, 50_000
+#: Keys looked at for each range and at all, rows a range is meant to hold at most, and the most ranges of a plan.
+SAMPLE_PER_RANGE, MOST_KEYS, MOST_RANGE_ROWS, MOST_RANGES = 60, 300_000, 1 << 20, 50_000
 _RANGE = "_range"
 
 
@@ -39,16 +39,16 @@ def range_number(df: DataFrame, order_cols: Sequence[str], ranges: int, n: int |
     """Column: the range (0 .. ranges - 1) of a row's key, by a binary search in literal cuts; nulls come first, as in a sort.
 
     Two small actions over the key columns run here: a count (unless ``n`` is
-    given) and a sample of about ``SAMPLE_PER_RANGE`` keys a range.
+    given) and a sample of about ``SAMPLE_PER_RANGE`` keys a range, ``MOST_KEYS`` in all.
     """
     n = df.count() if n is None else n
     one = F.pmod(F.hash(*order_cols), F.lit(1))  # always 0; a literal would be taken out of the joins on it
     if ranges < 2 or n < 2:
         return one
     key = _key(order_cols)
-    share = min(1.0, ranges * SAMPLE_PER_RANGE / n)
+    share = min(1.0, min(ranges * SAMPLE_PER_RANGE, MOST_KEYS) / n)
     some = df.select(key.alias("k")) if share == 1.0 else df.select(key.alias("k")).sample(share, seed=42)
-    taken = [r[0] for r in some.orderBy("k").select(F.to_json("k")).collect()]  # about ranges * SAMPLE_PER_RANGE keys
+    taken = [r[0] for r in some.orderBy("k").select(F.to_json("k")).collect()]  # about MOST_KEYS keys at most
     cuts = [taken[len(taken) * r // ranges] for r in range(1, ranges) if taken]
     cuts = list(dict.fromkeys(cuts))
     if not cuts:
