@@ -549,3 +549,16 @@ def test_ppm_equals_brute_force(spark):
     got, _ = model.lengths(texts)
     want = [[bits(lang, t) for lang in model.languages] for t in texts]
     assert np.allclose(got, want, rtol=2e-3)
+
+
+@pytest.mark.parametrize("name, by_word", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_encoder_gives_the_ids_of_the_whole_text_for_any_tokenizer(name, by_word):
+    """Texts of marks, stops, bars and white space of all kinds; a tokenizer that joins across spaces encodes whole texts."""
+    rng = np.random.default_rng(3)
+    letters = list("ab Zé́̀ .,;:!?|'\n\t  　12ß日sİΣ-")
+    texts = ["", None, "See. the cat's mat, 12 KG; ok.\nNext | line"] + ["".join(rng.choice(letters, size=n)) for n in rng.integers(0, 60, size=600)]
+    encoder = token_output.Encoder(name)
+    assert encoder.by_word is by_word
+    for text, got in zip(texts, encoder.of(texts)):
+        want = encoder.tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert got.tolist() == want, text
