@@ -28,9 +28,6 @@ from meteoframe.operators.features import VECTOR, fit_scaling
 LR_PARAMS = dict(regParam=0.1, elasticNetParam=0.0, maxIter=100, tol=1e-6, standardization=True)
 RF_PARAMS = dict(numTrees=100, maxDepth=5, maxBins=32, seed=42, featureSubsetStrategy="auto",
                  subsamplingRate=1.0, minInstancesPerNode=1)
-# Execution-only setting (same trees): keep each row's current node per tree
-# instead of re-walking every tree from the root at each level.
-RF_EXECUTION = dict(cacheNodeIds=True)
 ALGOS = ("LR", "RF")
 
 
@@ -40,7 +37,7 @@ def make_regressor(algo: str, label: str, prediction_col: str = "prediction", pa
         return LinearRegression(featuresCol=VECTOR, labelCol=label, predictionCol=prediction_col, **{**LR_PARAMS, **(params or {})})
     if algo == "RF":
         forest = RandomForestRegressor(featuresCol=VECTOR, labelCol=label, predictionCol=prediction_col)
-        return forest._set(**{**RF_PARAMS, **RF_EXECUTION, **(params or {})})
+        return forest._set(**{**RF_PARAMS, **(params or {})})
     raise ValueError(f"unknown algorithm {algo!r}")
 
 
@@ -58,6 +55,25 @@ def training_partitions(rows: int) -> int:
     return max(1, -(-few // FEW_ROWS)) + -(-(rows - few) // MANY_ROWS)
 
 
+#: Rows that forests fitted side by side hold together: each keeps bins and 100 draws of every row, about 560 bytes.
+FOREST_ROWS = 1 << 21
+
+
+def forest_execution(rows: int) -> dict[str, object]:
+    """Execution-only settings of a forest over ``rows`` rows (same trees).
+
+    Each row's current node per tree is kept, in another 410 bytes a row and
+    twice that between two levels, up to ``FOREST_ROWS`` rows; over more rows
+    every tree is walked again from its root at each level.
+    """
+    return dict(cacheNodeIds=rows <= FOREST_ROWS)
+
+
+def forests_at_once(rows: int, most: int = 3) -> int:
+    """Forests fitted side by side, from the rows alone: up to ``most``, together over ``FOREST_ROWS`` rows, one at least."""
+    return max(1, min(most, FOREST_ROWS // max(1, rows)))
+
+
 def train_models(train: DataFrame, feature_cols: Sequence[str], targets: Sequence[str],
                  algos: Sequence[str] = ALGOS, parallelism: int | None = None, key_cols: Sequence[str] = ("obs_id",),
                  num_partitions: int | None = None, forest_parallelism: int = 3,
@@ -70,23 +86,26 @@ def train_models(train: DataFrame, feature_cols: Sequence[str], targets: Sequenc
     repeatable for the same input whatever its upstream partitioning. The
     partition count (:func:`training_partitions`) depends on the rows alone, not
     on the fits of this call or on a session setting. Fits run side by side, of
-    forests ``forest_parallelism`` at a time, since each holds a node number for
-    every row and tree. ``params`` sets hyper-parameters by algorithm.
+    forests at most ``forest_parallelism`` at a time and one alone over many rows
+    (:func:`forests_at_once`), since each holds a draw for every row and tree. The
+    scaled rows stay on disk, so that memory is left to the forest. ``params``
+    sets hyper-parameters by algorithm.
     """
     scaling = fit_scaling(train, feature_cols)
-    n = num_partitions or training_partitions(train.count())
+    rows = train.count()
+    n = num_partitions or training_partitions(rows)
     keys = [k for k in key_cols if k in train.columns]
     cols = [VECTOR, *targets]
     vectors = scaling.transform(train).select(*keys, *cols)
     if keys:
         vectors = vectors.repartition(n, *keys).sortWithinPartitions(*keys)
-    vectors = vectors.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = vectors.select(*cols).persist(StorageLevel.DISK_ONLY)
     try:
-        jobs, forests = [(a, t) for t in targets for a in algos], Semaphore(max(1, forest_parallelism))
+        jobs, forests = [(a, t) for t in targets for a in algos], Semaphore(forests_at_once(rows, forest_parallelism))
 
         def fit(job):
             a, t = job
-            regressor = make_regressor(a, t, params=(params or {}).get(a))
+            regressor = make_regressor(a, t, params={**(forest_execution(rows) if a == "RF" else {}), **((params or {}).get(a) or {})})
             with forests if a == "RF" else nullcontext():
                 return model_key(a, t), regressor.fit(vectors)
 

@@ -76,3 +76,39 @@ def test_missing_model_gives_typed_null_and_flag(spark, lr_models):
     assert rf and all(r.prediction is None and r.delta is None and not r.model_found for r in rf)
     assert lr and all(r.model_found for r in lr)
     assert dict(scored.dtypes)[ev.pred_col("RF", t)] == "double"
+
+
+def test_forests_over_many_rows_are_fitted_one_at_a_time(spark, monkeypatch):
+    """Beyond FOREST_ROWS: one forest at a time, no node numbers, scaled rows on disk only; the trees stay the same."""
+    from threading import Lock
+
+    train = catalog.split_table(spark, SF_SMALL).filter("split = 'train'")
+    seen, running, lock, make = [], [0], Lock(), mdl.make_regressor
+
+    def made(*args, **kwargs):
+        regressor = make(*args, **kwargs)
+        fit = regressor.fit
+
+        def watched(vectors):
+            with lock:
+                running[0] += 1
+                seen.append((running[0], regressor.getCacheNodeIds(), vectors.storageLevel.useMemory))
+            try:
+                return fit(vectors)
+            finally:
+                with lock:
+                    running[0] -= 1
+
+        regressor.fit = watched
+        return regressor
+
+    monkeypatch.setattr(mdl, "make_regressor", made)
+    few = {"RF": {"numTrees": 3}}
+    usual = mdl.train_models(train, catalog.FEATURES, catalog.TARGETS[:3], ("RF",), params=few)
+    assert all(cached and not memory for _, cached, memory in seen)
+    seen.clear()
+    monkeypatch.setattr(mdl, "FOREST_ROWS", 100)
+    frugal = mdl.train_models(train, catalog.FEATURES, catalog.TARGETS[:3], ("RF",), params=few)
+    assert seen == [(1, False, False)] * 3
+    trees = lambda models: {k: [t.toDebugString.split("\n", 1)[1] for t in mdl.regressor_of(m).trees] for k, m in models.items()}
+    assert trees(usual) == trees(frugal)
