@@ -39,10 +39,15 @@ FEATURES = ("first", "second", "third", "excess", "length")
 
 
 def _shared(grams: DataFrame, order: int) -> DataFrame:
-    """(gram, p): shared interpolated Kneser-Ney probability of the last byte of each gram of ``order`` bytes, from distinct grams one byte longer."""
+    """(gram, p): shared interpolated Kneser-Ney probability of the last byte of each gram of ``order`` bytes, from distinct grams one byte longer.
+
+    Every length is written before the next one reads it: as one plan, all
+    lengths would have some sixty shuffles, and the driver would hold, compile
+    and adapt them together.
+    """
     levels, longer = [], grams
     for size in range(order, 0, -1):
-        longer = longer.groupBy(suffix("gram", size).alias("gram")).agg(F.count("*").alias("seen"))
+        longer = written(longer.groupBy(suffix("gram", size).alias("gram")).agg(F.count("*").alias("seen")), f"seen-{size}")
         levels.append((size, longer))
     below = None
     for size, level in reversed(levels):
@@ -53,7 +58,7 @@ def _shared(grams: DataFrame, order: int) -> DataFrame:
             here = here.withColumn("p_below", F.lit(1 / 256))
         else:
             here = here.withColumn("low", suffix("gram", size - 1)).join(below.select(F.col("gram").alias("low"), F.col("p").alias("p_below")), "low")
-        below = here.select("gram", ((F.greatest(F.col("seen") - DISCOUNT, F.lit(0)) + DISCOUNT * F.col("kinds") * F.col("p_below")) / F.col("all")).alias("p"))
+        below = written(here.select("gram", ((F.greatest(F.col("seen") - DISCOUNT, F.lit(0)) + DISCOUNT * F.col("kinds") * F.col("p_below")) / F.col("all")).alias("p")), f"shared-{size}")
     return below
 
 

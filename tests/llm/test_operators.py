@@ -450,6 +450,20 @@ def test_toxicity_held_out_and_edges(spark, odd, none):
     assert kept.columns == odd.columns and kept.count() == odd.count()
 
 
+def test_toxicity_learns_in_small_plans(spark, monkeypatch):
+    """No plan of the fit holds the shuffles of all gram lengths together: the driver's memory goes with the largest plan."""
+    seen, write = {}, toxicity.written
+
+    def spy(df, name, path=None):
+        seen[name] = max(seen.get(name, 0), df._jdf.queryExecution().executedPlan().toString().count("Exchange "))
+        return write(df, name, path)
+
+    monkeypatch.setattr(toxicity, "written", spy)
+    rows = [(i, f"{w} some plain words {i}", int(w == "vile")) for i, w in enumerate(["vile", "kind"] * 20)]
+    toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    assert "class-ratio" in seen and max(seen.values()) <= 8, seen
+
+
 def test_toxicity_counts_all_labelled_rows(spark):
     words = [a + b + c for a in "bdfgklmn" for b in "aeiou" for c in "prstvwxz"]
     train = spark.createDataFrame([(i, words[i], i % 2) for i in range(len(words))], "doc_id long, text string, toxic int")
