@@ -16,6 +16,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import let_go
+
 _GAP, _LETTER = regex.compile(r"[^\p{L}\p{M}]+"), regex.compile(r"\p{L}")
 _ODD = -7046029254386353131  # 2**64 / golden ratio, odd: spreads packed grams over buckets, one to one
 
@@ -123,6 +125,7 @@ def gram_counts(docs: DataFrame, text_col: str, class_col: str, order: int, clas
         raise ValueError("gram and class must fit 63 bits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         keys, counts, held = [], [], 0
 
         def flush():

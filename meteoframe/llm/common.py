@@ -7,6 +7,8 @@ executor costs a re-read and never a recomputation of the whole job.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -52,10 +54,40 @@ def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]], schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` with one-off set-up per task: ``make()`` runs in the task and returns the function of a batch."""
+#: What a worker process keeps from one task to the next, by the name of what the tasks share.
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]) -> object:
+    """The object of ``make()``, made once in a worker process; tasks that do not share ``name`` let go of it."""
+    if name not in _KEPT:
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def let_go(but: str | None = None) -> None:
+    """Drop what earlier tasks kept in this worker process, ``but`` excepted, and hand freed memory back to the system.
+
+    Spark's workers outlive stages and queries, and an executor's memory has to
+    hold all of them at once.
+    """
+    for name in [n for n in _KEPT if n != but]:
+        del _KEPT[name]
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]], schema: str | StructType, keeps: str | None = None) -> DataFrame:
+    """``mapInArrow`` with one-off set-up per task: ``make()`` runs in the task and returns the function of a batch.
+
+    ``keeps`` names what the tasks have :func:`kept` for each other; anything else is let go first.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(keeps)
         apply = None
         for batch in batches:
             if batch.num_rows:

@@ -20,7 +20,6 @@ import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType
 
-from .common import WordCoder, map_batches, pieces, shared_dir, written
+from .common import WordCoder, kept, map_batches, pieces, shared_dir, written
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
 #: The dictionary's size, and the bound of the sample that it is trained on.
@@ -139,10 +138,13 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=1)
 def _encoder(name: str) -> Encoder:
-    """The encoder of a worker process; its words, bounded in number, serve the next task too."""
-    return Encoder(name)
+    """The encoder of a worker process; its words, bounded in number, serve the next task too, until one of another stage comes."""
+    return kept(_kept_name(name), lambda: Encoder(name))
+
+
+def _kept_name(tokenizer: str) -> str:
+    return f"encoder {tokenizer}"
 
 
 def _frames(docs: DataFrame, dictionary: bytes, width: str, tokenizer: str, end_id: int) -> DataFrame:
@@ -160,7 +162,7 @@ def _frames(docs: DataFrame, dictionary: bytes, width: str, tokenizer: str, end_
                     pa.array([packer.compress(x.astype(width).tobytes()) for x in ids], pa.binary())], ["doc_id", "n_tokens", "crc", "frame"])
         return batch
 
-    return map_batches(docs, make, "doc_id long, n_tokens long, crc long, frame binary")
+    return map_batches(docs, make, "doc_id long, n_tokens long, crc long, frame binary", _kept_name(tokenizer))
 
 
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
@@ -184,7 +186,7 @@ def _sample(docs: DataFrame, width: str, tokenizer: str) -> list[bytes]:
     some = docs.select(F.xxhash64("doc_id").alias("h")).orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
     if some is None:
         return []
-    return [r["ids"] for r in map_batches(docs.filter(F.xxhash64("doc_id") <= some), make, "ids binary").limit(SAMPLE_DOCS).collect()]
+    return [r["ids"] for r in map_batches(docs.filter(F.xxhash64("doc_id") <= some), make, "ids binary", _kept_name(tokenizer)).limit(SAMPLE_DOCS).collect()]
 
 
 def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:

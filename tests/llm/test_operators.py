@@ -1,5 +1,6 @@
 """Each operator against brute force, and on nulls, empty and long texts, ties, repeated rows, clashing columns and empty tables."""
 
+import gc
 import itertools
 import re
 import time
@@ -12,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from meteoframe.llm import ann, components, decontam, html_extract, langid, mixing, pii, simhash, token_counts, token_output, toxicity
-from meteoframe.llm.common import table
+from meteoframe.llm.common import map_batches, table
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, id long, row string, fp string"
@@ -576,3 +577,17 @@ def test_encoder_gives_the_ids_of_the_whole_text_for_any_tokenizer(name, by_word
     for text, got in zip(texts, encoder.of(texts)):
         want = encoder.tokenizer.encode(text or "", add_special_tokens=False).ids
         assert got.tolist() == want, text
+
+
+def test_tasks_let_go_of_what_other_stages_kept(spark, odd):
+    """A worker process keeps the encoder between the tasks that encode; tasks of any other stage find none left."""
+    token_output.digest(odd).collect()
+
+    def make():
+        def batch(rows):
+            encoders = sum(isinstance(x, token_output.Encoder) for x in gc.get_objects())
+            yield pa.RecordBatch.from_arrays([pa.array([encoders])], ["n"])
+        return batch
+
+    found = map_batches(spark.range(64, numPartitions=16), make, "n long").collect()
+    assert len(found) == 16 and not any(r["n"] for r in found)
