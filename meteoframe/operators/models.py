@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meteoframe.functions.columns import pearson
+from meteoframe.operators import forest
 from meteoframe.operators.features import VECTOR, fit_scaling
 
 # Hyper-parameters of the two regressors.
@@ -74,6 +75,10 @@ def forests_at_once(rows: int, most: int = 3) -> int:
     return max(1, min(most, FOREST_ROWS // max(1, rows)))
 
 
+#: Training rows beyond which the forests of all targets are grown together on packed rows (:mod:`forest`).
+PACKED_ROWS = 1 << 21
+
+
 def train_models(train: DataFrame, feature_cols: Sequence[str], targets: Sequence[str],
                  algos: Sequence[str] = ALGOS, parallelism: int | None = None, key_cols: Sequence[str] = ("obs_id",),
                  num_partitions: int | None = None, forest_parallelism: int = 3,
@@ -89,19 +94,23 @@ def train_models(train: DataFrame, feature_cols: Sequence[str], targets: Sequenc
     forests at most ``forest_parallelism`` at a time and one alone over many rows
     (:func:`forests_at_once`), since each holds a draw for every row and tree. The
     scaled rows stay on disk, so that memory is left to the forest. ``params``
-    sets hyper-parameters by algorithm.
+    sets hyper-parameters by algorithm. Over ``PACKED_ROWS`` rows with a key the
+    forests of all targets are grown together (:func:`forest.fit_forests`) once
+    the other fits are done: the same method and settings, other draws.
     """
     scaling = fit_scaling(train, feature_cols)
     rows = train.count()
     n = num_partitions or training_partitions(rows)
     keys = [k for k in key_cols if k in train.columns]
     cols = [VECTOR, *targets]
-    vectors = scaling.transform(train).select(*keys, *cols)
-    if keys:
+    scaled = vectors = scaling.transform(train).select(*keys, *cols)
+    settings = {**RF_PARAMS, **((params or {}).get("RF") or {})}
+    packed = "RF" in algos and bool(keys) and rows > PACKED_ROWS and forest.can_fit(settings)
+    if keys and not packed:
         vectors = vectors.repartition(n, *keys).sortWithinPartitions(*keys)
     vectors = vectors.select(*cols).persist(StorageLevel.DISK_ONLY)
     try:
-        jobs, forests = [(a, t) for t in targets for a in algos], Semaphore(forests_at_once(rows, forest_parallelism))
+        jobs, forests = [(a, t) for t in targets for a in algos if not (packed and a == "RF")], Semaphore(forests_at_once(rows, forest_parallelism))
 
         def fit(job):
             a, t = job
@@ -114,6 +123,9 @@ def train_models(train: DataFrame, feature_cols: Sequence[str], targets: Sequenc
             fitted = dict(pool.map(fit, jobs))
     finally:
         vectors.unpersist()
+    if packed:
+        grown = forest.fit_forests(scaled, rows, keys, targets, VECTOR, settings, lambda t: make_regressor("RF", t, params=(params or {}).get("RF")))
+        fitted.update({model_key("RF", t): m for t, m in grown.items()})
     return {k: PipelineModel(stages=[*scaling.stages, m]) for k, m in fitted.items()}
 
 
