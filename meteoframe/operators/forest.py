@@ -213,7 +213,8 @@ def _level_pass(feature, cut, subset, live, depth, size, seed, steps, squares):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for n, key_bytes, bin_bytes, label_bytes in zip(*[c.to_pylist() for c in batch.columns]):
+            for r in range(batch.num_rows):
+                n, (key_bytes, bin_bytes, label_bytes) = batch.column(0)[r].as_py(), (c[r].as_buffer() for c in batch.columns[1:])
                 keys = np.frombuffer(key_bytes, np.int64).view(np.uint64)
                 bins, labels = np.frombuffer(bin_bytes, np.uint8).reshape(-1, n), np.frombuffer(label_bytes, np.float64).reshape(-1, n)
                 drawn: list[np.ndarray] = []

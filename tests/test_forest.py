@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from meteoframe.operators import forest, models as mdl
 from meteoframe.plans import catalog
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_MID, SF_SMALL
 
 TARGETS = catalog.TARGETS[:3]
 NUMBER = re.compile(r"-?\d+\.\d+(?:E-?\d+)?")
@@ -104,3 +104,35 @@ def test_a_constant_label_or_feature_gives_a_leaf(spark):
 def test_tasks_of_a_pass_grow_with_the_rows():
     tasks = [forest.pass_tasks(n) for n in (0, 1, 1 << 18, (1 << 18) + 1, 43_000_000, 10**9)]
     assert tasks == sorted(tasks) and tasks[:4] == [1, 1, 1, 2] and tasks[4] < 120 and tasks[5] < 400
+
+
+@pytest.fixture(scope="module")
+def packed_queries(spark):
+    """The registered queries with forests on packed rows, as over many rows; and the fits made."""
+    fits, fit, was, cache = [], forest.fit_forests, mdl.PACKED_ROWS, dict(catalog._MODEL_CACHE)
+    catalog._MODEL_CACHE.clear()
+    forest.fit_forests, mdl.PACKED_ROWS = lambda *a: (fits.append(list(a[3])), fit(*a))[1], 100
+    yield fits
+    forest.fit_forests, mdl.PACKED_ROWS = fit, was
+    catalog._MODEL_CACHE.clear()
+    catalog._MODEL_CACHE.update(cache)
+
+
+#: Rows of the queries at sf0.01.
+QUERY_ROWS = {"train_rf": 96}
+
+
+@pytest.mark.parametrize("query", QUERY_ROWS)
+def test_queries_take_their_forests_from_one_fit(spark, packed_queries, query):
+    rows = catalog.QUERIES[query](spark, SF_MID).collect()
+    assert len(rows) == QUERY_ROWS[query]
+    assert packed_queries == [catalog.TARGETS]
+    if query == "train_rf":
+        shares = {t: sum(r.value for r in rows if r.target == t and r.term.startswith("importance")) for t in catalog.TARGETS}
+        assert all(s == pytest.approx(1.0) for s in shares.values()) and sum(r.value for r in rows if r.term == "trees") == 600
+    if query == "forecast_card":
+        assert all(r.model_found and r.prediction is not None for r in rows)
+    if query == "score_table":
+        for t in catalog.TARGETS:
+            actual, said = np.array([r[t] for r in rows]), np.array([r[f"pred_RF__{t}"] for r in rows])
+            assert np.sqrt(np.mean((said - actual) ** 2)) < 1.02 * actual.std()
