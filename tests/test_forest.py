@@ -119,7 +119,7 @@ def packed_queries(spark):
 
 
 #: Rows of the queries at sf0.01.
-QUERY_ROWS = {"train_rf": 96, "forecast_card": 12, "model_bootstrap_report": 11, "score_table": 2993, "forecast_context": 61}
+QUERY_ROWS = {"train_rf": 96, "forecast_card": 12, "model_bootstrap_report": 11, "score_table": 2993, "forecast_context": 61, "boundary_forecast": 200}
 
 
 @pytest.mark.parametrize("query", QUERY_ROWS)
